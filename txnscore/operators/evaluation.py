@@ -10,6 +10,7 @@ from txnscore.config import FRAUD_THRESHOLD
 from txnscore.functions.decisions import guarded_ratio, number_or_null
 from txnscore.operators.deciding import ACTUAL, FLAG, SCORE, decide
 from txnscore.operators.running import running_sums
+from txnscore.workspace import written
 
 AUC_BUCKETS = 256
 
@@ -89,28 +90,39 @@ def roc_auc(df: DataFrame, score: str = SCORE, label: str = ACTUAL, buckets: int
 
     Rows collapse to one per score before anything is ordered. Scores are then cut into buckets at
     approximate quantiles, so that scores piling up near 0 do not all land in one task; any cut gives the
-    same area. The quantile pass reads the score column only.
+    same area. The scores are computed twice, once for the quantiles, so a model's output is best passed as a
+    table.
     """
     known = df.where(F.col(label).isNotNull()).select(
         number_or_null(F.col(score)).alias("score"), (F.col(label) == 1).alias("positive")
     )
     known = known.where(F.col("score").isNotNull())
-    quantiles = known.approxQuantile("score", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
-    inner = sorted(set(quantiles)) or [0.0]
+    shares = [i / buckets for i in range(1, buckets)]
+    quantiles = known.agg(F.percentile_approx("score", shares, 4 * buckets).alias("cuts")).first()["cuts"]
+    inner = sorted(set(quantiles or [0.0]))
     cut = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="score", outputCol="cut")
     per_score = cut.transform(
         known.groupBy("score").agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
     )
-    ranked = running_sums(per_score, F.col("cut"), "score", {"neg_below": "neg"}, inclusive=False)
-    pairs = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))
-    area = ranked.agg(
-        F.sum(pairs).alias("won"), F.sum("pos").cast("double").alias("p"), F.sum("neg").cast("double").alias("n")
+    ranked = running_sums(
+        per_score,
+        F.col("cut"),
+        "score",
+        {"neg_below": "neg"},
+        inclusive=False,
+        overall={"all_pos": "pos", "all_neg": "neg"},
     )
-    return area.select((F.col("won") / F.nullif(F.col("p") * F.col("n"), F.lit(0.0))).alias("auc_roc"))
+    pairs = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))
+    possible = F.max(F.col("all_pos").cast("double") * F.col("all_neg"))
+    return ranked.agg((F.sum(pairs) / F.nullif(possible, F.lit(0.0))).alias("auc_roc"))
 
 
 def evaluate(scored: DataFrame, label: str = ACTUAL, threshold: float = FRAUD_THRESHOLD) -> DataFrame:
-    """One row for a scored hold-out part: area, outcome counts, and precision, recall and F1 of fraud."""
+    """One row for a scored hold-out part: area, outcome counts, and precision, recall and F1 of fraud.
+
+    Labels and scores are written down first, so that the model runs once per row.
+    """
+    scored = written(scored.select(label, SCORE), "holdout")
     cells = confusion(decide(scored, threshold), label)
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     measures = cells.withColumns(

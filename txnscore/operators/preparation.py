@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from txnscore.functions.decisions import number_or_null
@@ -29,19 +29,26 @@ class Scale:
     deviation: float
 
 
-def fit_scale(df: DataFrame, cols: Sequence[str] = SCALED_FEATURES) -> dict[str, Scale]:
-    """Mean and population deviation per column in one aggregation; NULL and NaN are left out.
-
-    A constant or empty column gets deviation 1, so that scaling it is harmless.
-    """
+def _scale_aggregates(cols: Sequence[str]) -> list[Column]:
     aggregates = []
     for name in cols:
         known = number_or_null(F.col(name))
         aggregates += [F.avg(known).alias(f"mean_{name}"), F.stddev_pop(known).alias(f"deviation_{name}")]
-    row = df.agg(*aggregates).first()
+    return aggregates
+
+
+def _scales(row: Row, cols: Sequence[str]) -> dict[str, Scale]:
     return {name: Scale(row[f"mean_{name}"] or 0.0, row[f"deviation_{name}"] or 1.0) for name in cols}
 
 
+def fit_scale(df: DataFrame, cols: Sequence[str] = SCALED_FEATURES) -> dict[str, Scale]:
+    """Mean and population deviation per column in one aggregation; NULL and NaN are left out.
+
+    A constant or empty column gets deviation 1, so that scaling it is harmless.
+    """
+    return _scales(df.agg(*_scale_aggregates(cols)).first(), cols)
+
+
 def scaled(value: Column, scale: Scale) -> Column:
     return (value - F.lit(scale.mean)) / F.lit(scale.deviation)
 
@@ -55,18 +62,19 @@ def fit_preparation(
 ) -> SQLTransformer:
     """A pipeline stage that adds ``prepared_*`` columns: medians for missing values, then scaling.
 
-    All statistics end up as literals of the stage, so they are saved with the model, and the source columns
-    stay as they are.
+    One aggregation finds all statistics. They end up as literals of the stage, so they are saved with the
+    model, and the source columns stay as they are.
     """
-    medians = df.agg(*[F.percentile_approx(number_or_null(F.col(n)), 0.5).alias(n) for n in features]).first()
-    scales = fit_scale(df, [name for name in features if name in scaled_features])
+    to_scale = [name for name in features if name in scaled_features]
+    medians = [F.percentile_approx(number_or_null(F.col(name)), 0.5).alias(f"median_{name}") for name in features]
+    row = df.agg(*medians, *_scale_aggregates(to_scale)).first()
+    scales = _scales(row, to_scale)
     prepared = []
     for name in features:
-        fill = 0.0 if medians[name] is None else medians[name]
-        known = f"coalesce(nanvl(cast(`{name}` as double), cast(null as double)), {fill!r}D)"
+        value = f"coalesce(nanvl(cast(`{name}` as double), cast(null as double)), {row[f'median_{name}'] or 0.0!r}D)"
         if name in scales:
-            known = f"({known} - ({scales[name].mean!r}D)) / {scales[name].deviation!r}D"
-        prepared.append(f"{known} AS `{PREPARED}{name}`")
+            value = f"({value} - ({scales[name].mean!r}D)) / {scales[name].deviation!r}D"
+        prepared.append(f"{value} AS `{PREPARED}{name}`")
     return SQLTransformer(statement=f"SELECT *, {', '.join(prepared)} FROM __THIS__")
 
 

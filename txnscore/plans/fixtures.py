@@ -35,39 +35,47 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _arrival_columns() -> dict[str, Column]:
+    event, user = F.col("event_id"), F.col("user_id")
+    batch = F.floor(event / BATCH_ROWS)
+    return {
+        "Time": (F.unix_micros(F.col("ts").cast("timestamp")) - START_SECONDS * 1_000_000) / 1e6,
+        "Amount": F.col("value"),
+        "merchant_id": F.format_string("MERCHANT-%04d", event * 7 % 1000 + 1),
+        "card_last_four": (user % 9000 + 1000).cast("string"),
+        "country": F.get(F.lit(COUNTRIES), (user % len(COUNTRIES)).cast("int")),
+        "partition": (event % PARTITIONS).cast("int"),
+        "offset": F.floor(event / PARTITIONS),
+        "batch_id": batch,
+        "processing_time_ms": (batch % 60 + 20).cast("double"),
+    }
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
+
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an event alone tells about its transaction."""
-    event, user = F.col("event_id"), F.col("user_id")
-    return read(spark, sf_dir, "events").select(
-        "event_id",
-        "ts",
-        ((F.unix_micros(F.col("ts").cast("timestamp")) - START_SECONDS * 1_000_000) / 1e6).alias("Time"),
-        F.col("value").alias("Amount"),
-        F.format_string("MERCHANT-%04d", event * 7 % 1000 + 1).alias("merchant_id"),
-        (user % 9000 + 1000).cast("string").alias("card_last_four"),
-        F.get(F.array(*map(F.lit, COUNTRIES)), (user % len(COUNTRIES)).cast("int")).alias("country"),
-        (event % PARTITIONS).cast("int").alias("partition"),
-        F.floor(event / PARTITIONS).alias("offset"),
-        F.floor(event / BATCH_ROWS).alias("batch_id"),
-        (F.floor(event / BATCH_ROWS) % 60 + 20).cast("double").alias("processing_time_ms"),
-    )
+    return read(spark, sf_dir, "events").select("event_id", "ts", *_named(_arrival_columns()))
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled transactions with all features; Catalyst drops the components a query does not read."""
     embeddings = read(spark, sf_dir, "embeddings")
-    vectors = embeddings.select(
+    components = [f"CAST(embedding[{i}] AS DOUBLE) AS {name}" for i, name in enumerate(COMPONENTS)]
+    vectors = embeddings.selectExpr("vec_id", "CAST(label = 0 AS INT) AS Class", *components)
+    events = read(spark, sf_dir, "events")
+    vector_of_event = F.col("event_id") % embeddings.count()
+    return events.join(vectors, vector_of_event == F.col("vec_id")).select(
+        "event_id",
+        "ts",
         "vec_id",
-        (F.col("label") == 0).cast("int").alias("Class"),
-        *[F.col("embedding")[i].cast("double").alias(name) for i, name in enumerate(COMPONENTS)],
-    )
-    n_vectors = embeddings.select(F.count("*")).scalar()
-    event = F.col("event_id")
-    return (
-        arrivals(spark, sf_dir)
-        .withColumn("vec_id", event % n_vectors)
-        .join(vectors, "vec_id")
-        .withColumns({"transaction_id": transaction_id(event), ACTUAL: F.col("Class")})
+        transaction_id(F.col("event_id")).alias("transaction_id"),
+        *_named(_arrival_columns()),
+        *COMPONENTS,
+        "Class",
+        F.col("Class").alias(ACTUAL),
     )
 
 
