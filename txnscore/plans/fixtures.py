@@ -90,16 +90,23 @@ def with_logistic_score(df: DataFrame) -> DataFrame:
     return df.withColumn(SCORE, logistic_score())
 
 
-def logistic_model():
-    """The same score as a Python model over Arrow batches."""
+def logistic_factory():
+    """The same score as a Python model over Arrow batches.
 
-    def predict(batch: pd.DataFrame) -> np.ndarray:
-        total = np.full(len(batch), INTERCEPT)
-        for name, weight in WEIGHTS.items():
-            total = total + weight * batch[name].to_numpy()
-        return 1.0 / (1.0 + np.exp(-total))
+    Everything the workers need is in the closure, so they need not have this package installed.
+    """
+    intercept, weights = INTERCEPT, dict(WEIGHTS)
+
+    def load():
+        def predict(batch: pd.DataFrame) -> np.ndarray:
+            total = np.full(len(batch), intercept)
+            for name, weight in weights.items():
+                total = total + weight * batch[name].to_numpy()
+            return 1.0 / (1.0 + np.exp(-total))
+
+        return predict
 
-    return predict
+    return load
 
 
 def decided(spark: SparkSession, sf_dir: str) -> DataFrame:

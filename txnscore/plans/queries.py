@@ -387,7 +387,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pandas_udf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.transactions(spark, sf_dir)
-    scored = training.score_udf(rows, fixtures.logistic_model, features=list(fixtures.WEIGHTS))
+    scored = training.score_udf(rows, fixtures.logistic_factory(), features=list(fixtures.WEIGHTS))
     return _shown(scored, "transaction_id", SCORE)
 
 
