@@ -20,6 +20,8 @@ class KafkaSettings:
     max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = True
+    # More read tasks than the topic has partitions, for intake that few partitions cannot score in time.
+    min_partitions: int | None = None
 
 
 @dataclass(frozen=True)

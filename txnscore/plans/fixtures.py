@@ -16,6 +16,7 @@ from txnscore.operators.deciding import ACTUAL, SCORE, decide
 from txnscore.operators.metrics import batch_stats
 from txnscore.operators.producing import build_messages, to_keyed_records
 from txnscore.schemas import COMPONENTS
+from txnscore.workspace import spread
 
 COUNTRIES = ["US", "UK", "FR", "DE", "ES", "IT", "BR", "AU", "CA", "JP"]
 BATCH_ROWS = 500
@@ -23,6 +24,9 @@ PARTITIONS = 3
 RESENT_EVERY = 10
 RESENT_OFFSET = 1_000_000_000_000
 
+# At most this many vectors, about 25 MB, are sent to every task; more are joined by a shuffle.
+BROADCAST_VECTORS = 100_000
+
 # 2024-01-01 00:00:00 UTC, where ``Time`` starts.
 START_SECONDS = 1_704_067_200
 
@@ -60,14 +64,21 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", "ts", *_named(_arrival_columns()))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled transactions with all features; Catalyst drops the components a query does not read."""
+def transactions(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+    """Labelled transactions with all features; Catalyst drops the components a query does not read.
+
+    ``costly`` announces much work per row, for which a scan of few partitions is spread over all cores.
+    """
     embeddings = read(spark, sf_dir, "embeddings")
+    n_vectors = embeddings.count()
     components = [f"CAST(embedding[{i}] AS DOUBLE) AS {name}" for i, name in enumerate(COMPONENTS)]
     vectors = embeddings.selectExpr("vec_id", "CAST(label = 0 AS INT) AS Class", *components)
+    if n_vectors <= BROADCAST_VECTORS:
+        vectors = F.broadcast(vectors)
     events = read(spark, sf_dir, "events")
-    vector_of_event = F.col("event_id") % embeddings.count()
-    return events.join(vectors, vector_of_event == F.col("vec_id")).select(
+    if costly:
+        events = spread(events)
+    return events.join(vectors, F.col("event_id") % n_vectors == F.col("vec_id")).select(
         "event_id",
         "ts",
         "vec_id",
@@ -126,7 +137,7 @@ def records(spark: SparkSession, sf_dir: str, defects: bool = False, resent: boo
     three letters and every 79th has no label. With ``resent``, the records are those sent a second time:
     every tenth transaction at a later offset, its amount raised by 1.
     """
-    rows = transactions(spark, sf_dir)
+    rows = transactions(spark, sf_dir, costly=True)
     event = F.col("event_id")
     if resent:
         rows = rows.where(event % RESENT_EVERY == 0).withColumns(

@@ -358,7 +358,7 @@ def stream_windowed_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _trained(spark: SparkSession, sf_dir: str):
     """Events share vectors, so whole vectors go to either part; otherwise the test part would be known."""
-    split = preparation.hash_split(fixtures.transactions(spark, sf_dir), "vec_id")
+    split = preparation.hash_split(fixtures.transactions(spark, sf_dir, costly=True), "vec_id")
     model = training.train(split.where(F.col("split") == preparation.TRAIN), params=SMALL_MODEL)
     return model, split
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -96,15 +97,19 @@ def insert_if_absent(
     """Stores the rows whose key no other batch has stored; of equal keys in the batch the first one wins.
 
     ``df`` has the columns of ``schema`` and those of ``order``. Rows stored earlier by the same batch do not
-    count as present, so a replay writes the same rows again. ``key_range`` and ``rows`` are the least and
-    greatest key and the row count of the batch; they are computed when not given.
+    count as present, so a replay writes the same rows again. ``key_range`` and ``rows`` are bounds for the
+    least and greatest key and the number of keys; they are computed when not given.
     """
-    if key_range is None or rows is None:
-        facts = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).first()
-        key_range, rows = (facts["low"], facts["high"]), facts["n"]
     first = first_per_key(df, key, order).select(*schema.fieldNames())
-    others = read_table(df.sparkSession, path, schema).where(F.col(BATCH_ID) != batch_id)
-    write_batch(absent_rows(first, others, key, key_range, rows), path, batch_id, rows)
+    first.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if key_range is None or rows is None:
+            facts = first.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).first()
+            key_range, rows = (facts["low"], facts["high"]), facts["n"]
+        others = read_table(df.sparkSession, path, schema).where(F.col(BATCH_ID) != batch_id)
+        write_batch(absent_rows(first, others, key, key_range, rows), path, batch_id, rows)
+    finally:
+        first.unpersist()
 
 
 def write_alerts(alert_rows: DataFrame, path: str, batch_id: int, rows: int | None = None) -> None:

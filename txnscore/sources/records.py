@@ -9,13 +9,16 @@ from txnscore.schemas import KAFKA_RECORD
 
 
 def kafka_options(settings: KafkaSettings) -> dict[str, str]:
-    return {
+    options = {
         "kafka.bootstrap.servers": settings.servers,
         "subscribe": settings.input_topic,
         "startingOffsets": settings.starting_offsets,
         "maxOffsetsPerTrigger": str(settings.max_offsets_per_trigger),
         "failOnDataLoss": str(settings.fail_on_data_loss).lower(),
     }
+    if settings.min_partitions:
+        options["minPartitions"] = str(settings.min_partitions)
+    return options
 
 
 def kafka_stream(spark: SparkSession, settings: KafkaSettings) -> DataFrame:

@@ -33,3 +33,12 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Gives the rows of a plain scan to all cores when it has fewer partitions than there are cores.
+
+    A scan of many files is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
