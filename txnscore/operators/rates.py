@@ -16,21 +16,23 @@ def windowed_rate(
     window_seconds: int,
     slide_seconds: int | None = None,
     series: Mapping[str, Column] | None = None,
+    amounts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Rows per second in each event-time window, one column per entry of ``series``.
+    """Rates per second in each event-time window.
 
-    An entry maps an output name to the condition a row must meet; by default all rows count as ``rate``.
-    Rows are counted once per slide; the few slide totals, not the rows, are then copied into every
-    window that covers them. Windows start at whole multiples of the slide.
+    ``series`` maps an output name to the condition a row must meet to be counted, ``amounts`` one to the
+    number a row adds, such as the size of a batch; without either, all rows count as ``rate``. ``n`` is the
+    number of rows in the window. Rows are summed once per slide; the few slide totals, not the rows, are then
+    copied into every window that covers them. Windows start at whole multiples of the slide.
     """
     slide = slide_seconds or window_seconds
     if window_seconds % slide:
         raise ValueError("the window must be a whole number of slides")
-    conditions = dict(series or {"rate": F.lit(True)})
+    totals = series_totals(series, amounts)
     panes = (
         df.where(F.col(ts).isNotNull())
         .groupBy(F.window(ts, f"{slide} seconds").alias("pane"))
-        .agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()], F.count("*").alias("n"))
+        .agg(*[total.alias(name) for name, total in totals.items()], F.count("*").alias("n"))
     )
     covering = window_seconds // slide
     if covering == 1:
@@ -41,13 +43,23 @@ def windowed_rate(
             panes.withColumn("shift", shift)
             .withColumn("window_start", F.col("pane.start") - F.make_dt_interval(secs=F.col("shift") * slide))
             .groupBy("window_start")
-            .agg(*[F.sum(name).alias(name) for name in [*conditions, "n"]])
+            .agg(*[F.sum(name).alias(name) for name in [*totals, "n"]])
         )
     return windows.select(
-        "window_start", *[(F.col(name) / F.lit(float(window_seconds))).alias(name) for name in conditions], "n"
+        "window_start", *[(F.col(name) / F.lit(float(window_seconds))).alias(name) for name in totals], "n"
     )
 
 
+def series_totals(
+    series: Mapping[str, Column] | None = None, amounts: Mapping[str, Column] | None = None
+) -> dict[str, Column]:
+    """The aggregates behind the named rates."""
+    if not series and not amounts:
+        series = {"rate": F.lit(True)}
+    totals = {name: F.count_if(condition) for name, condition in (series or {}).items()}
+    return totals | {name: F.coalesce(F.sum(amount), F.lit(0)) for name, amount in (amounts or {}).items()}
+
+
 def achieved_rate(df: DataFrame, ts: str) -> DataFrame:
     """Rows, elapsed seconds between first and last event, and rows per second."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))

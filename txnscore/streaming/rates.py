@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnscore.operators.rates import series_totals
+
 
 def windowed_rate_stream(
     df: DataFrame,
@@ -22,15 +24,15 @@ def windowed_rate_stream(
     come later than that are dropped. The state holds counters of open windows only.
     """
     slide = slide_seconds or window_seconds
-    conditions = dict(series or {"rate": F.lit(True)})
+    totals = series_totals(series)
     counted = (
         df.withColumn(ts, F.col(ts).cast("timestamp"))
         .withWatermark(ts, delay)
         .groupBy(F.window(ts, f"{window_seconds} seconds", f"{slide} seconds").alias("span"))
-        .agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()], F.count("*").alias("n"))
+        .agg(*[total.alias(name) for name, total in totals.items()], F.count("*").alias("n"))
     )
     return counted.select(
         F.col("span.start").alias("window_start"),
-        *[(F.col(name) / F.lit(float(window_seconds))).alias(name) for name in conditions],
+        *[(F.col(name) / F.lit(float(window_seconds))).alias(name) for name in totals],
         "n",
     )
