@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,13 +89,25 @@ def batch_facts(scored: DataFrame) -> BatchFacts:
     return BatchFacts(**row.asDict())
 
 
+def _side_by_side(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Runs independent writes at the same time, so that small jobs do not wait for one another.
+
+    All of them end before this returns; the first failure is raised.
+    """
+    carry_over = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for done in [pool.submit(carry_over(write)) for write in writes]:
+            done.result()
+
+
 def process_batch(
     scored: DataFrame, batch_id: int, paths: SinkPaths, alert_senders: tuple[AlertSender, ...] = ()
 ) -> None:
     """Writes one scored batch to all sinks; running it again with the same id changes nothing.
 
     The batch is scored once, on first use, and kept on the executors; a lost executor's share is scored
-    again from the same records. Any failure stops the query before the batch is committed.
+    again from the same records. Any failure stops the query before the batch is committed. The rows about
+    the batch are written last, when everything they count is stored.
     """
     started = time.monotonic()
     spark = scored.sparkSession
@@ -102,26 +115,42 @@ def process_batch(
     try:
         facts = batch_facts(scored)
         inference_seconds = time.monotonic() - started
+        writes = []
         if facts.rejected:
-            write_batch(rejected(scored), paths.rejects, batch_id, facts.rejected)
-        if not facts.size:
-            return
-        sound = storable(scored)
-        raised = alerts(sound)
-        write_alerts(raised, paths.alerts, batch_id, facts.flagged)
-        for send in alert_senders:
-            send(raised, batch_id)
-        insert_if_absent(
-            transaction_records(sound, processing_ms=F.lit(inference_seconds * 1000), keep=ORDER),
-            paths.transactions,
-            batch_id,
-            order=ORDER,
-            key_range=(facts.first_id, facts.last_id),
-            rows=facts.size,
-        )
-        elapsed = time.monotonic() - started
-        write_batch_metrics(spark, paths.batch_metrics, batch_id, facts.size, facts.flagged, elapsed * 1000)
-        write_batch_row(
+            writes.append(lambda: write_batch(rejected(scored), paths.rejects, batch_id, facts.rejected))
+        if facts.size:
+            sound = storable(scored)
+            raised = alerts(sound)
+            stored = transaction_records(sound, processing_ms=F.lit(inference_seconds * 1000), keep=ORDER)
+            writes += [
+                lambda: write_alerts(raised, paths.alerts, batch_id, facts.flagged),
+                *[lambda send=send: send(raised, batch_id) for send in alert_senders],
+                lambda: insert_if_absent(
+                    stored,
+                    paths.transactions,
+                    batch_id,
+                    order=ORDER,
+                    key_range=(facts.first_id, facts.last_id),
+                    rows=facts.size,
+                ),
+            ]
+        if writes:
+            _side_by_side(spark, *writes)
+        if facts.size:
+            _write_measures(spark, paths, batch_id, facts, inference_seconds, time.monotonic() - started)
+    finally:
+        scored.unpersist()
+
+
+def _write_measures(
+    spark: SparkSession, paths: SinkPaths, batch_id: int, facts: BatchFacts, inference: float, elapsed: float
+) -> None:
+    _side_by_side(
+        spark,
+        lambda: write_batch_metrics(
+            spark, paths.batch_metrics, batch_id, facts.size, facts.flagged, elapsed * 1000
+        ),
+        lambda: write_batch_row(
             spark,
             paths.batch_series,
             batch_id,
@@ -130,12 +159,11 @@ def process_batch(
             fraud_count=facts.flagged,
             actual_count=facts.actual,
             rejected_count=facts.rejected,
-            inference_seconds=inference_seconds,
+            inference_seconds=inference,
             batch_seconds=elapsed,
             score_buckets=facts.score_buckets,
-        )
-    finally:
-        scored.unpersist()
+        ),
+    )
 
 
 def start_scoring(
