@@ -1,5 +1,7 @@
 """The programs one after the other, as a user runs them, and row numbering."""
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,9 +9,10 @@ from txnscore.config import SinkPaths
 from txnscore.jobs import run
 from txnscore.operators.numbering import with_row_numbers
 from txnscore.plans import fixtures
-from txnscore.plans.dashboard import REPORTS
+from txnscore.plans.dashboard import REPORTS, latest_transactions
 from txnscore.schemas import COMPONENTS, KAFKA_RECORD, TRANSACTIONS
-from txnscore.sinks.tables import read_table
+from txnscore.schemas import stored as stored_schema
+from txnscore.sinks.tables import create_tables, read_table, write_batch_metrics
 from txnscore.sources.models import read_metadata
 from txnscore.workspace import new_folder
 
@@ -90,3 +93,28 @@ def test_row_numbers_over_empty_partitions(spark):
 
 def test_row_numbers_of_nothing(spark):
     assert with_row_numbers(spark.range(0), "number").count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[3], [12, 1, 2], [2, 20], [4, 0, 0, 0, 0, 0, 0, 0, 0, 1], [1] * 30])
+def test_last_transactions_over_batches_of_any_size(spark, sizes):
+    paths = SinkPaths.under(new_folder(spark, "latest"))
+    create_tables(spark, paths)
+    rows = []
+    for batch_id, size in enumerate(sizes):
+        write_batch_metrics(spark, paths.batch_metrics, batch_id, max(size, 1), 0, 1.0)
+        moment = datetime(2024, 1, 1) + timedelta(seconds=5 * batch_id)
+        rows += [(f"B{batch_id:02d}-{i:02d}", moment, 1.0, 0.5, True, 0, "M", "1", "US", 1.0, batch_id) for i in range(size)]
+    schema = stored_schema(TRANSACTIONS)
+    spark.createDataFrame(rows, schema).write.mode("append").partitionBy("batch_id").parquet(paths.transactions)
+    got = [row["transaction_id"] for row in latest_transactions(spark, paths).collect()]
+    assert got == sorted((row[0] for row in rows), reverse=True)[:10]
+
+
+def test_last_transactions_open_the_last_folder_only(spark):
+    paths = SinkPaths.under(new_folder(spark, "latest"))
+    create_tables(spark, paths)
+    rows = [(f"B{b}-{i:02d}", datetime(2024, 1, 1 + b), 1.0, 0.5, True, 0, "M", "1", "US", 1.0, b) for b in range(4) for i in range(20)]
+    spark.createDataFrame(rows, stored_schema(TRANSACTIONS)).write.mode("append").partitionBy("batch_id").parquet(paths.transactions)
+    write_batch_metrics(spark, paths.batch_metrics, 3, 20, 0, 1.0)
+    plan = latest_transactions(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id#" in plan[plan.index("PartitionFilters") :] and "> 2" in plan[plan.index("PartitionFilters") :]

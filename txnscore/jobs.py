@@ -13,7 +13,7 @@ from txnscore.config import BATCH_INTERVAL_SECONDS, FRAUD_THRESHOLD, KafkaSettin
 from txnscore.operators import evaluation, preparation, producing, reports, training
 from txnscore.operators.numbering import with_row_numbers
 from txnscore.plans.dashboard import REPORTS
-from txnscore.schemas import LABEL
+from txnscore.schemas import COUNTRIES, LABEL
 from txnscore.session import build_session
 from txnscore.sinks.tables import create_tables
 from txnscore.sinks.topics import alert_sender, send_records
@@ -24,8 +24,7 @@ from txnscore.streaming.scoring import model_scorer, run_until_stopped, start_sc
 
 log = logging.getLogger(__name__)
 
-# The countries, merchants and card numbers that dataset rows are given.
-COUNTRIES = ["US", "UK", "FR", "DE", "ES", "IT", "BR", "AU", "CA", "JP"]
+# How many merchants and card numbers dataset rows are given.
 MERCHANTS = 1000
 CARDS_FROM, CARDS = 1000, 9000
 
@@ -54,7 +53,7 @@ def train_from(
     model = training.train(split.where(F.col("split") == preparation.TRAIN), params=params)
     held_out = training.score(split.where(F.col("split") == preparation.TEST), model)
     result = evaluation.evaluate(held_out, LABEL)
-    save_model(model, f"{model_path}/pipeline")
+    save_model(model, f"{model_path}/fitted")
     save_metadata(training.model_metadata(split, result, params=params), f"{model_path}/metadata")
     return {
         "classes": reports.class_profile(rows),
@@ -136,7 +135,7 @@ def run(arguments: Sequence[str] | None = None, spark: SparkSession | None = Non
         else:
             write_records(keyed, options.records)
     elif options.command == "score":
-        scorer = model_scorer(load_model(f"{options.model}/pipeline"))
+        scorer = model_scorer(load_model(f"{options.model}/fitted"))
         config = ScoringConfig(threshold=options.threshold, batch_interval_seconds=options.interval)
         if options.servers:
             settings = KafkaSettings(servers=options.servers)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +25,18 @@ def batch_stats(decided: DataFrame, *keys: str, **also: Column) -> DataFrame:
     return sizes.withColumn("fraud_rate", guarded_ratio(F.col("fraud_count"), F.col("batch_size")))
 
 
-def running_counters(metrics: DataFrame, batches_per_block: int = BATCHES_PER_BLOCK) -> DataFrame:
-    """Rows processed and flagged up to and including each batch."""
+# Counters and the batch columns they add up.
+PROCESSED = {"processed_total": "batch_size", "fraud_total": "fraud_count"}
+SENT = {"sent_total": "batch_size", "fraud_sent_total": "actual_count"}
+
+
+def running_counters(
+    metrics: DataFrame, counters: Mapping[str, str] = PROCESSED, batches_per_block: int = BATCHES_PER_BLOCK
+) -> DataFrame:
+    """Totals up to and including each batch; by default of rows processed and flagged."""
     block = F.floor(F.col("batch_id") / batches_per_block)
-    sums = {"processed_total": "batch_size", "fraud_total": "fraud_count"}
-    return running_sums(metrics.select("batch_id", "batch_size", "fraud_count"), block, "batch_id", sums).select(
-        "batch_id", *sums
-    )
+    needed = metrics.select("batch_id", *sorted(set(counters.values())))
+    return running_sums(needed, block, "batch_id", counters).select("batch_id", *counters)
 
 
 def batch_count_series(metrics: DataFrame, batches_per_block: int = BATCHES_PER_BLOCK) -> DataFrame:

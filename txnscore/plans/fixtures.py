@@ -15,10 +15,9 @@ from txnscore.functions.messages import transaction_id
 from txnscore.operators.deciding import ACTUAL, SCORE, decide
 from txnscore.operators.metrics import batch_stats
 from txnscore.operators.producing import build_messages, to_keyed_records
-from txnscore.schemas import COMPONENTS
+from txnscore.schemas import COMPONENTS, COUNTRIES
 from txnscore.workspace import spread
 
-COUNTRIES = ["US", "UK", "FR", "DE", "ES", "IT", "BR", "AU", "CA", "JP"]
 BATCH_ROWS = 500
 PARTITIONS = 3
 RESENT_EVERY = 10
@@ -120,13 +119,14 @@ def logistic_factory():
     return load
 
 
-def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decide(with_logistic_score(transactions(spark, sf_dir)))
+def decided(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+    return decide(with_logistic_score(transactions(spark, sf_dir, costly)))
 
 
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per batch of 500 events, as the scoring job would have stored it."""
-    stats = batch_stats(decided(spark, sf_dir), "batch_id", last_ts=F.max("ts"))
+    actual = F.count_if(F.col(ACTUAL) == 1)
+    stats = batch_stats(decided(spark, sf_dir), "batch_id", last_ts=F.max("ts"), actual_count=actual)
     return stats.withColumn("processing_ms", (F.col("batch_id") % 60 + 20).cast("double"))
 
 

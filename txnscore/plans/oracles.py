@@ -44,7 +44,7 @@ _METRICS = f"""{_DECIDED},
 metrics AS (
   SELECT batch_id, count(*) AS batch_size, count(*) FILTER (is_fraud_predicted) AS fraud_count,
          count(*) FILTER (is_fraud_predicted) / count(*)::DOUBLE AS fraud_rate,
-         max(ts) AS last_ts, (batch_id % 60 + 20)::DOUBLE AS processing_ms
+         max(ts) AS last_ts, count(*) FILTER (is_fraud_ground_truth = 1) AS actual_count, (batch_id % 60 + 20)::DOUBLE AS processing_ms
   FROM decided GROUP BY batch_id
 )"""
 
@@ -232,6 +232,10 @@ FROM txn CROSS JOIN facts""",
     "running_counters": f"""WITH {_METRICS}
 SELECT batch_id, (sum(batch_size) OVER (ORDER BY batch_id))::BIGINT AS processed_total,
        (sum(fraud_count) OVER (ORDER BY batch_id))::BIGINT AS fraud_total
+FROM metrics""",
+    "sent_counters": f"""WITH {_METRICS}
+SELECT batch_id, (sum(batch_size) OVER (ORDER BY batch_id))::BIGINT AS sent_total,
+       (sum(actual_count) OVER (ORDER BY batch_id))::BIGINT AS fraud_sent_total
 FROM metrics""",
     "batch_count_series": f"""WITH {_METRICS}
 SELECT batch_id, row_number() OVER (ORDER BY batch_id) AS batches_total FROM metrics""",

@@ -71,11 +71,11 @@ def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return producing.build_messages(fixtures.transactions(spark, sf_dir), "event_id", "ts")
+    return producing.build_messages(fixtures.transactions(spark, sf_dir, costly=True), "event_id", "ts")
 
 
 def keyed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixtures.transactions(spark, sf_dir)
+    rows = fixtures.transactions(spark, sf_dir, costly=True)
     messages = producing.build_messages(rows, "event_id", "ts", keep=("event_id",))
     keyed = producing.to_keyed_records(messages, "event_id")
     message = F.from_json(F.col("value").cast("string"), MESSAGE)
@@ -87,7 +87,7 @@ def keyed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "dataset")
     columns = ["Time", *COMPONENTS, "Amount", "Class"]
-    fixtures.transactions(spark, sf_dir).select(*columns).write.csv(path, header=True)
+    fixtures.transactions(spark, sf_dir, costly=True).select(*columns).write.csv(path, header=True)
     return read_dataset(spark, path)
 
 
@@ -160,6 +160,10 @@ def running_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.running_counters(fixtures.batch_metrics(spark, sf_dir))
 
 
+def sent_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.running_counters(fixtures.batch_metrics(spark, sf_dir), metrics.SENT)
+
+
 def batch_count_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.batch_count_series(fixtures.batch_metrics(spark, sf_dir))
 
@@ -280,7 +284,7 @@ def insert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, the second repeating a tenth of the ids, both stored and the second replayed."""
     path = new_folder(spark, "insert")
     create_table(spark, path, TRANSACTIONS)
-    first = fixtures.decided(spark, sf_dir)
+    first = fixtures.decided(spark, sf_dir, costly=True)
     again = first.where(F.col("event_id") % fixtures.RESENT_EVERY == 0).withColumns(
         {"Amount": F.col("Amount") + 1, "offset": F.col("offset") + fixtures.RESENT_OFFSET}
     )
@@ -376,7 +380,7 @@ def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _ = _trained(spark, sf_dir)
-    scored = deciding.decide(training.score(fixtures.transactions(spark, sf_dir), model))
+    scored = deciding.decide(training.score(fixtures.transactions(spark, sf_dir, costly=True), model))
     return scored.select("transaction_id", SCORE, FLAG)
 
 
@@ -386,7 +390,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pandas_udf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixtures.transactions(spark, sf_dir)
+    rows = fixtures.transactions(spark, sf_dir, costly=True)
     scored = training.score_udf(rows, fixtures.logistic_factory(), features=list(fixtures.WEIGHTS))
     return _shown(scored, "transaction_id", SCORE)
 
@@ -411,6 +415,7 @@ QUERIES: dict[str, Query] = {
     "scaled_features": scaled_features,
     "batch_stats": batch_stats,
     "running_counters": running_counters,
+    "sent_counters": sent_counters,
     "batch_count_series": batch_count_series,
     "latest_rate": latest_rate,
     "recent_batches": recent_batches,

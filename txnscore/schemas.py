@@ -21,6 +21,9 @@ LABEL = "Class"
 FEATURES = ["Time", *COMPONENTS, "Amount"]
 SCALED_FEATURES = ["Time", "Amount"]
 
+# The countries a message may name.
+COUNTRIES = ["US", "UK", "FR", "DE", "ES", "IT", "BR", "AU", "CA", "JP"]
+
 # Longest text each column of the stored tables takes.
 TEXT_LIMITS = {"transaction_id": 20, "merchant_id": 20, "card_last_four": 4, "country": 2}
 
