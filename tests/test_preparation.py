@@ -62,6 +62,12 @@ def test_split_keeps_unlabelled_rows(spark):
     assert split.count() == 100 and split.where("split = 'test'").count() == 20
 
 
+def test_a_column_of_many_values_is_no_label(spark, monkeypatch):
+    monkeypatch.setattr(prep, "_MAX_COUNTERS", 50)
+    with pytest.raises(ValueError):
+        prep.stratified_split(spark.range(200).selectExpr("id AS transaction_id", "id AS Class"))
+
+
 def test_copies_of_an_id_stay_together(spark):
     df = labelled(spark, 300, 3)
     both = prep.stratified_split(df.unionAll(df))

@@ -121,32 +121,50 @@ def _add_intake(command: argparse.ArgumentParser) -> None:
 
 
 def run(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
+    """Runs one program; a session that was not handed in is stopped at the end."""
     options = parser().parse_args(arguments)
-    spark = spark or build_session(f"txnscore-{options.command}")
-    if options.command == "train":
-        params = training.TrainingParams(trees=options.trees, depth=options.depth)
-        for title, table in train_from(spark, options.data, options.model, params).items():
-            log.info(title)
-            table.show(truncate=False)
-    elif options.command == "produce":
-        keyed = records_from(spark, options.data)
-        if options.servers:
-            send_records(keyed.select("key", "value"), KafkaSettings(servers=options.servers))
-        else:
-            write_records(keyed, options.records)
-    elif options.command == "score":
-        scorer = model_scorer(load_model(f"{options.model}/fitted"))
-        config = ScoringConfig(threshold=options.threshold, batch_interval_seconds=options.interval)
-        if options.servers:
-            settings = KafkaSettings(servers=options.servers)
-            records, senders = kafka_stream(spark, settings), (alert_sender(settings),)
-        else:
-            records, senders = record_stream(spark, options.records), ()
-        paths = SinkPaths.under(options.tables)
-        run_until_stopped(
-            start_scoring(records, scorer, paths, options.checkpoint, config, senders, available_now=options.once)
-        )
+    if spark is not None:
+        return PROGRAMS[options.command](spark, options)
+    spark = build_session(f"txnscore-{options.command}")
+    try:
+        PROGRAMS[options.command](spark, options)
+    finally:
+        spark.stop()
+
+
+def _train(spark: SparkSession, options: argparse.Namespace) -> None:
+    params = training.TrainingParams(trees=options.trees, depth=options.depth)
+    for title, table in train_from(spark, options.data, options.model, params).items():
+        log.info(title)
+        table.show(truncate=False)
+
+
+def _produce(spark: SparkSession, options: argparse.Namespace) -> None:
+    keyed = records_from(spark, options.data)
+    if options.servers:
+        send_records(keyed.select("key", "value"), KafkaSettings(servers=options.servers))
     else:
-        paths = SinkPaths.under(options.tables)
-        create_tables(spark, paths)
-        REPORTS[options.name](spark, paths).show(options.rows, truncate=False)
+        write_records(keyed, options.records)
+
+
+def _score(spark: SparkSession, options: argparse.Namespace) -> None:
+    scorer = model_scorer(load_model(f"{options.model}/fitted"))
+    config = ScoringConfig(threshold=options.threshold, batch_interval_seconds=options.interval)
+    if options.servers:
+        settings = KafkaSettings(servers=options.servers)
+        records, senders = kafka_stream(spark, settings), (alert_sender(settings),)
+    else:
+        records, senders = record_stream(spark, options.records), ()
+    paths = SinkPaths.under(options.tables)
+    run_until_stopped(
+        start_scoring(records, scorer, paths, options.checkpoint, config, senders, available_now=options.once)
+    )
+
+
+def _report(spark: SparkSession, options: argparse.Namespace) -> None:
+    paths = SinkPaths.under(options.tables)
+    create_tables(spark, paths)
+    REPORTS[options.name](spark, paths).show(options.rows, truncate=False)
+
+
+PROGRAMS = {"train": _train, "produce": _produce, "score": _score, "report": _report}

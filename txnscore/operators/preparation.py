@@ -21,6 +21,8 @@ TRAIN, TEST = "train", "test"
 # Hex digits of the id hash looked at per counting pass: at most 4096 counters per class.
 _DIGITS_PER_PASS = 3
 _HASH_DIGITS = 32
+_MAX_CLASSES = 64
+_MAX_COUNTERS = _MAX_CLASSES * 16**_DIGITS_PER_PASS
 
 
 @dataclass(frozen=True)
@@ -151,7 +153,11 @@ def _count_prefixes(hashed: DataFrame, open_classes: dict | None, digits: int):
             inside = inside | (F.col("label").eqNullSafe(F.lit(name)) & F.col("hash").startswith(prefix))
         rows = hashed.where(inside)
     prefix = F.substring("hash", 1, digits)
-    return rows.groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n")).collect()
+    counted = rows.groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n"))
+    counters = counted.limit(_MAX_COUNTERS + 1).collect()
+    if len(counters) > _MAX_COUNTERS:
+        raise ValueError("too many classes to split by; is this the label column?")
+    return counters
 
 
 def stratified_split(
