@@ -3,12 +3,14 @@
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from frames import stored
 from txnscore.schemas import ALERTS, BATCH_METRICS, TRANSACTIONS
 from txnscore.config import KafkaSettings, SinkPaths
 from txnscore.sinks import tables, topics
 from txnscore.sinks.database import append_to_database
+from txnscore.sources.records import kafka_stream
 from txnscore.workspace import new_folder
 
 
@@ -131,6 +133,18 @@ def test_topic_options():
     assert topics.alert_options(settings) == {"kafka.bootstrap.servers": "broker:9092", "topic": "fraud_alerts"}
 
 
+def test_topics_ask_for_the_connector(spark):
+    settings = KafkaSettings()
+    rows = spark.createDataFrame([(b"1", b"{}")], "key binary, value binary")
+    for use in (
+        lambda: topics.send_records(rows, settings),
+        lambda: topics.alert_sender(settings)(rows, 0),
+        lambda: kafka_stream(spark, settings),
+    ):
+        with pytest.raises(AnalysisException, match="(?i)kafka"):
+            use()
+
+
 def test_database_in_memory(spark):
     url = "jdbc:derby:memory:txnscore;create=true"
     driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}

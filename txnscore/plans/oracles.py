@@ -7,6 +7,8 @@ from txnscore.schemas import COMPONENTS
 _VECTOR = ", ".join(f"v.embedding[{i + 1}]::DOUBLE AS {name}" for i, name in enumerate(COMPONENTS))
 _V = ", ".join(COMPONENTS)
 
+_FEATURES = " ".join(["Time", *COMPONENTS, "Amount"])
+
 _COUNTRIES = "['US', 'UK', 'FR', 'DE', 'ES', 'IT', 'BR', 'AU', 'CA', 'JP']"
 
 _ARRIVALS = f"""
@@ -289,6 +291,26 @@ ranked AS (
 SELECT ((sum(place) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0)::DOUBLE
         / (sum(y)::DOUBLE * (count(*) - sum(y))::DOUBLE))::DECIMAL(18,10) AS auc_roc
 FROM ranked""",
+    "score_metadata": f"""WITH {_SPLIT},
+scored AS (
+  SELECT s.split, s."Class" AS y, {_LOGISTIC} AS p FROM split s JOIN txn t USING (transaction_id)
+),
+ranked AS (
+  SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS place
+  FROM scored WHERE split = 'test'
+),
+area AS (
+  SELECT ((sum(place) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0)::DOUBLE
+          / (sum(y)::DOUBLE * (count(*) - sum(y))::DOUBLE)) AS auc_roc
+  FROM ranked
+)
+SELECT round((SELECT auc_roc FROM area), 4) AS auc_roc, '{_FEATURES}' AS features, 100::INTEGER AS n_estimators,
+       0.5::DOUBLE AS threshold, count(*) FILTER (split = 'train') AS train_size,
+       count(*) FILTER (split = 'test') AS test_size,
+       round(avg(y) FILTER (split = 'train'), 6) AS fraud_rate_train,
+       round(count(*) FILTER (split = 'train' AND y = 0) / (count(*) FILTER (split = 'train' AND y = 1))::DOUBLE, 2)
+         AS scale_pos_weight
+FROM scored""",
     "score_histogram": f"WITH {_DECIDED},{_histogram('decided', 'fraud_probability', _SCORE_BOUNDS)}",
     "score_buckets": f"WITH {_DECIDED}\n{_SCORE_RANGES}",
     "size_histogram": f"""WITH {_METRICS},{

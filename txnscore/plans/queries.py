@@ -217,6 +217,14 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area.select(F.col("auc_roc").cast("decimal(18,10)").alias("auc_roc"))
 
 
+def score_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts stored beside a model, here for the fixed score."""
+    split = preparation.stratified_split(fixtures.with_logistic_score(fixtures.transactions(spark, sf_dir)))
+    area = evaluation.roc_auc(split.where(F.col("split") == preparation.TEST))
+    facts = training.model_metadata(split, area)
+    return facts.withColumn("features", F.array_join("features", " "))
+
+
 # Histograms and series
 
 
@@ -298,16 +306,16 @@ def insert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_stream(spark: SparkSession, sf_dir: str) -> SinkPaths:
-    """Records, among them broken and resent ones, through the scoring job until none are left."""
+    """Records, broken ones among them, through the scoring job; then a restart with the resent ones."""
     folder = new_folder(spark, "stream")
     paths = SinkPaths.under(f"{folder}/tables")
     for resent in (False, True):
         fixtures.records(spark, sf_dir, defects=True, resent=resent).write.mode("append").parquet(f"{folder}/inbox")
-    records = record_stream(spark, f"{folder}/inbox")
-    query = start_scoring(
-        records, fixtures.with_logistic_score, paths, f"{folder}/checkpoint", available_now=True
-    )
-    query.awaitTermination()
+        records = record_stream(spark, f"{folder}/inbox")
+        query = start_scoring(
+            records, fixtures.with_logistic_score, paths, f"{folder}/checkpoint", available_now=True
+        )
+        query.awaitTermination()
     return paths
 
 
@@ -425,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "confusion": confusion,
     "classification_report": classification_report,
     "roc_auc": roc_auc,
+    "score_metadata": score_metadata,
     "score_histogram": score_histogram,
     "score_buckets": score_buckets,
     "size_histogram": size_histogram,
