@@ -31,11 +31,11 @@ def test_auc_equals_all_pairs(spark, distinct, buckets):
     assert roc_auc(scored(spark, pairs), buckets=buckets).first()[0] == pytest.approx(brute_auc(pairs), abs=1e-12)
 
 
-@pytest.mark.parametrize("rows_per_block", [1, 7, 100])
-def test_auc_of_sliced_buckets(spark, rows_per_block):
-    rng = random.Random(rows_per_block)
+@pytest.mark.parametrize("slices", [1, 2, 7, 1000])
+def test_auc_of_sliced_buckets(spark, slices):
+    rng = random.Random(slices)
     pairs = [(rng.random() ** 6, int(rng.random() < 0.3)) for _ in range(500)] + [(0.0, 0), (0.0, 1), (1.0, 1)]
-    area = roc_auc(scored(spark, pairs), buckets=4, rows_per_block=rows_per_block).first()[0]
+    area = roc_auc(scored(spark, pairs), buckets=4, slices=slices).first()[0]
     assert area == pytest.approx(brute_auc(pairs), abs=1e-12)
 
 

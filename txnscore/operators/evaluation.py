@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +13,7 @@ from txnscore.operators.running import running_sums
 from txnscore.workspace import written
 
 AUC_BUCKETS = 256
-ROWS_PER_BLOCK = 1_000_000
+AUC_SLICES = 64
 
 
 def confusion(decided: DataFrame, label: str = ACTUAL, flag: str = FLAG) -> DataFrame:
@@ -89,37 +87,26 @@ def _report_row(name: str, precision: Column, recall: Column, f1: Column, suppor
 
 
 def roc_auc(
-    df: DataFrame,
-    score: str = SCORE,
-    label: str = ACTUAL,
-    buckets: int = AUC_BUCKETS,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    df: DataFrame, score: str = SCORE, label: str = ACTUAL, buckets: int = AUC_BUCKETS, slices: int = AUC_SLICES
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counting half; NULL unless both classes occur.
 
     Rows collapse to one per score before anything is ordered. Scores are then cut into buckets at
-    approximate quantiles, so that scores piling up near 0 do not all land in one task, and the buckets of a
-    large table into slices of equal width; any cut gives the same area. The scores are computed twice, once
-    for the quantiles, so a model's output is best passed as a table.
+    approximate quantiles, so that scores piling up near 0 do not all land in one task, and each bucket into
+    slices of equal width; any cut gives the same area. The scores are computed twice, once for the
+    quantiles, so a model's output is best passed as a table.
     """
     known = df.where(F.col(label).isNotNull()).select(
         number_or_null(F.col(score)).alias("score"), (F.col(label) == 1).alias("positive")
     )
     known = known.where(F.col("score").isNotNull())
-    shares = [i / buckets for i in range(1, buckets)]
-    facts = known.agg(
-        F.percentile_approx("score", shares, 4 * buckets).alias("cuts"),
-        F.min("score").alias("low"),
-        F.max("score").alias("high"),
-        F.count("*").alias("n"),
-    ).first()
+    # Summaries of the tasks are merged as a tree, so no task sees one per partition.
+    edges = known.approxQuantile("score", [i / buckets for i in range(buckets + 1)], 1 / (4 * buckets))
     per_score = known.groupBy("score").agg(
         F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
     )
-    slices = max(1, math.ceil(facts["n"] / (buckets * rows_per_block)))
-    edges = [facts["low"] or 0.0, *sorted(set(facts["cuts"] or [])), facts["high"] or 0.0]
     ranked = running_sums(
-        *_with_block(per_score, edges, slices),
+        *_with_block(per_score, sorted(set(edges)), slices),
         "score",
         {"neg_below": "neg"},
         inclusive=False,
@@ -132,17 +119,15 @@ def roc_auc(
 
 def _with_block(per_score: DataFrame, edges: list[float], slices: int) -> tuple[DataFrame, Column]:
     """Rows with the bucket between ``edges`` they fall into, and a block number that grows with the score."""
-    inner = sorted(set(edges))[1:-1] or [0.0]
-    cut = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="score", outputCol="cut")
-    placed = cut.transform(per_score)
-    if slices == 1:
-        return placed, F.col("cut")
-    position = F.col("cut").cast("int")
-    lower = F.get(F.lit([min(edges[0], inner[0]), *inner]), position)
-    width = F.get(F.lit([*inner, max(edges[-1], inner[-1])]), position) - lower
-    share = F.when(width > 0, (F.col("score") - lower) / width).otherwise(F.lit(0.0))
-    inside = F.least(F.floor(share * slices), F.lit(slices - 1).cast("long"))
-    return placed, position * F.lit(slices).cast("long") + inside
+    if len(edges) < 3:
+        edges = [0.0, 0.5, 1.0]
+    splits = [-float("inf"), *edges[1:-1], float("inf")]
+    placed = Bucketizer(splits=splits, inputCol="score", outputCol="cut").transform(per_score)
+    cut = F.col("cut").cast("int")
+    lower, upper = F.get(F.lit(edges), cut), F.get(F.lit(edges), cut + 1)
+    place = F.floor((F.col("score") - lower) / (upper - lower) * slices)
+    inside = F.greatest(F.least(place, F.lit(slices - 1).cast("long")), F.lit(0).cast("long"))
+    return placed, cut * F.lit(slices).cast("long") + inside
 
 
 def evaluate(scored: DataFrame, label: str = ACTUAL, threshold: float = FRAUD_THRESHOLD) -> DataFrame:

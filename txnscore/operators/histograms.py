@@ -68,5 +68,5 @@ def histogram_quantile(
 def quantiles_of(arrays: DataFrame, bounds: Sequence[float], quantiles: Sequence[float], *group: str) -> DataFrame:
     return arrays.select(
         *group,
-        *[quantile_from_counts(F.col("cumulative"), bounds, q).alias(f"p{q * 100:g}") for q in quantiles],
+        *[quantile_from_counts(F.col("cumulative"), bounds, q).alias(f"p{q * 100:g}".replace(".", "_")) for q in quantiles],
     )

@@ -20,7 +20,7 @@ def running_sums(
 
     ``block`` must grow with ``order``. Rows are totalled per block first; the totals, one row per block, get a
     running sum of their own, and each block is then summed in its own window. ``overall`` adds grand totals,
-    which are taken from the block totals as well.
+    which are taken from the block totals as well. Rows without a block are left out.
     """
     # Both branches filter and read alike, so that Spark shuffles their common input once.
     blocked = df.withColumn("_block", block).where(F.col("_block").isNotNull())
