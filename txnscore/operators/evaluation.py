@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from txnscore.config import FRAUD_THRESHOLD
 from txnscore.functions.decisions import guarded_ratio, number_or_null
 from txnscore.operators.deciding import ACTUAL, FLAG, SCORE, decide
+from txnscore.operators.quantiles import approximate_quantiles
 from txnscore.operators.running import running_sums
 from txnscore.workspace import written
 
@@ -100,8 +101,8 @@ def roc_auc(
         number_or_null(F.col(score)).alias("score"), (F.col(label) == 1).alias("positive")
     )
     known = known.where(F.col("score").isNotNull())
-    # Summaries of the tasks are merged as a tree, so no task sees one per partition.
-    edges = known.approxQuantile("score", [i / buckets for i in range(buckets + 1)], 1 / (4 * buckets))
+    shares = [i / buckets for i in range(buckets + 1)]
+    [edges] = approximate_quantiles(known, ["score"], shares, 1 / (4 * buckets))
     per_score = known.groupBy("score").agg(
         F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
     )

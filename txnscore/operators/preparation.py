@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnscore.functions.decisions import number_or_null
+from txnscore.operators.quantiles import approximate_quantiles
 from txnscore.schemas import FEATURES, LABEL, SCALED_FEATURES
 
 PREPARED = "prepared_"
@@ -62,11 +63,11 @@ def fit_preparation(
 ) -> SQLTransformer:
     """A pipeline stage that adds ``prepared_*`` columns: medians for missing values, then scaling.
 
-    All medians come from one pass whose summaries are merged as a tree, all scales from another. They end up
-    as literals of the stage, so they are saved with the model, and the source columns stay as they are.
+    All medians come from one pass, all scales from another. They end up as literals of the stage, so they are
+    saved with the model, and the source columns stay as they are.
     """
     numbers = df.select(*[number_or_null(F.col(name)).alias(name) for name in features])
-    medians = numbers.approxQuantile(list(features), [0.5], MEDIAN_ERROR)
+    medians = approximate_quantiles(numbers, features, [0.5], MEDIAN_ERROR)
     scales = fit_scale(df, [name for name in features if name in scaled_features])
     prepared = []
     for name, median in zip(features, medians, strict=True):
