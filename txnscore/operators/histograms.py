@@ -65,8 +65,13 @@ def histogram_quantile(
     return quantiles_of(histogram_arrays(df, col, bounds, *group), bounds, quantiles, *group)
 
 
+def quantile_name(q: float) -> str:
+    """``p95`` for 0.95, ``p99_9`` for 0.999."""
+    return f"p{q * 100:g}".replace(".", "_")
+
+
 def quantiles_of(arrays: DataFrame, bounds: Sequence[float], quantiles: Sequence[float], *group: str) -> DataFrame:
     return arrays.select(
         *group,
-        *[quantile_from_counts(F.col("cumulative"), bounds, q).alias(f"p{q * 100:g}".replace(".", "_")) for q in quantiles],
+        *[quantile_from_counts(F.col("cumulative"), bounds, q).alias(quantile_name(q)) for q in quantiles],
     )
