@@ -5,8 +5,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from txnscore.config import SinkPaths
-from txnscore.jobs import run
+from txnscore.config import KafkaSettings, SinkPaths
+from txnscore.jobs import parser, run, scoring_settings
 from txnscore.operators.numbering import with_row_numbers
 from txnscore.plans import fixtures
 from txnscore.plans.dashboard import REPORTS, latest_transactions
@@ -36,6 +36,15 @@ def test_metadata_is_saved(spark, work):
     assert (row["train_size"], row["test_size"], row["n_estimators"]) == (800, 200, 4)
 
 
+def test_topic_options_reach_the_settings():
+    given = ["score", "--model", "m", "--tables", "t", "--checkpoint", "c", "--servers", "b:9092"]
+    assert scoring_settings(parser().parse_args(given)) == KafkaSettings(servers="b:9092")
+    more = ["--topic", "in", "--alert-topic", "out", "--intake", "5000000", "--min-partitions", "400", "--offsets", "earliest"]
+    assert scoring_settings(parser().parse_args([*given, *more, "--ignore-data-loss"])) == KafkaSettings(
+        "b:9092", "in", "out", 5_000_000, "earliest", False, 400
+    )
+
+
 def test_records_are_numbered_from_one(spark, work):
     sent = spark.read.schema(KAFKA_RECORD).parquet(f"{work}/inbox")
     keys = sorted(int(bytes(row["key"])) for row in sent.select("key").collect())

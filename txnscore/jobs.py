@@ -105,6 +105,11 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--threshold", type=float, default=FRAUD_THRESHOLD)
     score.add_argument("--interval", type=int, default=BATCH_INTERVAL_SECONDS)
     score.add_argument("--once", action="store_true", help="work off what is there and end")
+    score.add_argument("--alert-topic", default=KafkaSettings.alert_topic)
+    score.add_argument("--offsets", default=KafkaSettings.starting_offsets, help="where a new checkpoint starts")
+    score.add_argument("--intake", type=int, default=KafkaSettings.max_offsets_per_trigger, help="records per batch")
+    score.add_argument("--min-partitions", type=int, help="least number of tasks that read the topic")
+    score.add_argument("--ignore-data-loss", action="store_true")
     _add_intake(score)
 
     report = commands.add_parser("report", help="print a report over the tables")
@@ -115,6 +120,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def _add_intake(command: argparse.ArgumentParser) -> None:
+    command.add_argument("--topic", default=KafkaSettings.input_topic)
     intake = command.add_mutually_exclusive_group(required=True)
     intake.add_argument("--servers", help="Kafka bootstrap servers")
     intake.add_argument("--records", help="folder of record files instead of a topic")
@@ -142,16 +148,16 @@ def _train(spark: SparkSession, options: argparse.Namespace) -> None:
 def _produce(spark: SparkSession, options: argparse.Namespace) -> None:
     keyed = records_from(spark, options.data)
     if options.servers:
-        send_records(keyed.select("key", "value"), KafkaSettings(servers=options.servers))
+        send_records(keyed.select("key", "value"), KafkaSettings(options.servers, options.topic))
     else:
-        write_records(keyed, options.records)
+        write_records(keyed, options.records, options.topic)
 
 
 def _score(spark: SparkSession, options: argparse.Namespace) -> None:
     scorer = model_scorer(load_model(f"{options.model}/fitted"))
     config = ScoringConfig(threshold=options.threshold, batch_interval_seconds=options.interval)
     if options.servers:
-        settings = KafkaSettings(servers=options.servers)
+        settings = scoring_settings(options)
         records, senders = kafka_stream(spark, settings), (alert_sender(settings),)
     else:
         records, senders = record_stream(spark, options.records), ()
@@ -161,6 +167,18 @@ def _score(spark: SparkSession, options: argparse.Namespace) -> None:
     )
 
 
+def scoring_settings(options: argparse.Namespace) -> KafkaSettings:
+    return KafkaSettings(
+        servers=options.servers,
+        input_topic=options.topic,
+        alert_topic=options.alert_topic,
+        max_offsets_per_trigger=options.intake,
+        starting_offsets=options.offsets,
+        fail_on_data_loss=not options.ignore_data_loss,
+        min_partitions=options.min_partitions,
+    )
+
+
 def _report(spark: SparkSession, options: argparse.Namespace) -> None:
     paths = SinkPaths.under(options.tables)
     create_tables(spark, paths)
