@@ -43,5 +43,6 @@ def test_written_rows_are_the_same(spark):
 
 def test_only_narrow_scans_are_spread(spark):
     assert workspace.spread(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, 1, 16)
-    assert workspace.spread(wide) is wide
+    for partitions in (4, 8, 16):
+        scan = spark.range(0, 100, 1, partitions)
+        assert workspace.spread(scan) is scan

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# A scan is spread when the cores are at least this many times its partitions.
+IDLE_FACTOR = 4
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor reaches; a local temporary folder only on a local master."""
@@ -36,9 +39,9 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Gives the rows of a plain scan to all cores when it has fewer partitions than there are cores.
+    """Gives the rows of a plain scan to all cores when it would leave most of them idle.
 
-    A scan of many files is left as it is.
+    Any other scan is left as it is, since a shuffle would cost more than it gains.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * IDLE_FACTOR <= cores else scan
