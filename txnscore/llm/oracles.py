@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from txnscore.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -62,7 +64,48 @@ WITH {MIX_TABLES.replace("{docs}", "documents")}
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies FROM mix
 """
 
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TEMPLATES = ", ".join(
+    f"({k}, {_quoted(label)}, [{', '.join(map(_quoted, template_words(text)))}])"
+    for k, (label, text) in enumerate(TEMPLATES)
+)
+_PHRASES = ", ".join(
+    f"([{', '.join(map(_quoted, phrase.split()))}], {_quoted(label)})" for phrase, label in PHRASES.items()
+)
+
+LICENSE_SCAN = f"""
+WITH docs AS (SELECT doc_id, {_LOWER} AS text FROM documents),
+words AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '{_GAP}'), lambda w: w <> '') AS ws FROM docs),
+phrases(phrase, label) AS (VALUES {_PHRASES}),
+places AS (
+  SELECT doc_id, label, unnest(list_filter(range(len(ws)), lambda i: ws[i + 1 : i + len(phrase)] = phrase)) AS place
+  FROM words CROSS JOIN phrases),
+base AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS ls FROM places GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(line, '{_GAP}'), lambda w: w <> '')) AS ws
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)),
+templates(k, label, ws) AS (VALUES {_TEMPLATES}),
+hits AS (
+  SELECT doc_id, label, len(list_intersect(l.ws, t.ws))::DOUBLE / len(t.ws) AS part
+  FROM lines l CROSS JOIN templates t
+  WHERE len(list_intersect(l.ws, t.ws)) >= ceil({THRESHOLD} * len(t.ws) - 1e-9)),
+found AS (SELECT doc_id, max(part) AS part, list(DISTINCT label) AS ls FROM hits GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base,
+       lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+       coalesce(array_to_string(list_sort(b.ls), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.ls, []), coalesce(f.ls, [])))), ','), '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(part, 0.0::DOUBLE) END AS score
+FROM words LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op4_mixing": MIXING,
+    "op9_license_scan": LICENSE_SCAN,
 }

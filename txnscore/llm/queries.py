@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscore.llm import common, exact_dedup, mixing
+from txnscore.llm import common, exact_dedup, licenses, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,4 +18,5 @@ def _over_documents(operator: Callable[[SparkSession, DataFrame], DataFrame]) ->
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": _over_documents(exact_dedup.op2_exact_dedup),
     "op4_mixing": _over_documents(mixing.op4_mixing),
+    "op9_license_scan": _over_documents(licenses.op9_license_scan),
 }
