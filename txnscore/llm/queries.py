@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscore.llm import common, exact_dedup, licenses, mixing
+from txnscore.llm import common, exact_dedup, fingerprints, licenses, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,5 +18,6 @@ def _over_documents(operator: Callable[[SparkSession, DataFrame], DataFrame]) ->
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": _over_documents(exact_dedup.op2_exact_dedup),
     "op4_mixing": _over_documents(mixing.op4_mixing),
+    "op7_fingerprints": _over_documents(fingerprints.op7_fingerprints),
     "op9_license_scan": _over_documents(licenses.op9_license_scan),
 }
