@@ -26,6 +26,8 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # A store is closed once its part of the batch is committed, so its files lie in the checkpoint only.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 KEEP = F.max(F.struct("id", "_file", "_row")).alias("keep")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscore.llm import common, exact_dedup, fingerprints, licenses, mixing
+from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +15,15 @@ def _over_documents(operator: Callable[[SparkSession, DataFrame], DataFrame]) ->
     return lambda spark, sf_dir: operator(spark, common.documents(spark, sf_dir))
 
 
+def _over_labelled_documents(operator: Callable[[SparkSession, DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(spark, common.documents(spark, sf_dir), common.labels(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": _over_documents(exact_dedup.op2_exact_dedup),
+    "op3_language_id": _over_documents(languages.op3_language_id),
     "op4_mixing": _over_documents(mixing.op4_mixing),
     "op7_fingerprints": _over_documents(fingerprints.op7_fingerprints),
+    "op8_quality": _over_labelled_documents(quality.op8_quality),
     "op9_license_scan": _over_documents(licenses.op9_license_scan),
 }
