@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, quality, toxicity
+from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, pieces, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op2_exact_dedup": _over_documents(exact_dedup.op2_exact_dedup),
     "op3_language_id": _over_documents(languages.op3_language_id),
     "op4_mixing": _over_documents(mixing.op4_mixing),
+    "op5_sentencepiece": _over_documents(pieces.op5_sentencepiece),
     "op6_toxicity": _over_labelled_documents(toxicity.op6_toxicity),
     "op7_fingerprints": _over_documents(fingerprints.op7_fingerprints),
     "op8_quality": _over_labelled_documents(quality.op8_quality),
