@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, pieces, quality, toxicity
+from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, pieces, quality, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ def _over_labelled_documents(operator: Callable[[SparkSession, DataFrame, DataFr
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": _over_documents(repeats.op1_suffix_dedup),
     "op2_exact_dedup": _over_documents(exact_dedup.op2_exact_dedup),
     "op3_language_id": _over_documents(languages.op3_language_id),
     "op4_mixing": _over_documents(mixing.op4_mixing),
