@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, pieces, quality, repeats, toxicity
+from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, near_dedup, pieces, quality, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,4 +29,5 @@ QUERIES: dict[str, Query] = {
     "op7_fingerprints": _over_documents(fingerprints.op7_fingerprints),
     "op8_quality": _over_labelled_documents(quality.op8_quality),
     "op9_license_scan": _over_documents(licenses.op9_license_scan),
+    "op10_near_dedup": _over_documents(near_dedup.op10_near_dedup),
 }
