@@ -30,8 +30,10 @@ STATE = {
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
-KEEP = F.max(F.struct("id", "_file", "_row")).alias("keep")
-SIZE = F.count("*").alias("group_size")
+
+def _group() -> list[Column]:
+    """The row that stays and the size of a group."""
+    return [F.max(F.struct("id", "_file", "_row")).alias("keep"), F.count("*").alias("group_size")]
 
 
 @contextmanager
@@ -63,7 +65,7 @@ def _streamed_groups(spark: SparkSession, digests: DataFrame) -> DataFrame:
             spark.readStream.schema(digests.schema)
             .parquet(path)
             .groupBy("digest")
-            .agg(KEEP, SIZE)
+            .agg(*_group())
         )
         query = (
             state.writeStream.outputMode("update")
@@ -77,7 +79,7 @@ def _streamed_groups(spark: SparkSession, digests: DataFrame) -> DataFrame:
         finally:
             query.stop()
     if not query.lastProgress:
-        return digests.groupBy("digest").agg(KEEP, SIZE).limit(0)
+        return digests.groupBy("digest").agg(*_group()).limit(0)
     groups = spark.read.option("basePath", out).parquet(out)
     # Later batches hold later states; both values only grow.
     return groups.groupBy("digest").agg(F.max("keep").alias("keep"), F.max("group_size").alias("group_size"))
@@ -101,7 +103,7 @@ def _duplicates(
     result = _with_keeper(members.join(groups, "digest"))
     if not collided.isEmpty():
         apart = rows.join(collided, "digest", "left_semi")
-        by_text = apart.groupBy("digest", "text").agg(KEEP, SIZE)
+        by_text = apart.groupBy("digest", "text").agg(*_group())
         result = result.join(collided, "digest", "left_anti").unionByName(
             _with_keeper(apart.join(by_text, ["digest", "text"]))
         )

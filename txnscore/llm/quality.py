@@ -180,7 +180,7 @@ def train_quality_model(
     sample: int = 20_000,
     features: int = 256,
     width: float = 3.0,
-    ridge: float = 1e-3,
+    ridge: float = 1e-2,
     partitions: int = 8,
     seed: int = 5,
 ) -> QualityModel:

@@ -20,7 +20,7 @@ class Shape:
 
     units: int = 8
     piece: int = 128
-    epochs: int = 8
+    steps: int = 240
     rows: int = 256
     rate: float = 0.01
     seed: int = 11
@@ -110,21 +110,21 @@ def train(pieces: np.ndarray, label: np.ndarray, classes: int, shape: Shape) ->
     rng = np.random.default_rng(shape.seed + 1)
     first = {name: np.zeros_like(value) for name, value in w.items()}
     second = {name: np.zeros_like(value) for name, value in w.items()}
-    step = 0
-    for epoch in range(shape.epochs):
-        order = rng.permutation(len(pieces))
-        rate = shape.rate * (1 - epoch / shape.epochs) + 1e-4
-        for at in range(0, len(order), shape.rows):
-            rows = order[at : at + shape.rows]
-            grads, _ = _gradients(w, pieces[rows], label[rows])
-            size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            step += 1
-            for name, g in grads.items():
-                g = g / max(1.0, size)
-                first[name] += 0.1 * (g - first[name])
-                second[name] += 0.01 * (g * g - second[name])
-                up = first[name] / (1 - 0.9**step)
-                w[name] -= (rate * up / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+    order = np.zeros(0, np.int64)
+    for step in range(1, shape.steps + 1 if len(pieces) else 1):
+        # Every piece once before any again.
+        if len(order) < min(shape.rows, len(pieces)):
+            order = np.concatenate([order, rng.permutation(len(pieces))])
+        rows, order = order[: shape.rows], order[shape.rows :]
+        rate = shape.rate * (1 - step / shape.steps) + 1e-4
+        grads, _ = _gradients(w, pieces[rows], label[rows])
+        size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        for name, g in grads.items():
+            g = g / max(1.0, size)
+            first[name] += 0.1 * (g - first[name])
+            second[name] += 0.01 * (g * g - second[name])
+            up = first[name] / (1 - 0.9**step)
+            w[name] -= (rate * up / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
     return w
 
 
