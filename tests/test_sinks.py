@@ -80,7 +80,8 @@ def test_one_key_with_a_third_of_the_rows(spark, path):
 
 def test_copies_meet_before_the_shuffle(spark):
     plan = tables.first_per_key(stored(spark, []), "transaction_id", ("partition", "offset"))
-    assert "partial_min_by" in plan._jdf.queryExecution().executedPlan().toString()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in text and "HashAggregate" in text and "SortAggregate" not in text
 
 
 def test_stored_table_is_not_shuffled_for_a_small_batch(spark, path):

@@ -121,6 +121,38 @@ def test_lost_commit_replays_the_batch_without_a_trace(job):
     assert job.everything() == before
 
 
+def test_new_checkpoint_keeps_what_is_stored(job):
+    job.send(record(1, message(1, Amount=80.0)), record(2, message(2, Amount=20.0)))
+    job.run()
+    before = job.everything()
+    job.send(record(3, message(2, Amount=90.0)), record(4, message(3, Amount=70.0)))
+    stream = record_stream(job.spark, f"{job.root}/inbox", 1)
+    for _ in range(2):
+        again = start_scoring(stream, job.scorer, job.paths, f"{job.root}/second", available_now=True)
+        again.awaitTermination()
+    found, second = job.everything(), 1 << 40
+    assert found["transactions"] == [*before["transactions"], ("TXN-00000003", 70.0, second + 1)]
+    assert [row[0] for row in found["batch_metrics"]] == [0, second, second + 1]
+    assert len(found["alerts"]) == len(before["alerts"]) + 3
+
+
+def test_one_time_per_batch(spark):
+    sent = []
+    sender = lambda rows, batch_id: sent.extend(row["timestamp"] for row in rows.collect())
+    job = Job(spark, alert_senders=(sender,))
+    job.send(record(1, message(1, Amount=80.0)))
+    job.run()
+    stored_at = job.table("alerts", ALERTS).selectExpr("unix_micros(alerted_at) / 1e6 t").first()["t"]
+    assert sent == [stored_at]
+    assert job.table("transactions", TRANSACTIONS).selectExpr("unix_micros(processed_at) / 1e6 t").first()["t"] == stored_at
+
+
+def test_batch_without_alerts_writes_no_alert_file(job):
+    job.send(record(1, message(1, Amount=10.0)))
+    job.run()
+    assert not glob.glob(f"{job.root}/tables/fraud_alerts/batch_id=0")
+
+
 def test_same_batch_processed_twice(spark, job):
     job.send(record(1, message(1, Amount=80.0)))
     job.run()

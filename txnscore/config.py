@@ -39,6 +39,7 @@ class SinkPaths:
     batch_metrics: str
     batch_series: str
     rejects: str
+    runs: str
 
     @classmethod
     def under(cls, root: str) -> SinkPaths:
@@ -49,4 +50,5 @@ class SinkPaths:
             batch_metrics=f"{root}/batch_metrics",
             batch_series=f"{root}/batch_series",
             rejects=f"{root}/rejects",
+            runs=f"{root}/runs",
         )

@@ -1,12 +1,16 @@
 """Parquet tables with one folder per micro-batch.
 
 A batch always replaces its own folder ``batch_id=N``. Replaying a batch after a crash therefore leaves
-every table as if it had run once.
+every table as if it had run once. Each checkpoint has a run number of its own, which makes up the upper bits of
+its batch ids, so that a new checkpoint on the same tables never meets the folders of an earlier one.
 """
 
 from __future__ import annotations
 
 import math
+from decimal import Decimal
+
+from pyspark.errors import AnalysisException
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +24,9 @@ from txnscore.schemas import ALERTS, BATCH_ID, BATCH_METRICS, BATCH_SERIES, REJE
 BROADCAST_KEYS = 1_000_000
 ROWS_PER_FILE = 1_000_000
 
+# A batch id is the run number above this many bits and the number of the batch within the run below them.
+RUN_BITS = 40
+
 # Folder of the empty file every table starts with, so that reading a new table works.
 NO_BATCH = -1
 
@@ -34,6 +41,32 @@ def tables(paths: SinkPaths) -> dict[str, StructType]:
     }
 
 
+def run_number(spark: SparkSession, paths: SinkPaths, checkpoint: str) -> int:
+    """The number of the run that a checkpoint stands for, taken once per checkpoint and kept in it.
+
+    A number is taken by making its folder, which only one of several takers can do.
+    """
+    own = f"{checkpoint.rstrip('/')}/run"
+    try:
+        return spark.read.schema("run long").json(own).first()["run"]
+    except AnalysisException:
+        pass
+    number = 0
+    while True:
+        taken = spark.range(1).select(F.lit(checkpoint).alias("checkpoint"))
+        try:
+            taken.write.mode("error").json(f"{paths.runs}/run={number}")
+            break
+        except AnalysisException:
+            number += 1
+    spark.range(1).select(F.lit(number).cast("long").alias("run")).write.json(own)
+    return number
+
+
+def stored_batch_id(run: int, batch_id: int) -> int:
+    return (run << RUN_BITS) + batch_id
+
+
 def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
     """Makes the table unless it exists."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(batch_folder(path, NO_BATCH))
@@ -53,20 +86,26 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, rows: int | None = None) -> None:
-    """Replaces the folder of a batch; a known row count keeps small batches in few files."""
+    """Replaces the folder of a batch; a known row count keeps small batches in few files.
+
+    Rows are dealt out anew for that, so whatever filters them still runs in all tasks.
+    """
     if rows is not None:
-        df = df.coalesce(max(1, math.ceil(rows / ROWS_PER_FILE)))
+        df = df.repartition(max(1, math.ceil(rows / ROWS_PER_FILE)))
     df.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
 def first_per_key(df: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
-    """The first row of each key along ``order``.
+    """The first row of each key along two whole-number columns that are unique together.
 
-    An aggregation rather than a ranking: each task keeps one row per key before the shuffle, so a key
-    that fills a third of the rows costs no more than any other.
+    The place of the first row is found by a hash aggregation of one number per key, combined in each task before
+    the shuffle; the rows are then joined by key and place, so a key that fills a third of them is spread.
     """
-    row = F.struct(*df.columns)
-    return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(row, F.struct(*order)).alias("row")).select("row.*")
+    upper, lower = order
+    place = F.col(upper).cast("decimal(10,0)") * F.lit(Decimal(2**64)) + F.col(lower).cast("decimal(20,0)")
+    placed = df.withColumn("_place", place)
+    first = placed.groupBy(key).agg(F.min("_place").alias("_place"))
+    return placed.join(first, [key, "_place"]).select(*df.columns)
 
 
 def absent_rows(first: DataFrame, others: DataFrame, key: str, key_range: tuple | None, rows: int | None) -> DataFrame:
@@ -134,6 +173,6 @@ def write_batch_metrics(
         BATCH_METRICS,
         batch_size=batch_size,
         fraud_count=fraud_count,
-        fraud_rate=fraud_count / batch_size if batch_size > 0 else 0.0,
+        fraud_rate=0.0 if not batch_size else fraud_count / batch_size,
         processing_ms=processing_ms,
     )

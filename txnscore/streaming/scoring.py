@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -23,6 +24,8 @@ from txnscore.schemas import BATCH_SERIES
 from txnscore.sinks.tables import (
     create_tables,
     insert_if_absent,
+    run_number,
+    stored_batch_id,
     write_alerts,
     write_batch,
     write_batch_metrics,
@@ -107,7 +110,7 @@ def process_batch(
 
     The batch is scored once, on first use, and kept on the executors; a lost executor's share is scored
     again from the same records. Any failure stops the query before the batch is committed. The rows about
-    the batch are written last, when everything they count is stored.
+    the batch are written last, when everything they count is stored. All sinks get the same time.
     """
     started = time.monotonic()
     spark = scored.sparkSession
@@ -120,11 +123,13 @@ def process_batch(
             writes.append(lambda: write_batch(rejected(scored), paths.rejects, batch_id, facts.rejected))
         if facts.size:
             sound = storable(scored)
-            raised = alerts(sound)
-            stored = transaction_records(sound, processing_ms=F.lit(inference_seconds * 1000), keep=ORDER)
+            now = F.lit(datetime.now(UTC))
+            stored = transaction_records(sound, now, processing_ms=F.lit(inference_seconds * 1000), keep=ORDER)
+            if facts.flagged:
+                raised = alerts(sound, now)
+                writes.append(lambda: write_alerts(raised, paths.alerts, batch_id, facts.flagged))
+                writes += [lambda send=send: send(raised, batch_id) for send in alert_senders]
             writes += [
-                lambda: write_alerts(raised, paths.alerts, batch_id, facts.flagged),
-                *[lambda send=send: send(raised, batch_id) for send in alert_senders],
                 lambda: insert_if_absent(
                     stored,
                     paths.transactions,
@@ -178,12 +183,18 @@ def start_scoring(
     """Starts the job on a stream of Kafka-shaped records.
 
     ``checkpoint`` must be on storage that outlives the job: a query started again on it goes on where the
-    last one stopped and repeats at most one batch. ``available_now`` works off what is there and ends.
+    last one stopped and repeats at most one batch. A new checkpoint is a new run, whose batches lie beside those of
+    earlier ones. ``available_now`` works off what is there and ends.
     """
     create_tables(records.sparkSession, paths)
+    run = run_number(records.sparkSession, paths, checkpoint)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        process_batch(batch, stored_batch_id(run, batch_id), paths, alert_senders)
+
     writer = (
         scored_records(records, scorer, config)
-        .writeStream.foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, paths, alert_senders))
+        .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
     )
     if available_now:
