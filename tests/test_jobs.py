@@ -9,7 +9,7 @@ from txnscore.config import KafkaSettings, SinkPaths
 from txnscore.jobs import parser, run, scoring_settings
 from txnscore.operators.numbering import with_row_numbers
 from txnscore.plans import fixtures
-from txnscore.plans.dashboard import REPORTS, latest_transactions
+from txnscore.plans.dashboard import REPORTS
 from txnscore.schemas import COMPONENTS, KAFKA_RECORD, TRANSACTIONS
 from txnscore.schemas import stored as stored_schema
 from txnscore.sinks.tables import create_tables, read_table, write_batch_metrics
@@ -115,15 +115,31 @@ def test_last_transactions_over_batches_of_any_size(spark, sizes):
         rows += [(f"B{batch_id:02d}-{i:02d}", moment, 1.0, 0.5, True, 0, "M", "1", "US", 1.0, batch_id) for i in range(size)]
     schema = stored_schema(TRANSACTIONS)
     spark.createDataFrame(rows, schema).write.mode("append").partitionBy("batch_id").parquet(paths.transactions)
-    got = [row["transaction_id"] for row in latest_transactions(spark, paths).collect()]
+    got = [row["transaction_id"] for row in REPORTS["transactions"](spark, paths).collect()]
     assert got == sorted((row[0] for row in rows), reverse=True)[:10]
 
 
-def test_last_transactions_open_the_last_folder_only(spark):
+def test_last_transactions_go_by_time_not_by_batch(spark):
     paths = SinkPaths.under(new_folder(spark, "latest"))
     create_tables(spark, paths)
-    rows = [(f"B{b}-{i:02d}", datetime(2024, 1, 1 + b), 1.0, 0.5, True, 0, "M", "1", "US", 1.0, b) for b in range(4) for i in range(20)]
+    rows = [(f"B{b}", datetime(2024, 1, 9 - b), 1.0, 0.5, True, 0, "M", "1", "US", 1.0, b) for b in range(8)]
     spark.createDataFrame(rows, stored_schema(TRANSACTIONS)).write.mode("append").partitionBy("batch_id").parquet(paths.transactions)
-    write_batch_metrics(spark, paths.batch_metrics, 3, 20, 0, 1.0)
-    plan = latest_transactions(spark, paths)._jdf.queryExecution().executedPlan().toString()
-    assert "batch_id#" in plan[plan.index("PartitionFilters") :] and "> 2" in plan[plan.index("PartitionFilters") :]
+    frame = REPORTS["transactions"](spark, paths)
+    assert [row["transaction_id"] for row in frame.collect()] == [f"B{b}" for b in range(8)]
+    assert "TakeOrderedAndProject" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("packed", ["1m", "2k"])
+def test_row_numbers_follow_the_paths_of_files(spark, packed):
+    folder = new_folder(spark, "numbers")
+    for name, rows in (("a", 5), ("b", 2_000), ("c", 40)):
+        frame = spark.range(rows).selectExpr(f"concat('{name}', lpad(id, 5, '0')) AS line")
+        frame.coalesce(1).write.text(f"{folder}/{name}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", packed)
+    try:
+        numbered = with_row_numbers(spark.read.text(f"{folder}/*"), "number").orderBy("number").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    lines = [row["value"] for row in numbered]
+    assert lines == sorted(lines) and [row["number"] for row in numbered] == list(range(1, 2_046))

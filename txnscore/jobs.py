@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnscore.config import BATCH_INTERVAL_SECONDS, FRAUD_THRESHOLD, KafkaSettings, ScoringConfig, SinkPaths
-from txnscore.operators import evaluation, preparation, producing, reports, training
+from txnscore.operators import deciding, evaluation, preparation, producing, reports, training
 from txnscore.operators.numbering import with_row_numbers
 from txnscore.plans.dashboard import REPORTS
 from txnscore.schemas import COUNTRIES, LABEL
@@ -19,8 +19,9 @@ from txnscore.sinks.tables import create_tables
 from txnscore.sinks.topics import alert_sender, send_records
 from txnscore.sources.dataset import read_dataset
 from txnscore.sources.models import load_model, save_metadata, save_model
-from txnscore.sources.records import kafka_stream, record_stream
+from txnscore.sources.records import FILES_PER_TRIGGER, kafka_stream, record_stream
 from txnscore.streaming.scoring import model_scorer, run_until_stopped, start_scoring
+from txnscore.workspace import written
 
 log = logging.getLogger(__name__)
 
@@ -55,10 +56,12 @@ def train_from(
     result = evaluation.evaluate(held_out, LABEL)
     save_model(model, f"{model_path}/fitted")
     save_metadata(training.model_metadata(split, result, params=params), f"{model_path}/metadata")
+    decided = deciding.decide(written(held_out.select(LABEL, deciding.SCORE), "decided"))
     return {
         "classes": reports.class_profile(rows),
         "parts": reports.split_profile(split),
         "evaluation": result,
+        "classification": evaluation.classification_report(decided, LABEL),
         "features": training.top_features(training.feature_importance(spark, model)),
     }
 
@@ -108,6 +111,7 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--alert-topic", default=KafkaSettings.alert_topic)
     score.add_argument("--offsets", default=KafkaSettings.starting_offsets, help="where a new checkpoint starts")
     score.add_argument("--intake", type=int, default=KafkaSettings.max_offsets_per_trigger, help="records per batch")
+    score.add_argument("--intake-files", type=int, default=FILES_PER_TRIGGER, help="files of records per batch")
     score.add_argument("--min-partitions", type=int, help="least number of tasks that read the topic")
     score.add_argument("--ignore-data-loss", action="store_true")
     _add_intake(score)
@@ -160,7 +164,7 @@ def _score(spark: SparkSession, options: argparse.Namespace) -> None:
         settings = scoring_settings(options)
         records, senders = kafka_stream(spark, settings), (alert_sender(settings),)
     else:
-        records, senders = record_stream(spark, options.records), ()
+        records, senders = record_stream(spark, options.records, options.intake_files), ()
     paths = SinkPaths.under(options.tables)
     run_until_stopped(
         start_scoring(records, scorer, paths, options.checkpoint, config, senders, available_now=options.once)

@@ -67,6 +67,11 @@ def transaction_records(
     )
 
 
+def high_confidence_stored(stored: DataFrame, floor: float = HIGH_CONFIDENCE) -> DataFrame:
+    """The same report over the table of transactions."""
+    return high_confidence(stored.withColumnRenamed("amount", "Amount"), floor)
+
+
 def high_confidence(df: DataFrame, floor: float = HIGH_CONFIDENCE) -> DataFrame:
     return df.where(decision_flag(F.col(SCORE), floor)).select(
         "transaction_id",

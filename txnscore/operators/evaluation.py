@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnscore.config import FRAUD_THRESHOLD
 from txnscore.functions.decisions import guarded_ratio, number_or_null
 from txnscore.operators.deciding import ACTUAL, FLAG, SCORE, decide
-from txnscore.operators.quantiles import approximate_quantiles
 from txnscore.operators.running import running_sums
 from txnscore.workspace import written
 
-AUC_BUCKETS = 256
-AUC_SLICES = 64
-
 
 def confusion(decided: DataFrame, label: str = ACTUAL, flag: str = FLAG) -> DataFrame:
     """Counts of the four outcomes and both error rates in percent; unlabelled rows are left out."""
@@ -87,27 +82,25 @@ def _report_row(name: str, precision: Column, recall: Column, f1: Column, suppor
     )
 
 
-def roc_auc(
-    df: DataFrame, score: str = SCORE, label: str = ACTUAL, buckets: int = AUC_BUCKETS, slices: int = AUC_SLICES
-) -> DataFrame:
+def roc_auc(df: DataFrame, score: str = SCORE, label: str = ACTUAL) -> DataFrame:
     """Exact area under the ROC curve, ties counting half; NULL unless both classes occur.
 
-    Rows collapse to one per score before anything is ordered. Scores are then cut into buckets at
-    approximate quantiles, so that scores piling up near 0 do not all land in one task, and each bucket into
-    slices of equal width; any cut gives the same area. The scores are computed twice, once for the
-    quantiles, so a model's output is best passed as a table.
+    Rows collapse to one per score before anything is ordered. The scores are then dealt out by range, so that
+    each task holds about as many, wherever they pile up; the ranges are written down as blocks, whose totals carry
+    the running sums across them. The scores are computed once.
     """
     known = df.where(F.col(label).isNotNull()).select(
         number_or_null(F.col(score)).alias("score"), (F.col(label) == 1).alias("positive")
     )
-    known = known.where(F.col("score").isNotNull())
-    shares = [i / buckets for i in range(buckets + 1)]
-    [edges] = approximate_quantiles(known, ["score"], shares, 1 / (4 * buckets))
-    per_score = known.groupBy("score").agg(
-        F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
+    per_score = (
+        known.where(F.col("score").isNotNull())
+        .groupBy("score")
+        .agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
     )
+    blocks = written(per_score.repartitionByRange("score").withColumn("block", F.spark_partition_id()), "scores")
     ranked = running_sums(
-        *_with_block(per_score, sorted(set(edges)), slices),
+        blocks,
+        F.col("block"),
         "score",
         {"neg_below": "neg"},
         inclusive=False,
@@ -118,19 +111,6 @@ def roc_auc(
     return ranked.agg((F.sum(pairs) / F.nullif(possible, F.lit(0.0))).alias("auc_roc"))
 
 
-def _with_block(per_score: DataFrame, edges: list[float], slices: int) -> tuple[DataFrame, Column]:
-    """Rows with the bucket between ``edges`` they fall into, and a block number that grows with the score."""
-    if len(edges) < 3:
-        edges = [0.0, 0.5, 1.0]
-    splits = [-float("inf"), *edges[1:-1], float("inf")]
-    placed = Bucketizer(splits=splits, inputCol="score", outputCol="cut").transform(per_score)
-    cut = F.col("cut").cast("int")
-    lower, upper = F.get(F.lit(edges), cut), F.get(F.lit(edges), cut + 1)
-    place = F.floor((F.col("score") - lower) / (upper - lower) * slices)
-    inside = F.greatest(F.least(place, F.lit(slices - 1).cast("long")), F.lit(0).cast("long"))
-    return placed, cut * F.lit(slices).cast("long") + inside
-
-
 def evaluate(scored: DataFrame, label: str = ACTUAL, threshold: float = FRAUD_THRESHOLD) -> DataFrame:
     """One row for a scored hold-out part: area, outcome counts, and precision, recall and F1 of fraud.
 

@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-# One task merges the summaries of all others. A summary takes some 24 kB per column at an error of 0.001, so
-# the merging task sees about 100 MB per column at most, however many partitions the table has.
-SUMMARY_TASKS = 4096
-
 
 def approximate_quantiles(
     df: DataFrame, cols: Sequence[str], shares: Sequence[float], error: float
 ) -> list[list[float]]:
-    """The quantiles of each column in one pass; an empty list for a column without numbers."""
-    return df.coalesce(SUMMARY_TASKS).approxQuantile(list(cols), list(shares), error)
+    """The quantiles of each column in one pass; an empty list for a column without numbers.
+
+    Each task makes a summary, and summaries are merged as a tree, so the last merge sees about the square root of
+    the number of tasks.
+    """
+    return df.approxQuantile(list(cols), list(shares), error)

@@ -25,28 +25,41 @@ def windowed_rate(
     number of rows in the window. Rows are summed once per slide; the few slide totals, not the rows, are then
     copied into every window that covers them. Windows start at whole multiples of the slide.
     """
-    slide = slide_seconds or window_seconds
-    if window_seconds % slide:
-        raise ValueError("the window must be a whole number of slides")
     totals = series_totals(series, amounts)
     panes = (
         df.where(F.col(ts).isNotNull())
-        .groupBy(F.window(ts, f"{slide} seconds").alias("pane"))
+        .groupBy(F.window(ts, f"{slide_of(window_seconds, slide_seconds)} seconds").alias("span"))
         .agg(*[total.alias(name) for name, total in totals.items()], F.count("*").alias("n"))
+        .withColumn("pane", F.col("span.start"))
     )
+    return rates_of_panes(panes, list(totals), window_seconds, slide_seconds)
+
+
+def slide_of(window_seconds: int, slide_seconds: int | None) -> int:
+    slide = slide_seconds or window_seconds
+    if window_seconds % slide:
+        raise ValueError("the window must be a whole number of slides")
+    return slide
+
+
+def rates_of_panes(
+    panes: DataFrame, names: list[str], window_seconds: int, slide_seconds: int | None = None
+) -> DataFrame:
+    """Rates per window from the totals of the slides that start at ``pane``."""
+    slide = slide_of(window_seconds, slide_seconds)
     covering = window_seconds // slide
     if covering == 1:
-        windows = panes.withColumn("window_start", F.col("pane.start"))
+        windows = panes.withColumn("window_start", F.col("pane"))
     else:
         shift = F.explode(F.sequence(F.lit(0), F.lit(covering - 1)))
         windows = (
             panes.withColumn("shift", shift)
-            .withColumn("window_start", F.col("pane.start") - F.make_dt_interval(secs=F.col("shift") * slide))
+            .withColumn("window_start", F.col("pane") - F.make_dt_interval(secs=F.col("shift") * slide))
             .groupBy("window_start")
-            .agg(*[F.sum(name).alias(name) for name in [*totals, "n"]])
+            .agg(*[F.sum(name).alias(name) for name in [*names, "n"]])
         )
     return windows.select(
-        "window_start", *[(F.col(name) / F.lit(float(window_seconds))).alias(name) for name in totals], "n"
+        "window_start", *[(F.col(name) / F.lit(float(window_seconds))).alias(name) for name in names], "n"
     )
 
 

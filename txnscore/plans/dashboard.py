@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from txnscore.config import SinkPaths
 from txnscore.functions import buckets
-from txnscore.operators import histograms, metrics, rates, reports
-from txnscore.schemas import BATCH_ID, BATCH_METRICS, BATCH_SERIES, REJECTS, TRANSACTIONS
+from txnscore.operators import deciding, histograms, metrics, rates, reports
+from txnscore.schemas import BATCH_METRICS, BATCH_SERIES, REJECTS, TRANSACTIONS
 from txnscore.sinks.tables import read_table
 
 # Ranges and quantiles of the panels, in seconds.
@@ -57,23 +57,6 @@ def _scores(spark: SparkSession, paths: SinkPaths) -> DataFrame:
     return histograms.merge_histogram_arrays(_series(spark, paths), "score_buckets", len(buckets.SCORE))
 
 
-def latest_transactions(spark: SparkSession, paths: SinkPaths, n: int = 10) -> DataFrame:
-    """The last stored transactions, read from the last batches only.
-
-    Later batches are stored later, so older folders are opened only while the newer ones hold fewer rows
-    than are shown.
-    """
-    stored = _transactions(spark, paths)
-    last = _metrics(spark, paths).agg(F.max(BATCH_ID)).first()[0]
-    newest, span = stored, 1
-    while last is not None and span <= last:
-        newest = stored.where(F.col(BATCH_ID) > last - span)
-        if newest.limit(n).count() == n:
-            break
-        newest, span = stored, span * 8
-    return reports.recent_transactions(newest, n)
-
-
 def issues(spark: SparkSession, paths: SinkPaths) -> DataFrame:
     """Rejected records by reason."""
     stored = read_table(spark, paths.rejects, REJECTS)
@@ -82,7 +65,8 @@ def issues(spark: SparkSession, paths: SinkPaths) -> DataFrame:
 
 REPORTS: dict[str, Callable[[SparkSession, SinkPaths], DataFrame]] = {
     "health": lambda spark, paths: reports.health_count(_transactions(spark, paths)),
-    "transactions": latest_transactions,
+    "transactions": lambda spark, paths: reports.recent_transactions(_transactions(spark, paths)),
+    "high-confidence": lambda spark, paths: deciding.high_confidence_stored(_transactions(spark, paths)),
     "fraud": lambda spark, paths: reports.fraud_summary(_transactions(spark, paths)),
     "batches": lambda spark, paths: reports.recent_batches(_metrics(spark, paths)),
     "throughput": throughput,

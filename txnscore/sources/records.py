@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from txnscore.config import KafkaSettings
 from txnscore.schemas import KAFKA_RECORD
 
+# Files of records that make up one batch, so that a backlog does not become a single batch.
+FILES_PER_TRIGGER = 64
+
 
 def kafka_options(settings: KafkaSettings) -> dict[str, str]:
     options = {
@@ -30,9 +33,7 @@ def kafka_stream(spark: SparkSession, settings: KafkaSettings) -> DataFrame:
     return spark.readStream.format("kafka").options(**kafka_options(settings)).load()
 
 
-def record_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of Kafka-shaped records as a stream, oldest file first."""
-    reader = spark.readStream.schema(KAFKA_RECORD)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+def record_stream(spark: SparkSession, path: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Parquet files of Kafka-shaped records as a stream, oldest file first, so many files in a batch."""
+    reader = spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

@@ -4,35 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from txnscore.operators.rates import series_totals
+from txnscore.operators.rates import rates_of_panes, series_totals, slide_of
 
+PANE = "pane_start"
+_WRITE = "write"
 
-def windowed_rate_stream(
+
+def start_pane_totals(
     df: DataFrame,
     ts: str,
-    delay: str,
+    path: str,
+    checkpoint: str,
     window_seconds: int,
     slide_seconds: int | None = None,
     series: Mapping[str, Column] | None = None,
-) -> DataFrame:
-    """The streaming form of ``operators.rates.windowed_rate``, to be written in append mode.
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Sums a stream once per slide and keeps the totals at ``path``.
 
-    A window is emitted once the watermark, ``delay`` behind the latest event, has passed its end; rows that
-    come later than that are dropped. The state holds counters of open windows only.
+    The state is one row of counters per slide and is never dropped, so no row comes too late and windows that are
+    still open count as well. Each micro-batch writes the totals that changed in a folder of its own, which a replay
+    replaces; the totals of a later one hold.
     """
-    slide = slide_seconds or window_seconds
     totals = series_totals(series)
-    counted = (
-        df.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, delay)
-        .groupBy(F.window(ts, f"{window_seconds} seconds", f"{slide} seconds").alias("span"))
+    slide = slide_of(window_seconds, slide_seconds)
+    panes = (
+        df.where(F.col(ts).isNotNull())
+        .groupBy(F.window(F.col(ts).cast("timestamp"), f"{slide} seconds")["start"].alias(PANE))
         .agg(*[total.alias(name) for name, total in totals.items()], F.count("*").alias("n"))
     )
-    return counted.select(
-        F.col("span.start").alias("window_start"),
-        *[(F.col(name) / F.lit(float(window_seconds))).alias(name) for name in totals],
-        "n",
+
+    def store(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/{_WRITE}={batch_id}")
+
+    writer = panes.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start() if available_now else writer.start()
+
+
+def streamed_rate(
+    spark: SparkSession,
+    path: str,
+    window_seconds: int,
+    slide_seconds: int | None = None,
+    series: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """The rates of all windows so far, equal to ``operators.rates.windowed_rate`` over the rows seen."""
+    names = list(series_totals(series))
+    written = spark.read.option("basePath", path).parquet(path)
+    latest = written.groupBy(PANE).agg(
+        *[F.max_by(name, _WRITE).alias(name) for name in [*names, "n"]],
     )
+    return rates_of_panes(latest.withColumnRenamed(PANE, "pane"), names, window_seconds, slide_seconds)
