@@ -25,7 +25,7 @@ def work(spark, sf_dir):
     data.repartition(4).write.csv(f"{folder}/data", header=True)
     tables, inbox, model = (f"{folder}/{name}" for name in ("tables", "inbox", "model"))
     run(["train", "--data", f"{folder}/data", "--model", model, "--trees", "4", "--depth", "3"], spark)
-    run(["produce", "--data", f"{folder}/data", "--records", inbox], spark)
+    run(["produce", "--data", f"{folder}/data", "--records", inbox, "--tables", tables], spark)
     score = ["score", "--model", model, "--tables", tables, "--records", inbox, "--once"]
     run([*score, "--checkpoint", f"{folder}/checkpoint"], spark)
     return folder
@@ -76,6 +76,10 @@ def test_reports_agree_with_the_tables(spark, work):
     assert report["scores"].where("le = '+Inf'").first()["cumulative_count"] == 1_000
     assert report["score-ranges"].agg(F.sum("n_rows")).first()[0] == 1_000
     assert report["throughput"].selectExpr("round(sum(processed_per_second) * 60)").first()[0] == 1_000
+    assert report["throughput"].selectExpr("round(sum(sent_per_second) * 60)").first()[0] == 1_000
+    assert report["sent"].first()["sent_total"] == 1_000 and report["send-times"].where("le = '+Inf'").count() == 1
+    frauds = read_table(spark, paths.transactions, TRANSACTIONS).where("is_fraud_ground_truth = 1").count()
+    assert report["sent"].first()["fraud_sent_total"] == frauds
     assert report["fraud-rates"].selectExpr("round(sum(detected_per_second) * 60)").first()[0] == flagged
     assert report["transactions"].count() == 10
     assert report["issues"].count() == 0

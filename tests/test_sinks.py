@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -9,7 +10,7 @@ from frames import stored
 from txnscore.schemas import ALERTS, BATCH_METRICS, TRANSACTIONS
 from txnscore.config import KafkaSettings, SinkPaths
 from txnscore.sinks import tables, topics
-from txnscore.sinks.database import append_to_database
+from txnscore.sinks.database import append_to_database, merge_text
 from txnscore.sources.records import kafka_stream
 from txnscore.workspace import new_folder
 
@@ -146,6 +147,17 @@ def test_topics_ask_for_the_connector(spark):
             use()
 
 
+def test_merge_text():
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE txn (transaction_id VARCHAR PRIMARY KEY, amount DOUBLE)")
+    connection.execute("CREATE TABLE staged (transaction_id VARCHAR, amount DOUBLE)")
+    connection.execute("INSERT INTO txn VALUES ('A', 1)")
+    connection.execute("INSERT INTO staged VALUES ('A', 9), ('B', 2)")
+    for _ in range(2):
+        connection.execute(merge_text("txn", "staged", ["transaction_id", "amount"], "transaction_id"))
+    assert connection.execute("SELECT * FROM txn ORDER BY 1").fetchall() == [("A", 1.0), ("B", 2.0)]
+
+
 def test_database_in_memory(spark):
     url = "jdbc:derby:memory:txnscore;create=true"
     driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}

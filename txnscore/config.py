@@ -40,6 +40,7 @@ class SinkPaths:
     batch_series: str
     rejects: str
     runs: str
+    sent: str
 
     @classmethod
     def under(cls, root: str) -> SinkPaths:
@@ -51,4 +52,5 @@ class SinkPaths:
             batch_series=f"{root}/batch_series",
             rejects=f"{root}/rejects",
             runs=f"{root}/runs",
+            sent=f"{root}/sent",
         )

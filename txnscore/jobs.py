@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import argparse
 import logging
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txnscore.config import BATCH_INTERVAL_SECONDS, FRAUD_THRESHOLD, KafkaSettings, ScoringConfig, SinkPaths
 from txnscore.operators import deciding, evaluation, preparation, producing, reports, training
 from txnscore.operators.numbering import with_row_numbers
 from txnscore.plans.dashboard import REPORTS
-from txnscore.schemas import COUNTRIES, LABEL
+from txnscore.schemas import COUNTRIES, LABEL, SENT
 from txnscore.session import build_session
-from txnscore.sinks.tables import create_tables
+from txnscore.sinks.tables import create_tables, write_batch_row
 from txnscore.sinks.topics import alert_sender, send_records
 from txnscore.sources.dataset import read_dataset
 from txnscore.sources.models import load_model, save_metadata, save_model
@@ -75,6 +76,28 @@ def records_from(spark: SparkSession, data: str) -> DataFrame:
     return producing.to_keyed_records(messages, "number", keep=("number", "now"))
 
 
+def send_and_count(spark: SparkSession, keyed: DataFrame, send: Callable[[DataFrame], None], tables: str | None) -> None:
+    """Sends records, and with a folder of tables stores how many there were, how many of them frauds, and the time.
+
+    The records are counted on their way out, not read again.
+    """
+    label = F.get_json_object(F.col("value").cast("string"), f"$.{deciding.ACTUAL}")
+    counts, started = Observation("sent"), time.monotonic()
+    send(keyed.observe(counts, F.count("*").alias("n"), F.count_if(label == "1").alias("frauds")))
+    if tables:
+        paths = SinkPaths.under(tables)
+        create_tables(spark, paths)
+        write_batch_row(
+            spark,
+            paths.sent,
+            int(time.time() * 1000),
+            SENT,
+            batch_size=counts.get["n"],
+            actual_count=counts.get["frauds"],
+            send_seconds=time.monotonic() - started,
+        )
+
+
 def write_records(keyed: DataFrame, folder: str, topic: str = KafkaSettings.input_topic) -> None:
     """Records as Parquet files of Kafka shape, to be read by a file stream."""
     keyed.select(
@@ -99,6 +122,7 @@ def parser() -> argparse.ArgumentParser:
 
     produce = commands.add_parser("produce", help="send a dataset as transaction messages")
     produce.add_argument("--data", required=True)
+    produce.add_argument("--tables", help="where to store how much was sent")
     _add_intake(produce)
 
     score = commands.add_parser("score", help="score a topic or a folder of records")
@@ -150,11 +174,13 @@ def _train(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def _produce(spark: SparkSession, options: argparse.Namespace) -> None:
-    keyed = records_from(spark, options.data)
-    if options.servers:
-        send_records(keyed.select("key", "value"), KafkaSettings(options.servers, options.topic))
-    else:
-        write_records(keyed, options.records, options.topic)
+    def send(keyed: DataFrame) -> None:
+        if options.servers:
+            send_records(keyed.select("key", "value"), KafkaSettings(options.servers, options.topic))
+        else:
+            write_records(keyed, options.records, options.topic)
+
+    send_and_count(spark, records_from(spark, options.data), send, options.tables)
 
 
 def _score(spark: SparkSession, options: argparse.Namespace) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txnscore.config import SinkPaths
 from txnscore.functions import buckets
 from txnscore.operators import deciding, histograms, metrics, rates, reports
-from txnscore.schemas import BATCH_METRICS, BATCH_SERIES, REJECTS, TRANSACTIONS
+from txnscore.schemas import BATCH_METRICS, BATCH_SERIES, REJECTS, SENT, TRANSACTIONS
 from txnscore.sinks.tables import read_table
 
 # Ranges and quantiles of the panels, in seconds.
@@ -23,6 +23,10 @@ def _series(spark: SparkSession, paths: SinkPaths) -> DataFrame:
     return read_table(spark, paths.batch_series, BATCH_SERIES)
 
 
+def _sent(spark: SparkSession, paths: SinkPaths) -> DataFrame:
+    return read_table(spark, paths.sent, SENT)
+
+
 def _metrics(spark: SparkSession, paths: SinkPaths) -> DataFrame:
     return read_table(spark, paths.batch_metrics, BATCH_METRICS)
 
@@ -32,10 +36,12 @@ def _transactions(spark: SparkSession, paths: SinkPaths) -> DataFrame:
 
 
 def throughput(spark: SparkSession, paths: SinkPaths) -> DataFrame:
-    """Transactions processed per second in each minute."""
-    return rates.windowed_rate(
-        _series(spark, paths), "processed_at", RATE_SECONDS, amounts={"processed_per_second": F.col("batch_size")}
-    )
+    """Transactions sent and processed per second in each minute."""
+    processed = _series(spark, paths).select("processed_at", F.col("batch_size").alias("processed"))
+    sent = _sent(spark, paths).select("processed_at", F.col("batch_size").alias("sent"))
+    both = processed.unionByName(sent, allowMissingColumns=True)
+    amounts = {"sent_per_second": F.col("sent"), "processed_per_second": F.col("processed")}
+    return rates.windowed_rate(both, "processed_at", RATE_SECONDS, amounts=amounts)
 
 
 def fraud_rates(spark: SparkSession, paths: SinkPaths) -> DataFrame:
@@ -73,7 +79,7 @@ REPORTS: dict[str, Callable[[SparkSession, SinkPaths], DataFrame]] = {
     "fraud-rates": fraud_rates,
     "latest-rate": lambda spark, paths: metrics.latest_rate(_metrics(spark, paths)),
     "counters": lambda spark, paths: metrics.running_counters(_metrics(spark, paths)),
-    "sent": lambda spark, paths: metrics.running_counters(_series(spark, paths), metrics.SENT),
+    "sent": lambda spark, paths: metrics.running_counters(_sent(spark, paths), metrics.SENT),
     "batch-counts": lambda spark, paths: metrics.batch_count_series(_metrics(spark, paths)),
     "latency": inference_latency,
     "scores": lambda spark, paths: histograms.histogram_rows(_scores(spark, paths), buckets.SCORE),
@@ -87,5 +93,8 @@ REPORTS: dict[str, Callable[[SparkSession, SinkPaths], DataFrame]] = {
     "inference-times": lambda spark, paths: histograms.bucket_histogram(
         _series(spark, paths), "inference_seconds", buckets.INFERENCE_SECONDS
     ),
+    "send-times": lambda spark, paths: histograms.bucket_histogram(
+        _sent(spark, paths), "send_seconds", buckets.SEND_SECONDS
+    ),
     "issues": issues,
 }

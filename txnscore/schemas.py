@@ -45,6 +45,7 @@ KAFKA_RECORD = _struct(
     timestamp=TimestampType(),
 )
 
+# The shapes of messages and tables from here on.
 MESSAGE = _struct(
     transaction_id=StringType(),
     timestamp=DoubleType(),
@@ -102,6 +103,13 @@ BATCH_SERIES = _struct(
     score_buckets=ArrayType(LongType()),
 )
 
+SENT = _struct(
+    processed_at=TimestampType(),
+    batch_size=LongType(),
+    actual_count=LongType(),
+    send_seconds=DoubleType(),
+)
+
 REJECTS = _struct(
     issue=StringType(),
     partition=IntegerType(),

@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 # Fixed value: rows per insert round trip.
 PAGE_ROWS = 500
 
 
+def merge_text(table: str, staging: str, columns: Sequence[str], key: str) -> str:
+    """The statement that moves staged rows into a table whose key is unique; rows whose key is there are left out.
+
+    To be run by the database after ``append_to_database`` has filled the staging table; a repeated batch may be
+    staged and merged again without a trace.
+    """
+    names = ", ".join(columns)
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON CONFLICT ({key}) DO NOTHING"
+
+
 def append_to_database(df: DataFrame, url: str, table: str, options: dict[str, str] | None = None) -> None:
     """Appends rows; uniqueness and replay are the target table's affair. Credentials go into ``options``."""
     settings = {"batchsize": str(PAGE_ROWS), **(options or {})}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from txnscore.config import SinkPaths
-from txnscore.schemas import ALERTS, BATCH_ID, BATCH_METRICS, BATCH_SERIES, REJECTS, TRANSACTIONS, stored
+from txnscore.schemas import ALERTS, BATCH_ID, BATCH_METRICS, BATCH_SERIES, REJECTS, SENT, TRANSACTIONS, stored
 
 # A batch of at most this many keys (some tens of bytes each) is sent to the tasks that scan stored keys.
 BROADCAST_KEYS = 1_000_000
@@ -38,6 +38,7 @@ def tables(paths: SinkPaths) -> dict[str, StructType]:
         paths.batch_metrics: BATCH_METRICS,
         paths.batch_series: BATCH_SERIES,
         paths.rejects: REJECTS,
+        paths.sent: SENT,
     }
 
 
