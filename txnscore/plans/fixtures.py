@@ -1,7 +1,7 @@
 """Transactions, records and batches derived from the ``events`` and ``embeddings`` tables.
 
 Every event is one transaction. Its components come from the embedding whose ``vec_id`` is the event id
-modulo the number of embeddings, so that both tables are used whole.
+modulo the number of embeddings: all rows of both tables are used, and the first 28 entries of each vector.
 """
 
 from __future__ import annotations
