@@ -52,7 +52,8 @@ def shingle_hashes(text: Column, width: int = WORDS) -> Column:
 
 
 def _votes() -> list[Column]:
-    halves = [F.col("_hash"), F.xxhash64(F.col("_hash"), F.lit(1))]
+    second = F.when(F.col("_hash").isNotNull(), F.xxhash64(F.col("_hash"), F.lit(1)))
+    halves = [F.col("_hash"), second]
     return [
         F.sum(F.shiftrightunsigned(half, lane).bitwiseAND(F.lit(PAIR))).alias(f"_v{k}_{lane}")
         for k, half in enumerate(halves)
@@ -123,10 +124,12 @@ def with_edited_text(docs: DataFrame) -> DataFrame:
 
     ``edited`` is the text with its last half replaced by as many first code points of the next document.
     """
-    needs = docs.where("id is not null").groupBy("id").agg(F.max(F.floor(F.length("text") / 2)).alias("need"))
+    # Both joins below read the texts by the same plan, so Spark shuffles them once.
+    known, outside = docs.where("id is not null"), docs.where("id is null")
+    needs = known.groupBy("id").agg(F.max(F.floor(F.length("text") / 2)).alias("need"))
     needs = written(needs, "needs")
     follow = written(next_ids(needs.select("id")).join(needs, "id"), "next")
-    lent = docs.join(follow.select(F.col("id").alias("for_id"), F.col("next_id").alias("id"), "need"), "id").select(
+    lent = known.join(follow.select(F.col("id").alias("for_id"), F.col("next_id").alias("id"), "need"), "id").select(
         F.col("for_id").alias("id"), F.substring("text", F.lit(1), F.col("need").cast("int")).alias("lent")
     )
     lent = lent.groupBy("id").agg(F.max("lent").alias("lent"))
@@ -135,7 +138,8 @@ def with_edited_text(docs: DataFrame) -> DataFrame:
         F.substring("text", F.lit(1), F.length("text") - half),
         F.substring(F.coalesce("lent", F.lit("")), F.lit(1), half),
     )
-    return docs.join(lent, "id", "left").select("id", "text", edited.alias("edited"))
+    lent_rows = known.join(lent, "id", "left").unionByName(outside.withColumn("lent", F.lit(None).cast("string")))
+    return lent_rows.select("id", "text", edited.alias("edited"))
 
 
 def block_tables(members: DataFrame, radius: int = RADIUS) -> DataFrame:
