@@ -45,8 +45,8 @@ class Settings:
     percent: int = 80
     places: int = 128
     trees: int = 20
-    levels: int = 8
-    node: int = 512
+    levels: int = 3
+    node: int = 4096
     block: int = 500
     slack: float = 0.16
     seed: int = 3
@@ -96,27 +96,34 @@ def signature(values: np.ndarray, families: tuple[np.ndarray, np.ndarray]) -> np
     return best
 
 
-_SKETCH = "doc long, n_shingles long, h1 long, h2 long, signature binary"
+_SKETCH = "doc long, n_shingles long, h1 long, h2 long, signature binary, brief binary"
 
 
 def sketches(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Rows (``doc``, ``body``) as size, identity (128 bits) and signature of their sets."""
+    """Rows (``doc``, ``body``) as size, identity (128 bits) and signature of their sets.
+
+    ``brief`` has one byte of each value of the signature, enough to estimate how many of two agree.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         families = _families(settings)
         for batch in batches:
             data, starts = flat(batch.column(1))
-            count, one, two, signs = [], [], [], []
+            count, one, two, signs, briefs = [], [], [], [], []
             for low, high in groups(starts, BLOCK_BYTES):
                 part = starts[low : high + 1]
                 for values in shingles(data[part[0] : part[-1]], part - part[0], settings.words):
                     count.append(len(values))
                     one.append(values.sum(dtype=np.uint64))
                     two.append((values * _MIX1 ^ values >> np.uint64(29)).sum(dtype=np.uint64))
-                    signs.append(signature(values, families).tobytes())
+                    sign = signature(values, families)
+                    signs.append(sign.tobytes())
+                    briefs.append(sign.astype(np.uint8).tobytes())
             identity = [pa.array(np.array(h, np.uint64).view(np.int64)) for h in (one, two)]
-            columns = [batch.column(0), pa.array(count, pa.int64()), *identity, pa.array(signs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "n_shingles", "h1", "h2", "signature"])
+            columns = [batch.column(0), pa.array(count, pa.int64()), *identity]
+            columns += [pa.array(signs, pa.binary()), pa.array(briefs, pa.binary())]
+            names = ["doc", "n_shingles", "h1", "h2", "signature", "brief"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.select("doc", "body").mapInArrow(sketch, _SKETCH)
 
@@ -231,13 +238,12 @@ def _links_of(members: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
 def possible_links(nodes: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
     """Links (``a``, ``b``) that tie the members of each node whose signatures agree nearly enough."""
     least = (settings.percent / 100 - settings.slack) * settings.places
-    short = members.select("member", "signature")
+    short = members.select("member", "brief")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches):
             path, member = table.column(0).to_numpy(), table.column(1).to_numpy()
-            # One byte of each value is enough to estimate how many agree.
-            signs = np.ascontiguousarray(_signs(table.column(2).combine_chunks(), settings).astype(np.uint8))
+            signs = flat(table.column(2).combine_chunks())[0].reshape(len(path), settings.places)
             starts = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
             sizes = np.diff(np.append(starts, len(path)))
             a, b = [], []
@@ -264,7 +270,7 @@ def possible_links(nodes: DataFrame, members: DataFrame, settings: Settings) ->
 
     return (
         nodes.join(short, "member")
-        .select("path", "member", "signature")
+        .select("path", "member", "brief")
         .repartition("path")
         .sortWithinPartitions("path", "member")
         .mapInArrow(compare, "a long, b long")
@@ -342,7 +348,7 @@ def near_duplicates(
     sets = written(sets, "sets")
     owned = sketched.where("n_shingles > 0").join(sets, ["h1", "h2"])
     members = written(
-        owned.where("doc = member").dropDuplicates(["h1", "h2"]).select("member", "signature"), "members"
+        owned.where("doc = member").dropDuplicates(["h1", "h2"]).select("member", "signature", "brief"), "members"
     )
     possible = possible_links(chosen_nodes(members, settings), members, settings)
     clusters = written(components(possible), "clusters")
@@ -355,7 +361,8 @@ def near_duplicates(
     placed = whole.unionByName(cut.select("part", "member"))
     # The bodies of clustered members are shuffled once by id; only then are they copied to their parts.
     listed = placed.groupBy("member").agg(F.collect_set("part").alias("parts"))
-    bodies = rows.join(listed, F.col("doc") == F.col("member")).select(F.explode("parts").alias("part"), "member", "body")
+    # Their list grows with the table, so it is never broadcast.
+    bodies = rows.join(listed.hint("merge"), F.col("doc") == F.col("member")).select(F.explode("parts").alias("part"), "member", "body")
     copies = owned.where("doc <> member").select(F.col("doc").alias("a"), F.col("member").alias("b"))
     tied = components(exact_links(bodies, settings).unionByName(copies))
     found = sketched.select("doc", "n_shingles").join(tied, F.col("doc") == F.col("id"), "left")
