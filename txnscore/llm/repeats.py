@@ -6,7 +6,7 @@ document before) is removed. Three steps keep the sorting small without missing
 1. Each window of ``length`` bytes is put to the anchor in it: the byte run of ``GRAM`` bytes with the smallest hash,
    the first of several. Equal windows have equal anchors. Neighbouring windows with one anchor are one context, about
    one in forty bytes. Contexts go to the task of their anchor, where those met by nothing else drop out, and equal
-   contexts count once: all but the first are repeats as they are. Copies met in one batch are combined before.
+   contexts count once: all but the first are repeats as they are. Copies met close together are combined before.
 2. Different contexts of one anchor may share some windows. Their bytes are gathered per anchor, and a suffix array
    of them is built by two-stage sorting; neighbours with a common prefix of ``length`` bytes are equal windows. An
    anchor with very many contexts is split by a hash of the windows' first bytes.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnscore.llm.batches import flat
+from txnscore.llm.batches import flat, groups
 from txnscore.llm.common import addressed, whole_text
 from txnscore.llm.suffixes import common_prefixes, suffix_order
 from txnscore.workspace import written
@@ -36,6 +36,8 @@ LENGTH = 100
 GRAM = 24
 #: Window starts that are hashed at once.
 CHUNK = 1 << 18
+#: Texts whose equal contexts are combined before the shuffle.
+GROUP_BYTES = 16 << 20
 #: Contexts of one anchor that are sorted together, and bytes of a suffix array.
 MOST_CONTEXTS = 1000
 UNIT_BYTES = 1 << 19
@@ -138,23 +140,26 @@ def _anchored(rows: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             data, starts = flat(batch.column(2))
             ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            text, start, windows, key, ctx = contexts(data, starts, length)
-            doc, tie = ids[text], ties[text]
-            order = np.lexsort((start, tie, doc, ctx, key))
-            key, ctx = key[order], ctx[order]
-            again = np.zeros(len(order), bool)
-            again[1:] = (key[1:] == key[:-1]) & (ctx[1:] == ctx[:-1])
-            once, more = order[~again], order[again]
-            d, t, s, w = merged_runs(doc[more], tie[more], start[more], windows[more])
-            columns = [
-                np.concatenate([key[~again].view(np.int64), (d * 31 + s) * np.int64(0x9E3779B97F4A7C1 | 1)]),
-                np.concatenate([ctx[~again].view(np.int64), w]),
-                np.concatenate([doc[once], d]),
-                np.concatenate(
-                    [start[once] << 30 | windows[once] << TIE_BITS | tie[once], s << 30 | RUN << TIE_BITS | t]
-                ),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ctx", "doc", "place"])
+            for low, high in groups(starts, GROUP_BYTES):
+                part = starts[low : high + 1]
+                columns = combined(data[part[0] : part[-1]], part - part[0], ids[low:high], ties[low:high])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ctx", "doc", "place"])
+
+    def combined(data: np.ndarray, starts: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> list[np.ndarray]:
+        text, start, windows, key, ctx = contexts(data, starts, length)
+        doc, tie = ids[text], ties[text]
+        order = np.lexsort((start, tie, doc, ctx, key))
+        key, ctx = key[order], ctx[order]
+        again = np.zeros(len(order), bool)
+        again[1:] = (key[1:] == key[:-1]) & (ctx[1:] == ctx[:-1])
+        once, more = order[~again], order[again]
+        d, t, s, w = merged_runs(doc[more], tie[more], start[more], windows[more])
+        return [
+            np.concatenate([key[~again].view(np.int64), (d * 31 + s) * np.int64(0x9E3779B97F4A7C1)]),
+            np.concatenate([ctx[~again].view(np.int64), w]),
+            np.concatenate([doc[once], d]),
+            np.concatenate([start[once] << 30 | windows[once] << TIE_BITS | tie[once], s << 30 | RUN << TIE_BITS | t]),
+        ]
 
     return rows.select("doc", "tie", "body").mapInArrow(cut, _ANCHORED)
 
