@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from txnscore.llm import near_dedup, repeats, suffixes
@@ -144,6 +145,34 @@ def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     assert near_dedup.without_near_duplicates(no_docs).count() == 0
 
 
+def test_rows_without_id_or_with_one_id_are_documents_of_their_own(spark):
+    texts = [" ".join(f"w{number}x{k}" for k in range(30)) for number in range(12)]
+    rows = [(None, text) for text in texts[:6]] + [(7, text) for text in texts[6:]]
+    near = texts[0].replace("w0x29", "other")
+    docs = spark.createDataFrame([*rows, (3, near), (2, texts[8])], "doc_id long, text string").repartition(3)
+    found = near_dedup.op10_near_dedup(spark, docs).collect()
+    assert sum(row["kept"] for row in found) == 12
+    assert {row["doc_id"]: (row["component_id"], row["kept"]) for row in found if row["doc_id"] in (2, 3)} == {
+        2: (2, True), 3: (None, False)
+    }
+    assert sorted(map(str, (row["component_id"] for row in found if row["doc_id"] == 7))) == ["2", "7", "7", "7", "7", "7"]
+    kept = near_dedup.without_near_duplicates(docs).collect()
+    assert sorted(row["text"] for row in kept) == sorted(texts)
+
+
+def test_rows_of_one_id_get_their_own_marks(spark):
+    passage = "z" + "".join(np.random.default_rng(1).choice(list("abc d"), 120))
+    rows = 20_000
+    made = spark.range(rows, numPartitions=4).select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.concat(F.repeat(F.lpad(F.col("id").cast("string"), 6, "0"), 1), F.sha2(F.col("id").cast("string"), 512)).alias("text"),
+    )
+    twice = spark.createDataFrame([(number, passage) for number in range(2)], "doc_id long, text string")
+    found = repeats.remove_repeats(made.unionByName(made.limit(rows // 2)).unionByName(twice))
+    lost = sorted((row["n_removed"] for row in found.select("n_removed").collect()), reverse=True)
+    assert lost == [134] * (rows // 2) + [121] + [0] * (rows + 1)
+
+
 def test_pipeline_stages(spark, sf_dir, documents):
     """Each stage against brute force on what the stage before it kept."""
     names = [name for name, _ in corpus_pipeline.STAGES]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnscore.workspace import written
@@ -44,3 +44,16 @@ def addressed(docs: DataFrame) -> DataFrame:
         return docs.withColumns(place)
     except AnalysisException:
         return written(docs, "rows").withColumns(place)
+
+
+#: Rows of one file are numbered in so many bits; files are counted above them.
+_ROW_BITS = 40
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``addressed`` rows with ``_number``, another for each row, in the order of file paths and places in the files."""
+    nth = F.row_number().over(Window.orderBy("_file")).cast("long").alias("_nth")
+    files = written(rows.select("_file").distinct().select("_file", nth), "files")
+    number = F.shiftleft("_nth", _ROW_BITS).bitwiseOR(F.col("_row"))
+    # One row per file, of which the driver has a list for the scan anyway.
+    return rows.join(F.broadcast(files), "_file").withColumn("_number", number).drop("_nth")

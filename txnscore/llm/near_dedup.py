@@ -12,9 +12,9 @@ are counted against each other, exactly; a large cluster is compared by pairs of
 links that tie their members together, never all pairs.
 
 Defined results: a null text is empty; a document without words has an empty set and is linked with nothing, one with
-fewer than four words has one shingle of all of them. Rows with the same id are one document with several texts and
-lie in one component; a null id is a document too, smaller than every other. An empty table gives no rows. Other
-columns are not looked at.
+fewer than four words has one shingle of all of them. Every row is a document of its own, whatever its id. A component
+is named by its smallest id, null being smaller than every other, and that row is kept; of several rows with this id,
+the first by place in the files. An empty table gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnscore.llm.batches import flat, groups, word_runs
-from txnscore.llm.common import addressed, whole_text
+from txnscore.llm.common import addressed, numbered, whole_text
 from txnscore.llm.components import components
 from txnscore.workspace import written
 
@@ -96,11 +96,11 @@ def signature(values: np.ndarray, families: tuple[np.ndarray, np.ndarray]) -> np
     return best
 
 
-_SKETCH = "doc long, n_shingles long, h1 long, h2 long, signature binary, brief binary"
+_SKETCH = "row long, doc long, n_shingles long, h1 long, h2 long, signature binary, brief binary"
 
 
 def sketches(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Rows (``doc``, ``body``) as size, identity (128 bits) and signature of their sets.
+    """Rows (``row``, ``doc``, ``body``) as size, identity (128 bits) and signature of their sets.
 
     ``brief`` has one byte of each value of the signature, enough to estimate how many of two agree.
     """
@@ -108,7 +108,7 @@ def sketches(rows: DataFrame, settings: Settings) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         families = _families(settings)
         for batch in batches:
-            data, starts = flat(batch.column(1))
+            data, starts = flat(batch.column(2))
             count, one, two, signs, briefs = [], [], [], [], []
             for low, high in groups(starts, BLOCK_BYTES):
                 part = starts[low : high + 1]
@@ -120,12 +120,12 @@ def sketches(rows: DataFrame, settings: Settings) -> DataFrame:
                     signs.append(sign.tobytes())
                     briefs.append(sign.astype(np.uint8).tobytes())
             identity = [pa.array(np.array(h, np.uint64).view(np.int64)) for h in (one, two)]
-            columns = [batch.column(0), pa.array(count, pa.int64()), *identity]
+            columns = [*batch.columns[:2], pa.array(count, pa.int64()), *identity]
             columns += [pa.array(signs, pa.binary()), pa.array(briefs, pa.binary())]
-            names = ["doc", "n_shingles", "h1", "h2", "signature", "brief"]
+            names = ["row", "doc", "n_shingles", "h1", "h2", "signature", "brief"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.select("doc", "body").mapInArrow(sketch, _SKETCH)
+    return rows.select("row", "doc", "body").mapInArrow(sketch, _SKETCH)
 
 
 def _chosen(paths: np.ndarray, settings: Settings) -> Iterator[tuple[int, np.ndarray]]:
@@ -335,21 +335,17 @@ def exact_links(bodies: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
-) -> DataFrame:
-    """Per row ``doc`` (the id, ``LEAST`` for null), ``n_shingles`` and ``component``."""
-    rows = docs.select(
+def _found(numbered_rows: DataFrame, id_col: str, text_col: str, settings: Settings) -> DataFrame:
+    rows = numbered_rows.select(
+        F.col("_number").alias("row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc"),
         whole_text(text_col).cast("binary").alias("body"),
     )
     sketched = written(sketches(rows, settings), "sketches")
-    sets = sketched.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc").alias("member"))
+    sets = sketched.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("row").alias("member"))
     sets = written(sets, "sets")
     owned = sketched.where("n_shingles > 0").join(sets, ["h1", "h2"])
-    members = written(
-        owned.where("doc = member").dropDuplicates(["h1", "h2"]).select("member", "signature", "brief"), "members"
-    )
+    members = written(owned.where("row = member").select("member", "signature", "brief"), "members")
     possible = possible_links(chosen_nodes(members, settings), members, settings)
     clusters = written(components(possible), "clusters")
     sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
@@ -359,26 +355,42 @@ def near_duplicates(
         parts.where(F.col("size") > settings.block), "part", "member", F.ceil(2 * F.col("size") / settings.block)
     )
     placed = whole.unionByName(cut.select("part", "member"))
-    # The bodies of clustered members are shuffled once by id; only then are they copied to their parts.
+    # The bodies of clustered members are shuffled once by row; only then are they copied to their parts.
     listed = placed.groupBy("member").agg(F.collect_set("part").alias("parts"))
     # Their list grows with the table, so it is never broadcast.
-    bodies = rows.join(listed.hint("merge"), F.col("doc") == F.col("member")).select(F.explode("parts").alias("part"), "member", "body")
-    copies = owned.where("doc <> member").select(F.col("doc").alias("a"), F.col("member").alias("b"))
+    bodies = rows.join(listed.hint("merge"), F.col("row") == F.col("member")).select(F.explode("parts").alias("part"), "member", "body")
+    copies = owned.where("row <> member").select(F.col("row").alias("a"), F.col("member").alias("b"))
     tied = components(exact_links(bodies, settings).unionByName(copies))
-    found = sketched.select("doc", "n_shingles").join(tied, F.col("doc") == F.col("id"), "left")
-    return found.select("doc", "n_shingles", F.coalesce("component", "doc").alias("component"))
+    # Links are between rows; the row with the smallest id names the component.
+    linked = tied.join(sketched.select("row", "doc"), F.col("id") == F.col("row")).select("row", "doc", "component")
+    linked = written(linked, "linked")
+    first = linked.groupBy("component").agg(F.min(F.struct("doc", "row")).alias("first"))
+    found = sketched.select("row", "doc", "n_shingles").join(
+        linked.join(first, "component").select("row", "first"), "row", "left"
+    )
+    return found.select(
+        "row",
+        "doc",
+        "n_shingles",
+        F.coalesce("first.doc", "doc").alias("component"),
+        (F.coalesce("first.row", "row") == F.col("row")).alias("kept"),
+    )
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
+) -> DataFrame:
+    """Per row its number ``row``, ``doc`` (the id, ``LEAST`` for null), ``n_shingles``, ``component`` and ``kept``."""
+    return _found(numbered(addressed(docs)), id_col, text_col, settings)
 
 
 def without_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
     """One row of each component, that of the smallest id, with all its columns; of rows with one id, the first."""
-    found = near_duplicates(docs, id_col, text_col, settings)
-    kept = found.where("doc = component").select("doc").distinct()
-    rows = addressed(docs).withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)))
-    first = rows.groupBy("_doc").agg(F.min(F.struct("_file", "_row")).alias("_first"))
-    first = first.join(kept, F.col("_doc") == F.col("doc")).select("_first._file", "_first._row")
-    return rows.join(first, ["_file", "_row"], "left_semi").select(*docs.columns)
+    rows = numbered(addressed(docs))
+    kept = _found(rows, id_col, text_col, settings).where("kept").select(F.col("row").alias("_number"))
+    return rows.join(kept, "_number", "left_semi").select(*docs.columns)
 
 
 def op10_near_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -388,5 +400,5 @@ def op10_near_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
         real("doc").alias("doc_id"),
         "n_shingles",
         real("component").alias("component_id"),
-        (F.col("doc") == F.col("component")).alias("kept"),
+        "kept",
     )

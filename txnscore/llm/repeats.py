@@ -13,7 +13,7 @@ document before) is removed. Three steps keep the sorting small without missing
 3. The repeated windows of a document, as runs, are cut out of its text.
 
 Defined results: a null text is empty. Texts shorter than ``length`` stay whole. A null id is smaller than every
-other; rows with the same id are in the order of their place in the files, told apart by a hash of it. An empty
+other; rows with the same id are in the order of their place in the files, told apart by its number. An empty
 table gives no rows. Other columns are not looked at.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnscore.llm.batches import flat, groups
-from txnscore.llm.common import addressed, whole_text
+from txnscore.llm.common import addressed, numbered, whole_text
 from txnscore.llm.suffixes import common_prefixes, suffix_order
 from txnscore.workspace import written
 
@@ -41,9 +41,9 @@ GROUP_BYTES = 16 << 20
 #: Contexts of one anchor that are sorted together, and bytes of a suffix array.
 MOST_CONTEXTS = 1000
 UNIT_BYTES = 1 << 19
-#: A place is start << 30 | windows << 23 | hash of the row; this many windows mark a run of repeats.
+#: A place is start << 7 | windows; this many windows mark a run of repeats.
 RUN = 127
-TIE_BITS, TIE_MASK = 23, (1 << 23) - 1
+RUN_BITS = 7
 LEAST = -(1 << 63)
 
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,7 +132,7 @@ def merged_runs(*columns: np.ndarray) -> list[np.ndarray]:
     return [*[owner[first] for owner in owners], start[first], (reach - lift)[last] - start[first]]
 
 
-_ANCHORED = "key long, ctx long, doc long, place long"
+_ANCHORED = "key long, ctx long, doc long, tie long, place long"
 
 
 def _anchored(rows: DataFrame, length: int) -> DataFrame:
@@ -143,7 +143,7 @@ def _anchored(rows: DataFrame, length: int) -> DataFrame:
             for low, high in groups(starts, GROUP_BYTES):
                 part = starts[low : high + 1]
                 columns = combined(data[part[0] : part[-1]], part - part[0], ids[low:high], ties[low:high])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ctx", "doc", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ctx", "doc", "tie", "place"])
 
     def combined(data: np.ndarray, starts: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> list[np.ndarray]:
         text, start, windows, key, ctx = contexts(data, starts, length)
@@ -155,10 +155,11 @@ def _anchored(rows: DataFrame, length: int) -> DataFrame:
         once, more = order[~again], order[again]
         d, t, s, w = merged_runs(doc[more], tie[more], start[more], windows[more])
         return [
-            np.concatenate([key[~again].view(np.int64), (d * 31 + s) * np.int64(0x9E3779B97F4A7C1)]),
+            np.concatenate([key[~again].view(np.int64), ((d * 31 + t) * 31 + s) * np.int64(0x9E3779B97F4A7C1)]),
             np.concatenate([ctx[~again].view(np.int64), w]),
             np.concatenate([doc[once], d]),
-            np.concatenate([start[once] << 30 | windows[once] << TIE_BITS | tie[once], s << 30 | RUN << TIE_BITS | t]),
+            np.concatenate([tie[once], t]),
+            np.concatenate([start[once] << RUN_BITS | windows[once], s << RUN_BITS | RUN]),
         ]
 
     return rows.select("doc", "tie", "body").mapInArrow(cut, _ANCHORED)
@@ -178,10 +179,10 @@ def _resolved(anchored: DataFrame) -> DataFrame:
         last: tuple[int, int] | None = None  # key and context of the row before
         held: tuple[int, ...] | None = None  # the first row of the current key, while it is alone
         for batch in batches:
-            key, ctx, doc, place = (column.to_numpy() for column in batch.columns)
+            key, ctx, doc, tie, place = (column.to_numpy() for column in batch.columns)
             if not len(key):
                 continue
-            run = (place >> TIE_BITS & RUN) == RUN
+            run = (place & RUN) == RUN
             new_key = np.ones(len(key), bool)
             new_key[1:] = key[1:] != key[:-1]
             same = np.zeros(len(key), bool)
@@ -192,7 +193,7 @@ def _resolved(anchored: DataFrame) -> DataFrame:
             group = np.cumsum(new_key)
             others = np.bincount(group[~same & ~new_key & ~run], minlength=group[-1] + 1)
             edge = ~same & ~run & (~new_key | (others[group] > 0))
-            out = [doc, place & TIE_MASK, place >> 30, np.where(run, ctx, place >> TIE_BITS & RUN)]
+            out = [doc, tie, place >> RUN_BITS, np.where(run, ctx, place & RUN)]
             keep = run | same | edge
             parts = [[column[keep] for column in out] + [key[keep], (same | run)[keep]]]
             if held is not None and others[0]:
@@ -209,10 +210,9 @@ def _resolved(anchored: DataFrame) -> DataFrame:
             arrays = [pa.array(column) for column in columns[:4]] + [pa.array(columns[4], mask=repeat.astype(bool))]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc", "tie", "start", "windows", "key"])
 
-    tie = F.col("place").bitwiseAND(F.lit(TIE_MASK))
     return (
         anchored.repartition("key")
-        .sortWithinPartitions("key", "ctx", "doc", tie, "place")
+        .sortWithinPartitions("key", "ctx", "doc", "tie", "place")
         .mapInArrow(resolve, _MARKS)
     )
 
@@ -340,10 +340,10 @@ def remove_repeats(
     with_text: bool = True,
 ) -> DataFrame:
     """Per document ``id``, sizes, ``spans`` that are removed, ``kept`` bytes and their digest."""
-    rows = addressed(docs).select(
+    rows = numbered(addressed(docs)).select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc"),
-        F.xxhash64("_file", "_row").bitwiseAND(F.lit(TIE_MASK)).alias("tie"),
+        F.col("_number").alias("tie"),
         whole_text(text_col).cast("binary").alias("body"),
     )
     marks = written(_resolved(_anchored(rows, length)), "marks")
