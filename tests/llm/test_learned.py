@@ -62,6 +62,44 @@ def test_languages_of_odd_rows(spark, odd_docs, no_docs):
     assert languages.with_known_language(no_docs).count() == 0
 
 
+def test_gradients_of_padded_pieces():
+    shape = recurrent.Shape(units=3)
+    rng = np.random.default_rng(1)
+    weights = {name: value.astype(np.float64) for name, value in recurrent.start_weights(3, shape).items()}
+    bodies, label = rng.integers(97, 103, (5, 7)).astype(np.uint8), rng.integers(0, 3, 5)
+    sizes = np.array([7, 3, 1, 5, 7])
+    grads, _ = recurrent._gradients(weights, bodies, label, sizes)
+    for name in ("V", "v", "fUz", "bUr", "fUc", "bEc", "fEz"):
+        place = np.unravel_index(int(np.abs(grads[name]).argmax()), grads[name].shape)
+        losses = []
+        for step in (1e-3, -1e-3):
+            moved = {key: value.copy() for key, value in weights.items()}
+            moved[name][place] += step
+            losses.append(recurrent._gradients(moved, bodies, label, sizes)[1])
+        assert (losses[0] - losses[1]) / 2e-3 == pytest.approx(grads[name][place], rel=0.02, abs=1e-5)
+
+
+def test_languages_of_short_texts(spark):
+    """One language has short texts only, and many rows without letters that must not fill its sample."""
+    rng = np.random.default_rng(4)
+    words = {"aa": ["the", "house", "with", "garden"], "bb": ["und", "kein", "zwölf", "jäger"]}
+    rows = [(k, " ".join(rng.choice(words["aa"], 40)), "aa") for k in range(200)]
+    rows += [(k, " ".join(rng.choice(words["bb"], 5)), "bb") for k in range(200, 400)]
+    rows += [(k, "12 34 " * 40, "bb") for k in range(400, 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {row["doc_id"]: row["lang_pred"] for row in languages.op3_language_id(spark, docs).collect()}
+    assert sum(found[number] == lang for number, _, lang in rows[:400]) >= 380
+    short = docs.where("doc_id between 200 and 399")
+    assert {row["lang_pred"] for row in languages.op3_language_id(spark, short).collect()} == {"bb"}
+
+
+def test_filter_without_a_model_keeps_texts_with_letters(spark):
+    rows = [(1, "some text", None), (2, "öäü", None), (3, "12 !", None), (4, None, None), (None, "more", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = languages.with_known_language(docs).collect()
+    assert sorted(row["text"] for row in kept) == ["more", "some text", "öäü"]
+
+
 @pytest.fixture(scope="module")
 def restorer():
     texts = ["you are an idiot", "stupid and worthless", "the loser said trash", "hello there worthless idiot"] * 5

@@ -3,10 +3,11 @@
 The network labels every byte of a text with probabilities; a document gets their mean. Texts are read in pieces of
 a fixed number of bytes, the last one ending with the text, and thousands of pieces are labelled at once; every byte
 counts once. The network is trained on the driver on a bounded sample: per language the ``sample`` rows with the
-smallest hash of their id, of each a few pieces. Rows of the held-out fold and rows without language are not learned.
+smallest hash of their id, of each a few pieces, padded if the text is shorter. Rows of the held-out fold and rows
+without language or without letters are not learned.
 
 Defined results: a null text, and a text without letters, is ``und`` with score 0; with no language to learn all
-texts are. Rows with the same id each get a result. An empty table gives no rows. Other columns are not looked at.
+texts are, and the filter then drops only null texts and texts without letters. Rows with the same id each get a result. An empty table gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -38,12 +39,13 @@ class LanguageModel:
 
 def training_pieces(
     docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int, pieces: int, length: int
-) -> tuple[tuple[str, ...], np.ndarray, np.ndarray]:
-    """Languages, pieces of bytes and the language number of each; at most ``sample * pieces`` per language."""
+) -> tuple[tuple[str, ...], np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, padded pieces of bytes, the language number and the size of each; at most ``sample * pieces`` per language."""
     raw = whole_text(text_col).cast("binary")
     spare = F.greatest(F.length(raw) - length, F.lit(0))
     place = lambda k: (F.pmod(F.xxhash64(F.col(id_col), F.lit(k)), spare + 1) + 1).cast("int")
-    rows = docs.where(F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT)).select(
+    learned = F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT) & F.col(text_col).rlike(r"\p{L}")
+    rows = docs.where(learned).select(
         F.col(lang_col).alias("lang"),
         F.xxhash64(F.col(id_col), F.lit("sample")).alias("h"),
         F.array(*[F.substring(raw, place(k), F.lit(length)) for k in range(pieces)]).alias("bodies"),
@@ -56,11 +58,11 @@ def training_pieces(
         (np.frombuffer(bytes(body), np.uint8), languages.index(row["lang"]))
         for row in kept
         for body in row["bodies"]
-        if len(body) == length
     ]
-    if not found:
-        return (), np.zeros((0, length), np.uint8), np.zeros(0, np.int64)
-    return languages, np.stack([body for body, _ in found]), np.array([number for _, number in found])
+    bodies, sizes = np.zeros((len(found), length), np.uint8), np.array([len(body) for body, _ in found], np.int64)
+    for k, (body, _) in enumerate(found):
+        bodies[k, : len(body)] = body
+    return languages, bodies, np.array([number for _, number in found], np.int64), sizes
 
 
 def train_language_model(
@@ -72,8 +74,8 @@ def train_language_model(
     pieces: int = 4,
     shape: recurrent.Shape = recurrent.Shape(),
 ) -> LanguageModel:
-    languages, bodies, label = training_pieces(docs, id_col, text_col, lang_col, sample, pieces, shape.piece)
-    weights = recurrent.train(bodies, label, len(languages), shape) if languages else {}
+    languages, bodies, label, sizes = training_pieces(docs, id_col, text_col, lang_col, sample, pieces, shape.piece)
+    weights = recurrent.train(bodies, label, len(languages), shape, sizes) if languages else {}
     return LanguageModel(languages, weights, shape.piece)
 
 
@@ -147,13 +149,28 @@ def identify(
     return docs.select(*keys, whole_text(text_col).cast("binary").alias("_text")).mapInArrow(label, schema)
 
 
+def _lettered(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """``keys`` of the rows whose text has a letter."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            there = pa.array(_has_letter(*flat(batch.column(batch.num_columns - 1))))
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=keys).filter(there)
+
+    rows = docs.select(*keys, whole_text(text_col).cast("binary").alias("_text"))
+    return rows.mapInArrow(pick, docs.select(*keys).schema)
+
+
 def with_known_language(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
     """The rows whose language can be told, with all their columns; texts without letters go."""
     model = train_language_model(docs, id_col, text_col, lang_col)
     rows = addressed(docs)
-    told = identify(rows, model, ["_file", "_row"], text_col).where(F.col("lang_pred") != UNKNOWN)
+    if model.languages:
+        told = identify(rows, model, ["_file", "_row"], text_col).where(F.col("lang_pred") != UNKNOWN)
+    else:
+        told = _lettered(rows, ["_file", "_row"], text_col)
     return rows.join(told, ["_file", "_row"], "left_semi").select(*docs.columns)
 
 

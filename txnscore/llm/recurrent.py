@@ -59,24 +59,34 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return e
 
 
-def _gradients(w: dict, pieces: np.ndarray, label: np.ndarray) -> tuple[dict, float]:
-    """Gradients of the mean cross-entropy over all positions of the pieces (rows x positions)."""
+def _gradients(
+    w: dict, pieces: np.ndarray, label: np.ndarray, sizes: np.ndarray | None = None
+) -> tuple[dict, float]:
+    """Gradients of the mean cross-entropy over all positions of the pieces (rows x positions).
+
+    Of padded pieces only the first ``sizes`` positions are read and count; every piece counts the same.
+    """
     rows, length = pieces.shape
+    padded = sizes is not None and bool((sizes < length).any())
+    there = np.arange(length)[:, None] < sizes if padded else np.ones((length, rows), bool)
     units, classes = w["fUz"].shape[0], len(w["v"])
     tape: dict[str, list] = {}
     for side, order in (("f", range(length)), ("b", range(length - 1, -1, -1))):
         h, steps = np.zeros((rows, units), np.float32), [None] * length
         for t in order:
             z, r, c, new = _step(w, side, pieces[:, t], h)
+            if padded:
+                new = new * there[t][:, None]
             steps[t] = (z, r, c, h, new)
             h = new
         tape[side] = steps
     states = np.stack([np.hstack([tape["f"][t][4], tape["b"][t][4]]) for t in range(length)])
     p = _softmax((states.reshape(-1, 2 * units) @ w["V"]) + w["v"]).reshape(length, rows, classes)
     at = np.arange(rows)
-    loss = -float(np.log(p[:, at, label] + 1e-9).mean())
+    share = there / there.sum(0)
+    loss = -float((np.log(p[:, at, label] + 1e-9) * share).sum() / rows)
     p[:, at, label] -= 1
-    p /= rows * length
+    p *= (share / rows).astype(p.dtype)[:, :, None]
     grads = {name: np.zeros_like(value) for name, value in w.items()}
     grads["V"] = states.reshape(-1, 2 * units).T @ p.reshape(-1, classes)
     grads["v"] = p.sum((0, 1))
@@ -89,6 +99,8 @@ def _gradients(w: dict, pieces: np.ndarray, label: np.ndarray) -> tuple[dict, fl
         for t in order:
             z, r, c, h, _ = tape[side][t]
             g = carry + into[t][:, half]
+            if padded:
+                g *= there[t][:, None]
             dc = g * z * (1 - c * c)
             dz = g * (c - h) * ((z > 0) & (z < 1))
             drh = dc @ w[side + "Uc"].T
@@ -104,8 +116,10 @@ def _gradients(w: dict, pieces: np.ndarray, label: np.ndarray) -> tuple[dict, fl
     return grads, loss
 
 
-def train(pieces: np.ndarray, label: np.ndarray, classes: int, shape: Shape) -> dict[str, np.ndarray]:
-    """Weights fitted on pieces of bytes (rows x positions) and the class of each."""
+def train(
+    pieces: np.ndarray, label: np.ndarray, classes: int, shape: Shape, sizes: np.ndarray | None = None
+) -> dict[str, np.ndarray]:
+    """Weights fitted on pieces of bytes (rows x positions), padded from ``sizes`` on, and the class of each."""
     w = start_weights(classes, shape)
     rng = np.random.default_rng(shape.seed + 1)
     first = {name: np.zeros_like(value) for name, value in w.items()}
@@ -117,7 +131,7 @@ def train(pieces: np.ndarray, label: np.ndarray, classes: int, shape: Shape) ->
             order = np.concatenate([order, rng.permutation(len(pieces))])
         rows, order = order[: shape.rows], order[shape.rows :]
         rate = shape.rate * (1 - step / shape.steps) + 1e-4
-        grads, _ = _gradients(w, pieces[rows], label[rows])
+        grads, _ = _gradients(w, pieces[rows], label[rows], None if sizes is None else sizes[rows])
         size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         for name, g in grads.items():
             g = g / max(1.0, size)
