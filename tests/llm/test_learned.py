@@ -130,6 +130,32 @@ def test_restored_words(restorer, written, word):
     assert restorer.word(written) == word
 
 
+def test_long_runs_are_read_to_their_end(restorer):
+    letters = "hello there " * 30 + "1d10t"
+    (found,) = restorer.spaced(" ".join(letters.replace(" ", "")))
+    assert found.startswith("hel") and found.endswith("idiot") and len(found) > 250
+    assert restorer.viterbi("hello" * 20_000 + "1d10t").endswith("idiot")
+
+
+@pytest.mark.parametrize("joint", [",", "/", "-", "，", "?"])
+@pytest.mark.parametrize("times", [1, 30])
+def test_words_without_white_space(restorer, joint, times):
+    token = joint.join(["hello", "there"] * times + ["5tup1d", "worthless", "1.d.1.0.t", "said"])
+    found = restorer.words(token)
+    assert {"stupid", "worthless", "said"} <= set(found)
+    assert restorer.words("idioot.") == ["idiot"] and restorer.words("i.d.i.o.t") == ["idiot"]
+
+
+def test_letters_kept_apart_in_a_long_token(restorer):
+    assert "idiot" in restorer.words("hello/there/" * 8 + "i.d.1.o.t/said")
+
+
+def test_toxic_words_without_white_space(restorer):
+    reader = toxicity.Reader(np.array(restorer.model), ["stupid$"])
+    assert reader.found("hello,there," * 20 + "5tup1d,said") == [0] and reader.found("hello/stupid") == [0]
+    assert reader.found(" ".join("hellothere" * 20 + "stupid")) == [0]
+
+
 def test_spaced_words(restorer):
     assert restorer.spaced("you s t u p i d one") == ["stupid"]
     assert restorer.spaced("a b") == []

@@ -2,7 +2,8 @@
 
 A written word is a noisy form of an intended one: letters stand as digits or signs, are repeated, or are kept apart
 by signs or spaces. Each written character gives the letters it may stand for, or nothing, with a cost; the best
-reading under a trigram model of letters is found by Viterbi search, with a few best readings kept per state.
+reading under a trigram model of letters is found by Viterbi search, with a few best readings kept per state. Runs of
+any length are read to their end; of a long one, what lies far behind is settled as in the best reading so far.
 """
 
 from __future__ import annotations
@@ -41,11 +42,15 @@ APART = set(".-_*~'`,/\\:;")
 SWAP, GAP, AGAIN, LOST, KEPT = -1.0, -0.7, -0.5, -6.0, -4.0
 #: Readings kept per state of the search.
 KEEP = 4
+#: Letters of a reading that stay open; longer tokens are read in the parts between signs, not as one word.
 LONGEST = 48
 
 _CLEAN_RUN = re.compile(r"(.)\1\1")
 _DOUBLE = re.compile(r"(.)\1+")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+])(?:[ .\-_*](?:[^\W_]|[@$!|+])){2,}(?!\S)")
+_SIGN = r"(?:[^\W_]|[@$!|+(€£])"
+#: Parts of a token: letters kept apart by signs, or a run without signs that stand for nothing.
+_PARTS = re.compile(rf"(?<!{_SIGN}){_SIGN}(?:[.\-_*~'`,/\\:;]+{_SIGN}(?!{_SIGN})){{2,}}|{_SIGN}+")
 _STRIP_LEFT = ".,;:?\"'()[]{}<>*&%#~`_-=/\\^"
 _STRIP_RIGHT = _STRIP_LEFT + "!"
 
@@ -90,6 +95,15 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
+def _settled(states: dict, prefix: str) -> dict:
+    """The readings that start with ``prefix``, without it."""
+    cut = {
+        state: [(score, text[len(prefix) :]) for score, text in readings if text.startswith(prefix)]
+        for state, readings in states.items()
+    }
+    return {state: readings for state, readings in cut.items() if readings}
+
+
 class Restorer:
     """Restores words under a letter model; known words get ``bonus`` on top."""
 
@@ -112,7 +126,8 @@ class Restorer:
         number = lambda c: int(_TABLE[ord(c)]) or OTHER if ord(c) < len(_TABLE) else OTHER
         model = self.model
         states: dict[tuple[int, int], list[tuple[float, str]]] = {(EDGE, EDGE): [(0.0, "")]}
-        for char in word[:LONGEST]:
+        settled: list[str] = []
+        for at, char in enumerate(word, 1):
             after: dict[tuple[int, int], list[tuple[float, str]]] = {}
             for (a, b), readings in states.items():
                 for letter, cost in self._choices(char):
@@ -132,12 +147,18 @@ class Restorer:
                     if score > best.get(text, -1e18):
                         best[text] = score
                 states[state] = sorted(((s, t) for t, s in best.items()), reverse=True)[:KEEP]
+            if at % LONGEST == 0:
+                text = max(readings[0] for readings in states.values())[1]
+                if len(text) > LONGEST:
+                    settled.append(text[:-LONGEST])
+                    states = _settled(states, settled[-1])
+        before = "".join(settled)
         ends = [
-            (score + model[a][b][EDGE] + (self.bonus if text in self.known else 0.0), text)
+            (score + model[a][b][EDGE] + (self.bonus if not before and text in self.known else 0.0), text)
             for (a, b), readings in states.items()
             for score, text in readings
         ]
-        return max(ends)[1] if ends else ""
+        return before + max(ends)[1] if ends else ""
 
     def word(self, token: str) -> str:
         """The restored form of a token of lower-cased text; clean words stay as they are."""
@@ -149,10 +170,19 @@ class Restorer:
                 _CLEAN_RUN.search(core) or (self.collapsed and _DOUBLE.sub(r"\1", core) in self.collapsed)
             ):
                 return core
-        elif not any(map(str.isalpha, core)) or len(core) > LONGEST:
+        elif not any(map(str.isalpha, core)):
             return core
         return self.viterbi(core)
 
+    def words(self, token: str) -> list[str]:
+        """The restored forms of a token and of its parts between signs; a long token has its parts only."""
+        core = token.lstrip(_STRIP_LEFT).rstrip(_STRIP_RIGHT)
+        parts = [] if core.isalnum() else _PARTS.findall(core)
+        if len(parts) < 2:
+            return [self.word(token)]
+        whole = [self.word(token)] if len(core) <= LONGEST else []
+        return whole + [self.word(part) for part in parts]
+
     def spaced(self, text: str) -> list[str]:
         """Words whose letters are written apart, put together and restored."""
         return [self.viterbi("".join(c for c in found if c not in " .-_*")) for found in _SPACED.findall(text)]

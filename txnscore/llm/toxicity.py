@@ -87,7 +87,7 @@ class Reader:
         text = text.lower()
         tokens = set(text.split())
         for token in tokens - self.clean - self.hits.keys():
-            numbers = [self.number[f] for f in features(self.restorer.word(token)) if f in self.number]
+            numbers = [self.number[f] for word in self.restorer.words(token) for f in features(word) if f in self.number]
             if numbers:
                 self.hits[token] = numbers
             else:
@@ -119,7 +119,7 @@ def restored_features(docs: DataFrame, letters: np.ndarray, keys: list[str], tex
                 text = text.as_py().lower()
                 tokens = text.split()
                 for token in set(tokens) - cache.keys():
-                    cache[token] = features(restorer.word(token))
+                    cache[token] = [f for word in restorer.words(token) for f in features(word)]
                 spaced = [f for word in restorer.spaced(text) for f in features(word)]
                 found.append(sorted({f for token in set(tokens) for f in cache[token]} | set(spaced)))
                 sketches.append(_sketch(tokens))
