@@ -156,6 +156,13 @@ def test_toxic_words_without_white_space(restorer):
     assert reader.found(" ".join("hellothere" * 20 + "stupid")) == [0]
 
 
+def test_learned_beginnings_in_letters_written_apart(restorer):
+    reader = toxicity.Reader(np.array(restorer.model), ["idiot", "los", "trash$"])
+    assert reader.found("such i d i o t e n here") == [0] and reader.found("you a r e i d i o t e n") == [0]
+    assert reader.found("the l o s e r s") == [1] and reader.found("t r a s h") == [2]
+    assert reader.found("h e l l o there") == []
+
+
 def test_spaced_words(restorer):
     assert restorer.spaced("you s t u p i d one") == ["stupid"]
     assert restorer.spaced("a b") == []

@@ -79,7 +79,8 @@ class Reader:
         self.number = {word: k for k, word in enumerate(words)}
         whole = {word.removesuffix(END): k for k, word in enumerate(words) if word.endswith(END)}
         self.restorer = noise.Restorer(letters, whole)
-        self.long = {word: k for word, k in whole.items() if len(word) >= 4}
+        # Words and beginnings that are looked for anywhere in letters written apart, where words are not marked off.
+        self.long = [(word.removesuffix(END), k) for k, word in enumerate(words) if len(word.removesuffix(END)) >= 4]
         self.clean: set[str] = set()
         self.hits: dict[str, list[int]] = {}
 
@@ -94,7 +95,8 @@ class Reader:
                 self.clean.add(token)
         found = {number for token in tokens & self.hits.keys() for number in self.hits[token]}
         for joined in self.restorer.spaced(text):
-            found |= {k for word, k in self.long.items() if word in joined}
+            found |= {self.number[f] for f in features(joined) if f in self.number}
+            found |= {k for word, k in self.long if word in joined}
         for seen in (self.clean, self.hits):
             if len(seen) > CACHED:
                 seen.clear()
