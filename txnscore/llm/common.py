@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,5 +57,38 @@ def numbered(rows: DataFrame) -> DataFrame:
     nth = F.row_number().over(Window.orderBy("_file")).cast("long").alias("_nth")
     files = written(rows.select("_file").distinct().select("_file", nth), "files")
     number = F.shiftleft("_nth", _ROW_BITS).bitwiseOR(F.col("_row"))
-    # One row per file, of which the driver has a list for the scan anyway.
-    return rows.join(F.broadcast(files), "_file").withColumn("_number", number).drop("_nth")
+    return rows.join(files, "_file").withColumn("_number", number).drop("_nth")
+
+
+def free_names(columns: Iterable[str], *names: str) -> dict[str, str]:
+    """A name for each of ``names`` that is not among ``columns``, whatever the case of the letters."""
+    taken = {name.lower() for name in columns}
+    found = {}
+    for name in names:
+        free = name
+        while free.lower() in taken:
+            free += "_"
+        taken.add(free.lower())
+        found[name] = free
+    return found
+
+
+#: A key with at least one in so many rows is hot; there can be no more hot keys than that.
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Each row with the columns of its group, nulls being one group; the column ``size`` is dropped.
+
+    ``groups`` has one row per value of ``key`` and in ``size`` its number of rows. The hot groups, at most
+    ``HOT_SHARE``, are broadcast, so their rows stay where they are; all others are joined by a shuffle. Both sides
+    should be written tables, since they are read twice.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    other, is_hot = free_names([*rows.columns, *groups.columns], "key", "is_hot").values()
+    groups = groups.withColumnRenamed(key, other).withColumn(is_hot, F.col(size) * HOT_SHARE >= total).drop(size)
+    same = F.col(key).eqNullSafe(F.col(other))
+    hot = F.broadcast(groups.where(is_hot))
+    in_hot = rows.join(hot, same)
+    rest = rows.join(hot, same, "left_anti").join(groups.where(~F.col(is_hot)), same)
+    return in_hot.unionByName(rest).drop(other, is_hot)

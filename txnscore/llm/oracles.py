@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txnscore.llm import reputation
 from txnscore.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -104,8 +105,68 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base,
 FROM words LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
 
+_RULES = sorted(reputation.RULES, key=lambda entry: -len(entry[1] + entry[2]))
+_FITS = [
+    (f"(host = {_quoted(at)} OR ends_with(host, {_quoted('.' + at)})) AND starts_with(path, {_quoted(beginning)})", at + beginning, decision)
+    for decision, at, beginning in _RULES
+]
+_RULE = "CASE " + " ".join(f"WHEN {fits} THEN {_quoted(rule)}" for fits, rule, _ in _FITS) + " END"
+_DECIDED = "CASE " + " ".join(f"WHEN {fits} THEN {_quoted(decision)}" for fits, _, decision in _FITS) + " END"
+_BARE = "regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '[.]$', '')"
+_LAST = rf"((?:(?:{'|'.join(reputation.GENERIC)})[.][a-z][a-z]|[^.]*))$"
+_TRUST = reputation.Settings()
+
+URL_FILTER = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+ruled AS (SELECT *, {_RULE} AS rule, {_DECIDED} AS decided, {_BARE} AS bare FROM parsed),
+hosts AS (
+  SELECT host, bare, count(decided) AS n, count(*) FILTER (decided = 'block') AS bad,
+         regexp_matches(bare, '^[0-9.]*$') OR starts_with(bare, '[') AS numeric
+  FROM ruled GROUP BY host, bare),
+named AS (
+  SELECT host, n, bad,
+         CASE WHEN numeric THEN bare ELSE regexp_extract(bare, '(?:[^.]*[.])?{_LAST}', 0) END AS domain,
+         CASE WHEN numeric THEN '' ELSE regexp_extract(bare, '(?:^|[.]){_LAST}', 1) END AS suffix
+  FROM hosts),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM named GROUP BY domain, suffix),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
+nodes AS (
+  SELECT 'host' AS kind, n, bad FROM named UNION ALL
+  SELECT 'domain', n, bad FROM domains UNION ALL
+  SELECT 'suffix', n, bad FROM suffixes),
+moments AS (
+  SELECT kind, count(*) FILTER (n > 0) AS nodes, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad,
+         sum(n::DOUBLE * n) AS squares, sum(CASE WHEN n > 0 THEN bad::DOUBLE * bad / n ELSE 0 END) AS between_
+  FROM nodes GROUP BY kind),
+shares AS (SELECT *, bad / nullif(n, 0) AS share FROM moments),
+spreads AS (
+  SELECT kind, CASE WHEN bad > 0 AND bad < n THEN (between_ - bad * share) / (share * (1 - share)) - (nodes - 1) END AS spread,
+         n - squares / n - (nodes - 1) AS room FROM shares),
+strengths AS (
+  SELECT kind, CASE WHEN spread > 0 AND room > 0
+                    THEN floor(least(greatest(room / spread - 1, {_TRUST.least}), {_TRUST.most}) + 0.5)
+                    ELSE {_TRUST.most} END AS s FROM spreads),
+root AS (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) AS m FROM suffixes),
+suffix_means AS (
+  SELECT suffix, (bad + s * m) / (n + s) AS m FROM suffixes, root, strengths WHERE kind = 'suffix'),
+domain_means AS (
+  SELECT domain, suffix, (bad + s * m) / (n + s) AS m FROM domains JOIN suffix_means USING (suffix), strengths WHERE kind = 'domain'),
+beta AS (
+  SELECT host, bad + s * m AS a, n - bad + s * (1 - m) AS b
+  FROM named JOIN domain_means USING (domain, suffix), strengths WHERE kind = 'host'),
+verdicts AS (
+  SELECT host, CASE WHEN a / (a + b) - {_TRUST.deviations}::DOUBLE * sqrt(a * b / (a + b + 1)) / (a + b) > {_TRUST.tolerance}
+                    THEN 'block' ELSE 'allow' END AS verdict FROM beta)
+SELECT page_id, r.host, path, rule, coalesce(decided, verdict) AS verdict FROM ruled r JOIN verdicts v ON r.host = v.host
+"""
+
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op4_mixing": MIXING,
     "op9_license_scan": LICENSE_SCAN,
+    "op11_url_filter": URL_FILTER,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, near_dedup, pieces, quality, repeats, toxicity
+from txnscore.llm import common, exact_dedup, fingerprints, languages, licenses, mixing, near_dedup, pieces, quality, repeats, reputation, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _over_documents(operator: Callable[[SparkSession, DataFrame], DataFrame]) ->
     return lambda spark, sf_dir: operator(spark, common.documents(spark, sf_dir))
 
 
+def _over(table: str, operator: Callable[[SparkSession, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(spark, spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+
+
 def _over_labelled_documents(operator: Callable[[SparkSession, DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(spark, common.documents(spark, sf_dir), common.labels(spark, sf_dir))
 
@@ -30,4 +34,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality": _over_labelled_documents(quality.op8_quality),
     "op9_license_scan": _over_documents(licenses.op9_license_scan),
     "op10_near_dedup": _over_documents(near_dedup.op10_near_dedup),
+    "op11_url_filter": _over("pages", reputation.op11_url_filter),
 }
