@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -92,3 +93,16 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     in_hot = rows.join(hot, same)
     rest = rows.join(hot, same, "left_anti").join(groups.where(~F.col(is_hot)), same)
     return in_hot.unionByName(rest).drop(other, is_hot)
+
+
+@contextmanager
+def session_settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings for the queries that are run inside, put back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -12,13 +12,12 @@ beside id and text are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnscore.llm.common import addressed, ascii_lower, whole_text
+from txnscore.llm.common import addressed, ascii_lower, session_settings, whole_text
 from txnscore.workspace import new_folder, written
 
 #: Settings of the stream: state on disk, with a bound on the memory that all stores of an executor use.
@@ -36,18 +35,6 @@ def _group() -> list[Column]:
     return [F.max(F.struct("id", "_file", "_row")).alias("keep"), F.count("*").alias("group_size")]
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {name: spark.conf.get(name, None) for name in values}
-    try:
-        for name, value in values.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def full_digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -60,7 +47,7 @@ def _streamed_groups(spark: SparkSession, digests: DataFrame) -> DataFrame:
     def store(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    with _settings(spark, STATE):
+    with session_settings(spark, STATE):
         state = (
             spark.readStream.schema(digests.schema)
             .parquet(path)

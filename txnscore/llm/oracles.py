@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txnscore.llm import reputation
+from txnscore.llm import codes, reputation
 from txnscore.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -164,9 +164,50 @@ verdicts AS (
 SELECT page_id, r.host, path, rule, coalesce(decided, verdict) AS verdict FROM ruled r JOIN verdicts v ON r.host = v.host
 """
 
+def _vector_codes(settings: codes.Settings) -> str:
+    parts, last = settings.parts, settings.rounds
+    apart = "list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.c) + list_inner_product(b.c, b.c)"
+    best = f"""SELECT id, part, any_value(v) AS v, arg_min(entry, (d, entry)) AS entry, min(d)::BIGINT AS error
+      FROM (SELECT p.id, p.part, p.v, b.entry, {apart} AS d FROM parts p JOIN book{{k}} b USING (part)) GROUP BY id, part"""
+    rounds = "".join(
+        f"""
+near{k} AS MATERIALIZED ({best.format(k=k)}),
+mean{k} AS (
+  SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i)::DOUBLE[] AS c
+  FROM (SELECT part, entry, i, sum(v[i]::BIGINT)::BIGINT AS s, count(*)::BIGINT AS n
+        FROM near{k}, range(1, len(v) + 1) t(i) GROUP BY part, entry, i) GROUP BY part, entry),
+book{k + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m USING (part, entry)),"""
+        for k in range(last)
+    )
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id AS id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT id, part, list_slice(v, part * len(v) // {parts} + 1, (part + 1) * len(v) // {parts}) AS v
+  FROM kept, range({parts}) t(part)),
+book0 AS MATERIALIZED (
+  SELECT part, entry, v AS c FROM parts
+  JOIN (SELECT id, row_number() OVER (ORDER BY id) - 1 AS entry FROM kept ORDER BY id LIMIT {settings.entries}) USING (id)),{rounds}
+final AS MATERIALIZED ({best.format(k=last)}),
+coded AS (
+  SELECT id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(error)::BIGINT AS error FROM final GROUP BY id),
+digest AS (
+  SELECT sha256(string_agg(x::BIGINT, ',' ORDER BY part, entry, i)) AS d
+  FROM (SELECT part, entry, i, c[i] AS x FROM book{last}, range(1, len(c) + 1) t(i)))
+SELECT id AS vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT d FROM digest) AS codebooks_sha256
+FROM coded JOIN kept USING (id)
+"""
+
+
+VECTOR_CODES = _vector_codes(codes.Settings())
+
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op4_mixing": MIXING,
     "op9_license_scan": LICENSE_SCAN,
     "op11_url_filter": URL_FILTER,
+    "op12_vector_codes": VECTOR_CODES,
 }
