@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txnscore.llm import codes, reputation
+from txnscore.llm import codes, divergence, reputation
 from txnscore.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -204,10 +204,55 @@ FROM coded JOIN kept USING (id)
 
 VECTOR_CODES = _vector_codes(codes.Settings())
 
+_AUDIT = divergence.Settings()
+
+
+def _share(count: str, total: str, terms: str) -> str:
+    scaled = f"{divergence.BILLION}::HUGEINT * ({count} + {_AUDIT.smoothing})"
+    return f"(1 + ({scaled}) // ({total} + {_AUDIT.smoothing}::HUGEINT * {terms}))::BIGINT"
+
+
+SOURCE_DIVERGENCE = rf"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER} AS text FROM documents),
+occurring AS (SELECT DISTINCT lang, source FROM docs),
+found AS MATERIALIZED (
+  SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS MATERIALIZED (
+  SELECT lang, term FROM found GROUP BY lang, term HAVING count(DISTINCT row) >= {_AUDIT.documents}),
+vocabulary AS (SELECT lang, count(*) AS terms FROM kept GROUP BY lang),
+counts AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sums AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+facts AS MATERIALIZED (
+  SELECT lang, source, coalesce(total, 0) AS total, coalesce(terms, 0) AS terms
+  FROM occurring LEFT JOIN sums USING (lang, source) LEFT JOIN vocabulary USING (lang)),
+shares AS MATERIALIZED (
+  SELECT f.lang, f.source, k.term, coalesce(n, 0) AS n, {_share("coalesce(n, 0)", "total", "terms")} AS p
+  FROM facts f JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = f.lang AND c.source = f.source AND c.term = k.term),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM facts a JOIN facts b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+overall AS (
+  SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total FROM counts GROUP BY lang, term),
+telling AS (
+  SELECT s.lang, s.source, 'term' AS part, s.term AS item, p - {_share("o.n", "o.total", "v.terms")} AS value
+  FROM shares s JOIN overall o USING (lang, term) JOIN vocabulary v USING (lang) WHERE s.n > 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (FROM pairs UNION ALL FROM telling WHERE value > 0))
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= {_AUDIT.ranks}
+"""
+
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op4_mixing": MIXING,
     "op9_license_scan": LICENSE_SCAN,
     "op11_url_filter": URL_FILTER,
     "op12_vector_codes": VECTOR_CODES,
+    "op13_source_divergence": SOURCE_DIVERGENCE,
 }

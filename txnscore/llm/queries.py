@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscore.llm import codes, common, exact_dedup, fingerprints, languages, licenses, mixing, near_dedup, pieces, quality, repeats, reputation, toxicity
+from txnscore.llm import codes, common, divergence, exact_dedup, fingerprints, languages, licenses, mixing, near_dedup, pieces, quality, repeats, reputation, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,4 +36,5 @@ QUERIES: dict[str, Query] = {
     "op10_near_dedup": _over_documents(near_dedup.op10_near_dedup),
     "op11_url_filter": _over("pages", reputation.op11_url_filter),
     "op12_vector_codes": _over("embeddings", codes.op12_vector_codes),
+    "op13_source_divergence": _over_documents(divergence.op13_source_divergence),
 }
