@@ -8,7 +8,7 @@ ties. A transducer holds a bounded number of terms. A vocabulary beyond that is
 of its own; as many as fit a fixed size are sent to the tasks at a time, and the texts pass through all of them.
 
 Shares are whole billionths, so all sums are exact. Two sources of a language are compared in tiles: up to 64 sources by
-4096 terms, dense, where sources lack a term as well as where they have it; sums of tiles are added up by Spark.
+1024 terms, dense, where sources lack a term as well as where they have it; sums of tiles are added up by Spark.
 
 Defined results: null text, language or source is the empty text. Repeated rows and ids are documents of their own. A
 language without kept terms has distance 0 between its sources and no rows of terms. A source alone in its language has
@@ -37,8 +37,8 @@ from txnscore.workspace import written
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 BILLION = 1_000_000_000
 
-#: A task gives its counts out beyond so many entries or bytes of terms.
-ENTRIES, ENTRY_BYTES = 1 << 18, 32 << 20
+#: A task gives its counts out beyond so many terms of documents or bytes of them, and so many numbers of a tally.
+ENTRIES, ENTRY_BYTES, TALLIED = 1 << 18, 32 << 20, 1 << 20
 #: Bytes of text that are looked at together.
 STRETCH = 1 << 20
 
@@ -58,7 +58,7 @@ class Settings:
     shard_bytes: int = 16 << 20
     sent_bytes: int = 64 << 20
     tile: int = 64
-    block: int = 4096
+    block: int = 1024
 
 
 def language_prefix(lang: str) -> bytes:
@@ -263,9 +263,9 @@ def recounted(docs: DataFrame, wave: list[tuple[int, transducer.Transducer]]) ->
                 for k, (offset, runner) in enumerate(runners):
                     hit, ordinal = runner.ordinals(own, head, tail, begin[owner, k, 0], begin[owner, k, 1])
                     tally.add(owner[hit] << _ORDINAL_BITS | ordinal + offset)
-                if tally.size > ENTRIES:
+                if tally.size > 2 * TALLIED:
                     tally.merged()
-                if tally.size > ENTRIES or len(numbers) > ENTRIES:
+                if tally.size > TALLIED:
                     yield emit(tally, list(numbers))
                     tally = Tally()
         if tally.size:
@@ -353,13 +353,11 @@ def divergence(docs: DataFrame, lang_col: str, source_col: str, text_col: str, s
         ),
         "vocabulary",
     )
-    counts = None
+    counts = docs.sparkSession.createDataFrame([], "lang string, source string, ordinal long, n long")
     for wave in _waves(shards, settings.sent_bytes):
-        found = written(recounted(docs, wave), "recounted")
-        counts = found if counts is None else counts.unionByName(found)
-    if counts is None:
-        counts = docs.sparkSession.createDataFrame([], "lang string, source string, ordinal long, n long")
-    counts = written(counts.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")), "counts")
+        # No two waves have an ordinal in common.
+        sums = recounted(docs, wave).groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+        counts = counts.unionByName(written(sums, "counts"))
     facts = group_facts(docs, counts, vocabulary, settings.smoothing)
     sources = facts.groupBy("lang").agg(F.count("*").alias("sources"))
     facts = written(facts.join(sources, "lang"), "groups")
