@@ -1,5 +1,6 @@
 """Language identification, toxicity, quality and piece segmentation."""
 
+import random
 import zlib
 
 import numpy as np
@@ -278,3 +279,35 @@ def test_pieces_are_lossless_and_reproducible(spark, odd_docs, no_docs):
     other = pieces.encode(odd_docs, F.col("doc_id") + 1).where("doc_id = 7").first()
     assert other["piece_ids"] != next(row["piece_ids"] for row in rows if row["doc_id"] == 7)
     assert pieces.encode(no_docs, F.col("doc_id")).count() == 0
+
+
+def test_long_texts_and_long_words_in_blocks(spark, monkeypatch):
+    """Cut into blocks, a text gets the pieces it gets in one; a word walked by characters samples the same paths."""
+    lattice, decoder = pieces.Lattice(pieces.load_vocabulary()), pieces.Decoder(pieces.load_vocabulary())
+    text = "  Some words,  and  more\n words ▁ ÄÖ 日本 😀 x" * 60 + "   "
+    key = np.array([7], np.uint64)
+    whole, _ = pieces.encode_block(lattice, [text], key)
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 100)
+    cut, same = pieces.encode_long(lattice, decoder, text, key[0])
+    assert same and (cut == whole).all()
+    monkeypatch.setattr(pieces, "LONG_WORD", 4)
+    walked, counts = pieces.encode_words(lattice, ["▁unbelievable", "▁a", "▁unbelievable"] * 2000, pieces._seeds(np.arange(6000), np.arange(6000)))
+    monkeypatch.setattr(pieces, "LONG_WORD", 4096)
+    sampled, others = pieces.encode_words(lattice, ["▁unbelievable", "▁a", "▁unbelievable"] * 2000, pieces._seeds(np.arange(6000), np.arange(6000)))
+    assert (np.repeat(counts == others, counts).mean()) > 0.999 and (walked == sampled).mean() > 0.999
+
+
+def test_endless_word(spark):
+    picked = random.Random(2)
+    texts = ["".join(picked.choices("abcdefgh", k=200_000)), "y" * 100_000 + " and more"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pieces.decode(pieces.encode(docs, F.col("doc_id"))).collect()
+    assert all(row["lossless"] and row["decoded"] == row["text"] for row in rows)
+
+
+def test_encode_with_clashing_names(spark):
+    names = ["_body", "_seed", "seed", "ids", "_ids", "n_pieces", "LOSSLESS", "piece_ids"]
+    docs = spark.createDataFrame([(1, None, *range(8)), (2, "some text", *range(8))], "doc_id long, text string, " + ", ".join(f"{n} long" for n in names))
+    rows = pieces.decode(pieces.encode(docs, F.col("doc_id"))).collect()
+    assert [(row["_body"], row["_seed"], row["seed"], row["_ids"]) for row in rows] == [(0, 1, 2, 4)] * 2
+    assert [row["decoded"] for row in sorted(rows, key=lambda row: row["doc_id"])] == ["", "some text"]

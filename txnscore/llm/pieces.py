@@ -6,13 +6,19 @@ the forward sums of a word are computed once for all its places. Each place then
 random numbers hashed from the row's key and the place, so that reruns and other partitionings give the same pieces.
 Characters that no piece has, and the word sign itself, are written as byte pieces, so decoding is lossless.
 
+Texts are worked on in blocks of some 512 KB, long texts in as many blocks as they need, cut between words, so memory does
+not grow with the length of a text. A word of very many characters is a lattice that is walked character by character.
+
 Defined results: a null text is empty and has no pieces. Rows with the same key and text get the same pieces. An
-empty table gives no rows. Other columns are carried along by ``encode`` and may have any names but those it adds.
+empty table gives no rows. Other columns are carried along, whatever their names; a column of the input that has the
+name of an added one is replaced by it.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -23,13 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnscore.llm.batches import flat, groups, lists
-from txnscore.llm.common import whole_text
+from txnscore.llm.common import free_names
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes without a piece of their character stand in the lattice as these private code points.
 BYTE_BASE = 0xF0000
-BLOCK_BYTES = 4 << 20
+#: Texts worked on together; words from so many characters on are walked one character at a time.
+BLOCK_BYTES = 512 << 10
+LONG_WORD = 4096
 _MIX, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,6 +72,16 @@ def load_vocabulary(path: str | None = None, sharpness: float = 1.0) -> Vocabula
     return Vocabulary(pieces, np.log(odds / odds.sum()) * sharpness, first_byte, special)
 
 
+def _draws(seeds: np.ndarray, step: int | np.ndarray) -> np.ndarray:
+    """Numbers from 0 up to 1 for the given steps of the paths that the seeds stand for."""
+    draw = seeds + (np.atleast_1d(step).astype(np.uint64) + np.uint64(1)) * _STEP
+    draw ^= draw >> np.uint64(30)
+    draw *= _MIX
+    draw ^= draw >> np.uint64(27)
+    draw *= np.uint64(0x94D049BB133111EB)
+    return (draw >> np.uint64(11)).astype(float) * 2.0**-53
+
+
 class Lattice:
     """The trie of the pieces as a hash table of (state, character), with lookups over whole arrays."""
 
@@ -73,13 +91,14 @@ class Lattice:
         ends = {0: -1}
         known = set()
         self.longest = 1
+        self.numbers: dict[str, int] = {}
         for number, piece in enumerate(vocabulary.pieces):
             if number < vocabulary.special:
                 continue
             state = 0
             for char in piece:
                 state = moves.setdefault((state, ord(char)), len(moves) + 1)
-            ends[state] = number
+            ends[state] = self.numbers[piece] = number
             self.longest = max(self.longest, len(piece))
             if len(piece) == 1:
                 known.add(piece)
@@ -124,12 +143,15 @@ class Lattice:
             open_ones = open_ones[~hit & (found != -1)]
         return result
 
-    def split(self, text: str) -> list[str]:
-        """The words of a text, spaces as word signs, unknown characters as single bytes."""
+    def split(self, text: str, inside: bool = False) -> list[str]:
+        """The words of a text, spaces as word signs, unknown characters as single bytes.
+
+        A word sign goes before a text, but not before a part from inside of it.
+        """
         if not text:
             return []
         text = self.unknown.sub(lambda found: "".join(chr(BYTE_BASE + b) for b in found[0].encode()), text)
-        return self.words.findall(SPACE + text.replace(" ", SPACE))
+        return self.words.findall(("" if inside else SPACE) + text.replace(" ", SPACE))
 
     def edges(self, words: Sequence[str]) -> tuple[np.ndarray, ...]:
         """All pieces in all words: start node, end node and piece, by end node; and the first node of each word.
@@ -137,15 +159,15 @@ class Lattice:
         Nodes are numbered through all words, one more per word than it has characters.
         """
         sizes = np.array([len(word) for word in words], np.int64)
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
-        first = np.concatenate([[0], np.cumsum(sizes + 1)])
-        owner = np.repeat(np.arange(len(words)), sizes)
-        node = np.arange(len(chars)) + owner
-        stop = np.cumsum(sizes)[owner]
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int32)
+        first = np.concatenate([[0], np.cumsum(sizes + 1)]).astype(np.int32)
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        node = np.arange(len(chars), dtype=np.int32) + owner
+        stop = np.cumsum(sizes).astype(np.int32)[owner]
         found = []
         lone = chars >= BYTE_BASE
         found.append((node[lone], node[lone] + 1, (chars[lone] - BYTE_BASE + self.first_byte).astype(np.int32)))
-        at = np.flatnonzero(~lone)
+        at = np.flatnonzero(~lone).astype(np.int32)
         states = np.zeros(len(at), np.int32)
         for size in range(1, self.longest + 1):
             inside = at + size - 1 < stop[at]
@@ -168,6 +190,8 @@ class Lattice:
         local = end - first[np.searchsorted(first, end, side="right") - 1]
         alpha = np.zeros(first[-1])
         mass = np.empty(len(start))
+        # No word here has more characters than two bytes count.
+        local = local.astype(np.uint16)
         order = np.argsort(local, kind="stable")
         bounds = np.searchsorted(local[order], np.arange(1, (local.max() if len(local) else 0) + 2))
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
@@ -198,19 +222,14 @@ class Lattice:
         begin, now = first[word_of], first[word_of + 1] - 1
         active, counts, steps = np.arange(len(word_of)), np.zeros(len(word_of), np.int64), []
         while len(active):
-            draw = seeds[active] + np.uint64((len(steps) + 1) * int(_STEP) % 2**64)
-            draw ^= draw >> np.uint64(30)
-            draw *= _MIX
-            draw ^= draw >> np.uint64(27)
-            draw *= np.uint64(0x94D049BB133111EB)
-            share = (draw >> np.uint64(11)).astype(float) * 2.0**-53
+            share = _draws(seeds[active], len(steps))
             # The first edge of the node whose share is above the draw; a node has few edges.
             edge, wanted = heads[now], np.minimum(now + share, np.nextafter(now + 1.0, 0))
             low = np.flatnonzero(shares[edge] <= wanted)
             while len(low):
                 edge[low] += 1
                 low = low[shares[edge[low]] <= wanted[low]]
-            steps.append((active, piece[edge]))
+            steps.append((active.astype(np.int32), piece[edge]))
             counts[active] += 1
             now = start[edge]
             more = now > begin[active]
@@ -222,6 +241,37 @@ class Lattice:
         return pieces, counts
 
 
+    def walk(self, word: str, seeds: np.ndarray) -> list[np.ndarray]:
+        """The same for one word of any length, once per seed; only the sums of its nodes are kept."""
+
+        def incoming(end: int) -> list[tuple[int, int]]:
+            """Pieces that end there, shortest first, with the node each starts from."""
+            starts = range(end - 1, max(0, end - self.longest) - 1, -1)
+            return [(k, self.numbers[word[k:end]]) for k in starts if word[k:end] in self.numbers]
+
+        weights = self.weights.tolist()
+        alpha = np.zeros(len(word) + 1)
+        for end in range(1, len(word) + 1):
+            values = [alpha[start] + weights[piece] for start, piece in incoming(end)]
+            top = max(values)
+            alpha[end] = top + math.log(sum(math.exp(value - top) for value in values))
+        paths = []
+        for seed in seeds:
+            now, pieces = len(word), []
+            while now:
+                if len(pieces) % LONG_WORD == 0:
+                    draws = _draws(np.full(LONG_WORD, seed), len(pieces) + np.arange(LONG_WORD))
+                left, edges = float(draws[len(pieces) % LONG_WORD]), incoming(now)
+                for start, piece in edges:
+                    left -= math.exp(alpha[start] + weights[piece] - alpha[now])
+                    if left < 0:
+                        break
+                pieces.append(piece)
+                now = start
+            paths.append(np.array(pieces[::-1], np.int32))
+        return paths
+
+
 def _decoded(vocabulary: Vocabulary) -> list[bytes]:
     """The bytes each piece stands for."""
     texts = [piece.replace(SPACE, " ").encode() for piece in vocabulary.pieces]
@@ -240,38 +290,89 @@ class Decoder:
         self.first = np.cumsum(self.sizes) - self.sizes
         self.data = np.frombuffer(b"".join(texts), np.uint8)
 
-    def decode(self, pieces: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes and starts of the texts of lists of pieces; the space put before a text is taken off."""
+    def decode(self, pieces: np.ndarray, starts: np.ndarray, inside: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes and starts of the texts of lists of pieces; the space put before a text is taken off.
+
+        Lists from inside of a text have none.
+        """
         sizes = self.sizes[pieces]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         at = np.arange(total) + np.repeat(self.first[pieces] - (ends - sizes), sizes)
         places = np.concatenate([[0], ends])[starts]
+        if inside:
+            return self.data[at], places
         keep = np.ones(total, bool)
         keep[places[:-1][starts[1:] > starts[:-1]]] = False
         lost = np.concatenate([[0], np.cumsum(starts[1:] > starts[:-1])])
         return self.data[at][keep], places - lost
 
 
+def encode_words(lattice: Lattice, words: Sequence[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of all words, one after the other, and how many each has."""
+    known = sorted(set(words), key=len)
+    usual = bisect_left(known, LONG_WORD, key=len)
+    numbers = dict(zip(known, range(len(known)), strict=True))
+    word_of = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+    short = word_of < usual
+    if usual:
+        pieces, counts = lattice.sample(known[:usual], word_of[short], seeds[short])
+    else:
+        pieces, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+    if len(counts) == len(words):
+        return pieces, counts
+    paths: dict[int, np.ndarray] = {}
+    for number in range(usual, len(known)):
+        places = np.flatnonzero(word_of == number)
+        paths.update(zip(places.tolist(), lattice.walk(known[number], seeds[places]), strict=True))
+    all_counts = np.zeros(len(words), np.int64)
+    all_counts[short] = counts
+    for k, path in paths.items():
+        all_counts[k] = len(path)
+    ends = np.cumsum(all_counts)
+    result = np.empty(int(ends[-1]), np.int32)
+    result[np.repeat(short, all_counts)] = pieces
+    for k, path in paths.items():
+        result[ends[k] - len(path) : ends[k]] = path
+    return result, all_counts
+
+
+def _seeds(keys: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    return keys.astype(np.uint64) * _MIX + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def encode_block(lattice: Lattice, texts: Sequence[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of all texts and where the list of each text starts; ``keys`` seed the draws."""
-    numbers: dict[str, int] = {}
-    word_of, per_text = [], np.zeros(len(texts), np.int64)
+    words: list[str] = []
+    firsts = np.zeros(len(texts) + 1, np.int64)
     for k, text in enumerate(texts):
-        words = lattice.split(text)
-        per_text[k] = len(words)
-        for word in set(words).difference(numbers):
-            numbers[word] = len(numbers)
-        word_of.extend(map(numbers.__getitem__, words))
-    if not numbers:
-        return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-    firsts = np.concatenate([[0], np.cumsum(per_text)])
-    nth = np.arange(firsts[-1]) - np.repeat(firsts[:-1], per_text)
-    seeds = np.repeat(keys.astype(np.uint64), per_text) * _MIX + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    pieces, counts = lattice.sample(list(numbers), np.array(word_of), seeds)
+        words += lattice.split(text)
+        firsts[k + 1] = len(words)
+    sizes = np.diff(firsts)
+    nth = np.arange(len(words)) - np.repeat(firsts[:-1], sizes)
+    pieces, counts = encode_words(lattice, words, _seeds(np.repeat(keys.astype(np.uint64), sizes), nth))
     return pieces, np.concatenate([[0], np.cumsum(counts)])[firsts]
 
 
+#: Where a text may be cut: before the first of some spaces.
+_BREAK = re.compile("[^ ] ")
+
+
+def encode_long(lattice: Lattice, decoder: Decoder, text: str, key: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Pieces of one text, a block at a time, and whether decoding gives the text."""
+    found, at, nth, same = [], 0, 0, True
+    while at < len(text):
+        stop = _BREAK.search(text, at + BLOCK_BYTES)
+        end = stop.start() + 1 if stop else len(text)
+        words = lattice.split(text[at:end], inside=at > 0)
+        pieces, _ = encode_words(lattice, words, _seeds(np.full(len(words), key), nth + np.arange(len(words))))
+        back, _ = decoder.decode(pieces, np.array([0, len(pieces)]), inside=at > 0)
+        same = same and back.tobytes() == text[at:end].encode("utf-8", "surrogateescape")
+        found.append(pieces)
+        at, nth = end, nth + len(words)
+    return np.concatenate(found) if found else np.zeros(0, np.int32), same
+
+
 def encode(
     docs: DataFrame, key: Column, text_col: str = "text", vocabulary: Vocabulary | None = None, check: bool = True
 ) -> DataFrame:
@@ -280,41 +381,58 @@ def encode(
     added = [T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType())]
     if check:
         added.append(T.StructField("lossless", T.BooleanType()))
-    schema = T.StructType([*docs.schema.fields, *added])
+    replaced = {field.name for field in added}
+    kept = [field for field in docs.schema.fields if field.name.lower() not in replaced]
+    if text_col not in [field.name for field in kept]:
+        raise ValueError(f"{text_col} is not a column of the input that is kept")
+    schema = T.StructType([*kept, *added])
+    at = [field.name for field in kept].index(text_col)
     share = docs.sparkSession.sparkContext.broadcast(vocabulary)  # 32,000 pieces, a fixed size
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, decoder = Lattice(share.value), Decoder(share.value)
         for batch in batches:
-            column, keys = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+            column = batch.column(at)
+            if column.null_count:
+                column = column.fill_null("")
+            keys = batch.column(batch.num_columns - 1).to_numpy().view(np.uint64)
             data, starts = flat(column)
             for first, last in groups(starts, BLOCK_BYTES):
-                texts = [text.decode("utf-8", "surrogateescape") for text in column[first:last].to_pylist()]
-                ids, places = encode_block(lattice, texts, keys[first:last].to_numpy().view(np.uint64))
-                columns = [c[first:last] for c in batch.columns[:-2]]
-                columns += [lists(ids, places), pa.array(np.diff(places))]
+                own = starts[first : last + 1]
+                texts = [data[a:b].tobytes().decode("utf-8", "surrogateescape") for a, b in zip(own, own[1:], strict=False)]
+                if last - first == 1 and own[1] - own[0] > BLOCK_BYTES:
+                    ids, sound = encode_long(lattice, decoder, texts[0], keys[first])
+                    places, same = np.array([0, len(ids)]), np.array([sound])
+                else:
+                    ids, places = encode_block(lattice, texts, keys[first:last])
+                    same = _lossless(decoder, ids, places, data, own) if check else None
+                columns = [*[c[first:last] for c in batch.columns[:-1]], lists(ids, places), pa.array(np.diff(places))]
                 if check:
-                    back, at = decoder.decode(ids, places)
-                    own = starts[first : last + 1]
-                    same = np.diff(at) == np.diff(own)
-                    if same.all():
-                        wrong = np.flatnonzero(back != data[own[0] : own[-1]])
-                        same[np.searchsorted(at, wrong, side="right") - 1] = False
-                    else:
-                        same &= [
-                            bytes(back[a:b]) == bytes(data[c:d])
-                            for a, b, c, d in zip(at[:-1], at[1:], own[:-1], own[1:], strict=True)
-                        ]
                     columns.append(pa.array(same))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    rows = docs.select("*", whole_text(text_col).cast("binary").alias("_body"), F.xxhash64(key).alias("_seed"))
-    return rows.mapInArrow(segment, schema)
+    seed = free_names(schema.names, "seed")["seed"]
+    return docs.select(*[F.col(f"`{field.name}`") for field in kept], F.xxhash64(key).alias(seed)).mapInArrow(segment, schema)
+
+
+def _lossless(
+    decoder: Decoder, ids: np.ndarray, places: np.ndarray, data: np.ndarray, own: np.ndarray
+) -> np.ndarray:
+    """Which of the texts ``data[own[k]:own[k + 1]]`` their pieces give again."""
+    back, at = decoder.decode(ids, places)
+    same = np.diff(at) == np.diff(own)
+    if same.all():
+        wrong = np.flatnonzero(back != data[own[0] : own[-1]])
+        same[np.searchsorted(at, wrong, side="right") - 1] = False
+        return same
+    texts = zip(at[:-1], at[1:], own[:-1], own[1:], strict=True)
+    return same & [bytes(back[a:b]) == bytes(data[c:d]) for a, b, c, d in texts]
 
 
 def decode(rows: DataFrame, ids_col: str = "piece_ids", vocabulary: Vocabulary | None = None) -> DataFrame:
     """The rows with ``decoded``, the text of their pieces; null pieces are the empty text."""
     vocabulary = vocabulary or load_vocabulary()
+    rows = rows.drop("decoded")
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
     share = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -329,7 +447,7 @@ def decode(rows: DataFrame, ids_col: str = "piece_ids", vocabulary: Vocabulary |
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
 
     ids = F.coalesce(F.col(ids_col), F.array().cast("array<int>"))
-    return rows.select("*", ids.alias("_ids")).mapInArrow(join, schema)
+    return rows.select("*", ids.alias(free_names(rows.columns, "ids")["ids"])).mapInArrow(join, schema)
 
 
 def op5_sentencepiece(spark: SparkSession, docs: DataFrame) -> DataFrame:
