@@ -49,6 +49,15 @@ def addressed(docs: DataFrame) -> DataFrame:
         return written(docs, "rows").withColumns(place)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The whole rows as ``row``, beside their ``_file`` and ``_row``, so that no name of theirs meets another."""
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    try:
+        return docs.select(F.struct("*").alias("row"), *place)
+    except AnalysisException:
+        return written(docs, "rows").select(F.struct("*").alias("row"), *place)
+
+
 #: Rows of one file are numbered in so many bits; files are counted above them.
 _ROW_BITS = 40
 

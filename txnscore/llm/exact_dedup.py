@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnscore.llm.common import addressed, ascii_lower, session_settings, whole_text
+from txnscore.llm.common import addressed, ascii_lower, packed, session_settings, whole_text
 from txnscore.workspace import new_folder, written
 
 #: Settings of the stream: state on disk, with a bound on the memory that all stores of an executor use.
@@ -111,14 +111,14 @@ def exact_duplicates(
     digest: Callable[[Column], Column] = full_digest,
 ) -> DataFrame:
     """One row per document: ``id``, ``keep_id``, ``group_size``, ``kept``, ``digest``, ``_file`` and ``_row``."""
-    return _duplicates(addressed(docs), id_col, text_col, digest)
+    return _duplicates(addressed(docs.select(id_col, text_col)), id_col, text_col, digest)
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    rows = addressed(docs)
-    kept = _duplicates(rows, id_col, text_col, full_digest).where("kept").select("_file", "_row")
-    return rows.join(kept, ["_file", "_row"], "left_semi").select(*docs.columns)
+    rows = packed(docs)
+    kept = _duplicates(rows, f"row.{id_col}", f"row.{text_col}", full_digest).where("kept").select("_file", "_row")
+    return rows.join(kept, ["_file", "_row"], "left_semi").select("row.*")
 
 
 def op2_exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
