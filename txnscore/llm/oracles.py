@@ -19,7 +19,9 @@ FROM normal
 
 #: Sizes, weights, targets and the draw of each source; ends with the table ``mix``.
 MIX_TABLES = r"""
-sized AS (SELECT *, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM {docs}),
+seeded AS (
+  SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || sha256(coalesce(text, '')) || ':' || coalesce(source, '') AS seed FROM {docs}),
+sized AS (SELECT *, row_number() OVER (PARTITION BY seed) - 1 AS nth, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM seeded),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
   SELECT source, source_size,
@@ -48,7 +50,7 @@ rates AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM targets),
 drawn AS (
   SELECT s.*, r.source_size, r.target, floor(r.rate)::BIGINT AS whole, r.rate - floor(r.rate) AS part,
-         [('0x' || substr(sha256(coalesce(s.doc_id::VARCHAR, '')), 1 + 8 * k, 8))::BIGINT / 4294967296.0::DOUBLE
+         [('0x' || substr(sha256(seed || ':' || nth), 1 + 8 * k, 8))::BIGINT / 4294967296.0::DOUBLE
           FOR k IN range(8)] AS draws
   FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
 tried AS (
