@@ -2,8 +2,8 @@
 
 The network labels every byte of a text with probabilities; a document gets their mean. Texts are read in pieces of
 a fixed number of bytes, the last one ending with the text, and thousands of pieces are labelled at once; every byte
-counts once. The network is trained on the driver on a bounded sample: per language the ``sample`` rows with the
-smallest hash of their id, of each a few pieces, padded if the text is shorter. Rows of the held-out fold and rows
+counts once. The network is trained on the driver on a bounded sample: per language, of the most
+frequent ones, the ``sample`` rows with the smallest hash of their id, of each a few pieces, padded if the text is shorter. Rows of the held-out fold and rows
 without language or without letters are not learned.
 
 Defined results: a null text, and a text without letters, is ``und`` with score 0; with no language to learn all
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from txnscore.llm import recurrent
 from txnscore.llm.batches import flat, groups
-from txnscore.llm.common import addressed, fold, whole_text
+from txnscore.llm.common import addressed, fold, packed, whole_text
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -38,31 +38,47 @@ class LanguageModel:
 
 
 def training_pieces(
-    docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int, pieces: int, length: int
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int, pieces: int, length: int, languages: int
 ) -> tuple[tuple[str, ...], np.ndarray, np.ndarray, np.ndarray]:
-    """Languages, padded pieces of bytes, the language number and the size of each; at most ``sample * pieces`` per language."""
+    """Languages, padded pieces of bytes, the language number and the size of each; at most ``sample * pieces`` per language.
+
+    The bounds of the sample: ``sample`` rows of each of the ``languages`` most frequent languages.
+    """
     raw = whole_text(text_col).cast("binary")
     spare = F.greatest(F.length(raw) - length, F.lit(0))
     place = lambda k: (F.pmod(F.xxhash64(F.col(id_col), F.lit(k)), spare + 1) + 1).cast("int")
-    learned = F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT) & F.col(text_col).rlike(r"\p{L}")
-    rows = docs.where(learned).select(
+    learned = F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT)
+    rows = addressed(docs.select(*{id_col: 0, text_col: 0, lang_col: 0})).where(learned)
+    counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("rows"))
+    # At most ``languages`` rows.
+    counts = F.broadcast(counts.orderBy(F.col("rows").desc(), "lang").limit(languages))
+    hashed = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit("sample")), 1)
+    rows = rows.select(
         F.col(lang_col).alias("lang"),
-        F.xxhash64(F.col(id_col), F.lit("sample")).alias("h"),
+        hashed.alias("h"),
+        F.pmod(F.xxhash64("_file", "_row"), F.lit(256)).alias("salt"),
+        F.col(text_col).rlike(r"\p{L}").alias("lettered"),
         F.array(*[F.substring(raw, place(k), F.lit(length)) for k in range(pieces)]).alias("bodies"),
     )
-    first = Window.partitionBy("lang").orderBy("h", F.hash("bodies"))
-    kept = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).collect()
+    # The smallest hashes lie below this bound, of which few rows are too many to sort.
+    near = F.col("h") < F.least(F.lit(16.0 * sample) / F.col("rows"), F.lit(1.0)) * F.lit(2.0**63)
+    rows = rows.join(counts, "lang").where(near & F.col("lettered"))
+    # Rows that share an id share its hash; salted, they are cut down in many tasks before a language meets in one.
+    for keys in (("lang", "salt"), ("lang",)):
+        first = Window.partitionBy(*keys).orderBy("h", F.hash("bodies"))
+        rows = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample)
+    kept = rows.select("lang", "n", "bodies").collect()
     kept.sort(key=lambda row: (row["lang"], row["n"]))
-    languages = tuple(sorted({row["lang"] for row in kept}))
+    names = tuple(sorted({row["lang"] for row in kept}))
     found = [
-        (np.frombuffer(bytes(body), np.uint8), languages.index(row["lang"]))
+        (np.frombuffer(bytes(body), np.uint8), names.index(row["lang"]))
         for row in kept
         for body in row["bodies"]
     ]
     bodies, sizes = np.zeros((len(found), length), np.uint8), np.array([len(body) for body, _ in found], np.int64)
     for k, (body, _) in enumerate(found):
         bodies[k, : len(body)] = body
-    return languages, bodies, np.array([number for _, number in found], np.int64), sizes
+    return names, bodies, np.array([number for _, number in found], np.int64), sizes
 
 
 def train_language_model(
@@ -72,11 +88,14 @@ def train_language_model(
     lang_col: str = "lang",
     sample: int = 400,
     pieces: int = 4,
+    languages: int = 500,
     shape: recurrent.Shape = recurrent.Shape(),
 ) -> LanguageModel:
-    languages, bodies, label, sizes = training_pieces(docs, id_col, text_col, lang_col, sample, pieces, shape.piece)
-    weights = recurrent.train(bodies, label, len(languages), shape, sizes) if languages else {}
-    return LanguageModel(languages, weights, shape.piece)
+    names, bodies, label, sizes = training_pieces(
+        docs, id_col, text_col, lang_col, sample, pieces, shape.piece, languages
+    )
+    weights = recurrent.train(bodies, label, len(names), shape, sizes) if names else {}
+    return LanguageModel(names, weights, shape.piece)
 
 
 def _cut(data: np.ndarray, starts: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -166,12 +185,12 @@ def with_known_language(
 ) -> DataFrame:
     """The rows whose language can be told, with all their columns; texts without letters go."""
     model = train_language_model(docs, id_col, text_col, lang_col)
-    rows = addressed(docs)
+    rows = packed(docs)
     if model.languages:
-        told = identify(rows, model, ["_file", "_row"], text_col).where(F.col("lang_pred") != UNKNOWN)
+        told = identify(rows, model, ["_file", "_row"], f"row.{text_col}").where(F.col("lang_pred") != UNKNOWN)
     else:
-        told = _lettered(rows, ["_file", "_row"], text_col)
-    return rows.join(told, ["_file", "_row"], "left_semi").select(*docs.columns)
+        told = _lettered(rows, ["_file", "_row"], f"row.{text_col}")
+    return rows.join(told, ["_file", "_row"], "left_semi").select("row.*")
 
 
 def op3_language_id(spark: SparkSession, docs: DataFrame) -> DataFrame:
