@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnscore.llm.batches import flat, groups, word_runs
-from txnscore.llm.common import addressed, numbered, whole_text
+from txnscore.llm.common import addressed, numbered, packed, whole_text
 from txnscore.llm.components import components
 from txnscore.workspace import written
 
@@ -39,7 +39,10 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 @dataclass(frozen=True)
 class Settings:
-    """``percent`` is the least similarity; ``slack`` is by how much a signature may fall below it, 4.5 deviations."""
+    """``percent`` is the least similarity; ``slack`` is by how much a signature may fall below it, 4.5 deviations.
+
+    Clusters of more than ``block`` members or ``shingles`` shingles are compared in parts.
+    """
 
     words: int = 4
     percent: int = 80
@@ -48,6 +51,7 @@ class Settings:
     levels: int = 3
     node: int = 4096
     block: int = 500
+    shingles: int = 4_000_000
     slack: float = 0.16
     seed: int = 3
 
@@ -189,7 +193,7 @@ def chosen_nodes(members: DataFrame, settings: Settings) -> DataFrame:
         if depth == settings.levels - 1:
             found.append(_block_pairs(large, "path", "member", F.ceil(2 * F.col("size") / settings.node)))
             break
-        level = branches(large.join(members, "member"), settings, paths=True)
+        level = branches(large.join(members.select("member", "signature"), "member"), settings, paths=True)
     nodes = found[0]
     for more in found[1:]:
         nodes = nodes.unionByName(more)
@@ -345,15 +349,17 @@ def _found(numbered_rows: DataFrame, id_col: str, text_col: str, settings: Setti
     sets = sketched.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("row").alias("member"))
     sets = written(sets, "sets")
     owned = sketched.where("n_shingles > 0").join(sets, ["h1", "h2"])
-    members = written(owned.where("row = member").select("member", "signature", "brief"), "members")
+    members = written(owned.where("row = member").select("member", "signature", "brief", "n_shingles"), "members")
     possible = possible_links(chosen_nodes(members, settings), members, settings)
     clusters = written(components(possible), "clusters")
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
-    parts = clusters.join(sizes, "component").select(F.col("component").alias("part"), F.col("id").alias("member"), "size")
-    whole = parts.where(F.col("size") <= settings.block).select("part", "member")
-    cut = _block_pairs(
-        parts.where(F.col("size") > settings.block), "part", "member", F.ceil(2 * F.col("size") / settings.block)
+    # A cluster is as large as its members or its shingles make it, whichever is more.
+    weighed = clusters.join(members.select(F.col("member").alias("id"), "n_shingles"), "id")
+    sizes = weighed.groupBy("component").agg(
+        F.greatest(F.count("*") / settings.block, F.sum("n_shingles") / settings.shingles).alias("size")
     )
+    parts = clusters.join(sizes, "component").select(F.col("component").alias("part"), F.col("id").alias("member"), "size")
+    whole = parts.where(F.col("size") <= 1).select("part", "member")
+    cut = _block_pairs(parts.where(F.col("size") > 1), "part", "member", F.ceil(2 * F.col("size")))
     placed = whole.unionByName(cut.select("part", "member"))
     # The bodies of clustered members are shuffled once by row; only then are they copied to their parts.
     listed = placed.groupBy("member").agg(F.collect_set("part").alias("parts"))
@@ -381,16 +387,16 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
     """Per row its number ``row``, ``doc`` (the id, ``LEAST`` for null), ``n_shingles``, ``component`` and ``kept``."""
-    return _found(numbered(addressed(docs)), id_col, text_col, settings)
+    return _found(numbered(addressed(docs.select(id_col, text_col))), id_col, text_col, settings)
 
 
 def without_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
     """One row of each component, that of the smallest id, with all its columns; of rows with one id, the first."""
-    rows = numbered(addressed(docs))
-    kept = _found(rows, id_col, text_col, settings).where("kept").select(F.col("row").alias("_number"))
-    return rows.join(kept, "_number", "left_semi").select(*docs.columns)
+    rows = numbered(packed(docs))
+    kept = _found(rows, f"row.{id_col}", f"row.{text_col}", settings).where("kept").select(F.col("row").alias("_number"))
+    return rows.join(kept, "_number", "left_semi").select("row.*")
 
 
 def op10_near_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
