@@ -12,7 +12,7 @@ from txnscore.plans import fixtures
 from txnscore.plans.dashboard import REPORTS
 from txnscore.schemas import COMPONENTS, KAFKA_RECORD, TRANSACTIONS
 from txnscore.schemas import stored as stored_schema
-from txnscore.sinks.tables import create_tables, read_table, write_batch_metrics
+from txnscore.sinks.tables import read_table, store_of
 from txnscore.sources.models import read_metadata
 from txnscore.workspace import new_folder
 
@@ -108,26 +108,29 @@ def test_row_numbers_of_nothing(spark):
     assert with_row_numbers(spark.range(0), "number").count() == 0
 
 
+def store_rows(spark, paths, rows):
+    """Rows of several batches as one folder."""
+    store = store_of(spark, paths.transactions)
+    frame = spark.createDataFrame(rows, stored_schema(TRANSACTIONS))
+    store.commit(0, [store.stage("transactions", frame.drop("batch_id"), 0, len(rows))])
+
+
 @pytest.mark.parametrize("sizes", [[3], [12, 1, 2], [2, 20], [4, 0, 0, 0, 0, 0, 0, 0, 0, 1], [1] * 30])
 def test_last_transactions_over_batches_of_any_size(spark, sizes):
     paths = SinkPaths.under(new_folder(spark, "latest"))
-    create_tables(spark, paths)
     rows = []
     for batch_id, size in enumerate(sizes):
-        write_batch_metrics(spark, paths.batch_metrics, batch_id, max(size, 1), 0, 1.0)
         moment = datetime(2024, 1, 1) + timedelta(seconds=5 * batch_id)
         rows += [(f"B{batch_id:02d}-{i:02d}", moment, 1.0, 0.5, True, 0, "M", "1", "US", 1.0, batch_id) for i in range(size)]
-    schema = stored_schema(TRANSACTIONS)
-    spark.createDataFrame(rows, schema).write.mode("append").partitionBy("batch_id").parquet(paths.transactions)
+    store_rows(spark, paths, rows)
     got = [row["transaction_id"] for row in REPORTS["transactions"](spark, paths).collect()]
     assert got == sorted((row[0] for row in rows), reverse=True)[:10]
 
 
 def test_last_transactions_go_by_time_not_by_batch(spark):
     paths = SinkPaths.under(new_folder(spark, "latest"))
-    create_tables(spark, paths)
     rows = [(f"B{b}", datetime(2024, 1, 9 - b), 1.0, 0.5, True, 0, "M", "1", "US", 1.0, b) for b in range(8)]
-    spark.createDataFrame(rows, stored_schema(TRANSACTIONS)).write.mode("append").partitionBy("batch_id").parquet(paths.transactions)
+    store_rows(spark, paths, rows)
     frame = REPORTS["transactions"](spark, paths)
     assert [row["transaction_id"] for row in frame.collect()] == [f"B{b}" for b in range(8)]
     assert "TakeOrderedAndProject" in frame._jdf.queryExecution().executedPlan().toString()

@@ -32,14 +32,13 @@ class ScoringConfig:
 
 @dataclass(frozen=True)
 class SinkPaths:
-    """Table folders of the scoring job, all under storage that every executor can reach."""
+    """Tables of the scoring job, all in one folder that every executor can reach."""
 
     transactions: str
     alerts: str
     batch_metrics: str
     batch_series: str
     rejects: str
-    runs: str
     sent: str
 
     @classmethod
@@ -51,6 +50,6 @@ class SinkPaths:
             batch_metrics=f"{root}/batch_metrics",
             batch_series=f"{root}/batch_series",
             rejects=f"{root}/rejects",
-            runs=f"{root}/runs",
-            sent=f"{root}/sent",
+            # The producer writes beside the scoring job, so its table is in a store of its own.
+            sent=f"{root}/producer/sent",
         )

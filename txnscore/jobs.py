@@ -16,7 +16,7 @@ from txnscore.operators.numbering import with_row_numbers
 from txnscore.plans.dashboard import REPORTS
 from txnscore.schemas import COUNTRIES, LABEL, SENT
 from txnscore.session import build_session
-from txnscore.sinks.tables import create_tables, write_batch_row
+from txnscore.sinks.tables import batch_row, write_batch
 from txnscore.sinks.topics import alert_sender, send_records
 from txnscore.sources.dataset import read_dataset
 from txnscore.sources.models import load_model, save_metadata, save_model
@@ -86,16 +86,14 @@ def send_and_count(spark: SparkSession, keyed: DataFrame, send: Callable[[DataFr
     send(keyed.observe(counts, F.count("*").alias("n"), F.count_if(label == "1").alias("frauds")))
     if tables:
         paths = SinkPaths.under(tables)
-        create_tables(spark, paths)
-        write_batch_row(
+        row = batch_row(
             spark,
-            paths.sent,
-            int(time.time() * 1000),
             SENT,
             batch_size=counts.get["n"],
             actual_count=counts.get["frauds"],
             send_seconds=time.monotonic() - started,
         )
+        write_batch(row, paths.sent, int(time.time() * 1000), 1)
 
 
 def write_records(keyed: DataFrame, folder: str, topic: str = KafkaSettings.input_topic) -> None:
@@ -211,7 +209,6 @@ def scoring_settings(options: argparse.Namespace) -> KafkaSettings:
 
 def _report(spark: SparkSession, options: argparse.Namespace) -> None:
     paths = SinkPaths.under(options.tables)
-    create_tables(spark, paths)
     REPORTS[options.name](spark, paths).show(options.rows, truncate=False)
 
 

@@ -26,7 +26,7 @@ from txnscore.operators import (
 from txnscore.operators.deciding import ACTUAL, FLAG, SCORE
 from txnscore.plans import fixtures
 from txnscore.schemas import ALERTS, BATCH_METRICS, BATCH_SERIES, COMPONENTS, MESSAGE, REJECTS, TRANSACTIONS
-from txnscore.sinks.tables import create_table, insert_if_absent, read_table
+from txnscore.sinks.tables import insert_if_absent, read_table
 from txnscore.sources.dataset import read_dataset
 from txnscore.sources.models import load_model, save_model
 from txnscore.sources.records import record_stream
@@ -292,8 +292,7 @@ def achieved_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def insert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, the second repeating a tenth of the ids, both stored and the second replayed."""
-    path = new_folder(spark, "insert")
-    create_table(spark, path, TRANSACTIONS)
+    path = SinkPaths.under(new_folder(spark, "insert")).transactions
     first = fixtures.decided(spark, sf_dir, costly=True)
     again = first.where(F.col("event_id") % fixtures.RESENT_EVERY == 0).withColumns(
         {"Amount": F.col("Amount") + 1, "offset": F.col("offset") + fixtures.RESENT_OFFSET}

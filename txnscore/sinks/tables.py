@@ -1,99 +1,61 @@
-"""Parquet tables with one folder per micro-batch.
+"""Parquet tables that the scoring job writes batch by batch.
 
-A batch always replaces its own folder ``batch_id=N``. Replaying a batch after a crash therefore leaves
+The tables of a job lie in one ``Store``, where a batch shows in all of them at once. Replaying a batch after a crash leaves
 every table as if it had run once. Each checkpoint has a run number of its own, which makes up the upper bits of
-its batch ids, so that a new checkpoint on the same tables never meets the folders of an earlier one.
+its batch ids, so that a new checkpoint on the same tables never meets the batches of an earlier one.
 """
 
 from __future__ import annotations
 
-import math
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from txnscore.config import SinkPaths
-from txnscore.schemas import ALERTS, BATCH_ID, BATCH_METRICS, BATCH_SERIES, REJECTS, SENT, TRANSACTIONS, stored
+from txnscore.schemas import ALERTS, BATCH_ID, BATCH_METRICS, BATCH_SERIES, REJECTS, TRANSACTIONS
+from txnscore.sinks.store import RUN_BITS, Piece, Store
 
 # A batch of at most this many keys (some tens of bytes each) is sent to the tasks that scan stored keys.
 BROADCAST_KEYS = 1_000_000
-ROWS_PER_FILE = 1_000_000
-
-# A batch id is the run number above this many bits and the number of the batch within the run below them.
-RUN_BITS = 40
 
-# Folder of the empty file every table starts with, so that reading a new table works.
-NO_BATCH = -1
+KEY = "transaction_id"
 
 
-def tables(paths: SinkPaths) -> dict[str, StructType]:
+def schemas(paths: SinkPaths) -> dict[str, tuple[StructType, str | None]]:
+    """By name, the columns of each table of the scoring job and the key by which merged folders are sorted."""
     return {
-        paths.transactions: TRANSACTIONS,
-        paths.alerts: ALERTS,
-        paths.batch_metrics: BATCH_METRICS,
-        paths.batch_series: BATCH_SERIES,
-        paths.rejects: REJECTS,
-        paths.sent: SENT,
+        _name(paths.transactions): (TRANSACTIONS, KEY),
+        _name(paths.alerts): (ALERTS, None),
+        _name(paths.batch_metrics): (BATCH_METRICS, None),
+        _name(paths.batch_series): (BATCH_SERIES, None),
+        _name(paths.rejects): (REJECTS, None),
     }
 
 
-def run_number(spark: SparkSession, paths: SinkPaths, checkpoint: str) -> int:
-    """The number of the run that a checkpoint stands for, taken once per checkpoint and kept in it.
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[1]
 
-    A number is taken by making its folder, which only one of several takers can do.
-    """
-    own = f"{checkpoint.rstrip('/')}/run"
-    try:
-        return spark.read.schema("run long").json(own).first()["run"]
-    except AnalysisException:
-        pass
-    number = 0
-    while True:
-        taken = spark.range(1).select(F.lit(checkpoint).alias("checkpoint"))
-        try:
-            taken.write.mode("error").json(f"{paths.runs}/run={number}")
-            break
-        except AnalysisException:
-            number += 1
-    spark.range(1).select(F.lit(number).cast("long").alias("run")).write.json(own)
-    return number
+
+def store_of(spark: SparkSession, path: str) -> Store:
+    """The store that the table at ``path`` belongs to."""
+    return Store(spark, path.rsplit("/", 1)[0])
 
 
 def stored_batch_id(run: int, batch_id: int) -> int:
     return (run << RUN_BITS) + batch_id
 
 
-def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Makes the table unless it exists."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(batch_folder(path, NO_BATCH))
-
-
-def create_tables(spark: SparkSession, paths: SinkPaths) -> None:
-    for path, schema in tables(paths).items():
-        create_table(spark, path, schema)
-
-
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(stored(schema)).parquet(path)
-
+    return store_of(spark, path).read(_name(path), schema)
 
-def batch_folder(path: str, batch_id: int) -> str:
-    return f"{path}/{BATCH_ID}={batch_id}"
 
-
-def write_batch(df: DataFrame, path: str, batch_id: int, rows: int | None = None) -> None:
-    """Replaces the folder of a batch; a known row count keeps small batches in few files.
-
-    Rows are dealt out anew for that, so whatever filters them still runs in all tasks.
-    """
-    if rows is not None:
-        df = df.repartition(max(1, math.ceil(rows / ROWS_PER_FILE)))
-    df.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+def write_batch(df: DataFrame, path: str, batch_id: int, rows: int) -> None:
+    """Stores the rows of a batch of one table; what the batch has stored before is replaced."""
+    store = store_of(df.sparkSession, path)
+    store.commit(batch_id, [store.stage(_name(path), df, batch_id, rows)])
 
 
 def first_per_key(df: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
@@ -124,21 +86,23 @@ def absent_rows(first: DataFrame, others: DataFrame, key: str, key_range: tuple
     return first.join(keys, key, "left_anti")
 
 
-def insert_if_absent(
+def stage_absent(
+    store: Store,
     df: DataFrame,
     path: str,
     batch_id: int,
     schema: StructType = TRANSACTIONS,
-    key: str = "transaction_id",
+    key: str = KEY,
     order: tuple[str, ...] = ("partition", "offset"),
     key_range: tuple | None = None,
     rows: int | None = None,
-) -> None:
-    """Stores the rows whose key no other batch has stored; of equal keys in the batch the first one wins.
+) -> Piece:
+    """Writes the rows whose key no other batch has stored, to be committed; of equal keys the first one wins.
 
     ``df`` has the columns of ``schema`` and those of ``order``. Rows stored earlier by the same batch do not
-    count as present, so a replay writes the same rows again. ``key_range`` and ``rows`` are bounds for the
-    least and greatest key and the number of keys; they are computed when not given.
+    count as present, so a replay writes the same rows again. Only folders whose keys meet the key range of the batch
+    are read. ``key_range`` and ``rows`` are bounds for the least and greatest key and the number of keys; they are
+    computed when not given.
     """
     first = first_per_key(df, key, order).select(*schema.fieldNames())
     first.persist(StorageLevel.MEMORY_AND_DISK)
@@ -146,34 +110,26 @@ def insert_if_absent(
         if key_range is None or rows is None:
             facts = first.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).first()
             key_range, rows = (facts["low"], facts["high"]), facts["n"]
-        others = read_table(df.sparkSession, path, schema).where(F.col(BATCH_ID) != batch_id)
-        write_batch(absent_rows(first, others, key, key_range, rows), path, batch_id, rows)
+        pieces = [piece for piece in store.pieces(_name(path)) if piece.may_hold(key_range)]
+        others = store.read(_name(path), schema, pieces).where(F.col(BATCH_ID) != batch_id)
+        return store.stage(_name(path), absent_rows(first, others, key, key_range, rows), batch_id, rows, key_range)
     finally:
         first.unpersist()
 
 
-def write_alerts(alert_rows: DataFrame, path: str, batch_id: int, rows: int | None = None) -> None:
-    stored_alerts = alert_rows.withColumn("alerted_at", F.timestamp_micros((F.col("timestamp") * 1e6).cast("long")))
-    write_batch(stored_alerts.select(*ALERTS.fieldNames()), path, batch_id, rows)
+def insert_if_absent(df: DataFrame, path: str, batch_id: int, **kinds) -> None:
+    """Stores the rows of a batch whose key no other batch has stored, see ``stage_absent``."""
+    store = store_of(df.sparkSession, path)
+    store.commit(batch_id, [stage_absent(store, df, path, batch_id, **kinds)])
+
+
+def alert_table(alert_rows: DataFrame) -> DataFrame:
+    raised_at = F.timestamp_micros((F.col("timestamp") * 1e6).cast("long"))
+    return alert_rows.withColumn("alerted_at", raised_at).select(*ALERTS.fieldNames())
 
 
-def write_batch_row(spark: SparkSession, path: str, batch_id: int, schema: StructType, **values) -> None:
-    """One row about a batch; a replay replaces it."""
+def batch_row(spark: SparkSession, schema: StructType, **values) -> DataFrame:
+    """One row about a batch."""
     values["processed_at"] = F.current_timestamp()
     cells = [F.lit(values.get(field.name)).cast(field.dataType).alias(field.name) for field in schema.fields]
-    write_batch(spark.range(1).select(*cells), path, batch_id, 1)
-
-
-def write_batch_metrics(
-    spark: SparkSession, path: str, batch_id: int, batch_size: int, fraud_count: int, processing_ms: float
-) -> None:
-    write_batch_row(
-        spark,
-        path,
-        batch_id,
-        BATCH_METRICS,
-        batch_size=batch_size,
-        fraud_count=fraud_count,
-        fraud_rate=0.0 if not batch_size else fraud_count / batch_size,
-        processing_ms=processing_ms,
-    )
+    return spark.range(1).select(*cells)

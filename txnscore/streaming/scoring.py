@@ -16,21 +16,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txnscore.config import KafkaSettings, ScoringConfig, SinkPaths
 from txnscore.functions.buckets import SCORE as SCORE_BOUNDS
+from txnscore.functions.decisions import guarded_ratio
 from txnscore.functions.buckets import bucket_counts, cumulative_counts
 from txnscore.operators.deciding import ACTUAL, FLAG, SCORE, alerts, decide, transaction_records
 from txnscore.operators.parsing import ISSUE, is_storable, parse_records, rejected, storable
 from txnscore.operators.training import score
-from txnscore.schemas import BATCH_SERIES
-from txnscore.sinks.tables import (
-    create_tables,
-    insert_if_absent,
-    run_number,
-    stored_batch_id,
-    write_alerts,
-    write_batch,
-    write_batch_metrics,
-    write_batch_row,
-)
+from txnscore.schemas import BATCH_METRICS, BATCH_SERIES
+from txnscore.sinks.store import Piece, Store
+from txnscore.sinks.tables import alert_table, batch_row, schemas, stage_absent, store_of, stored_batch_id
 from txnscore.sinks.topics import alert_sender
 from txnscore.sources.records import kafka_stream
 
@@ -70,6 +63,7 @@ class BatchFacts:
 
     size: int
     flagged: int
+    fraud_rate: float
     actual: int
     rejected: int
     first_id: str | None
@@ -83,6 +77,7 @@ def batch_facts(scored: DataFrame) -> BatchFacts:
     row = scored.agg(
         F.count_if(sound).alias("size"),
         F.count_if(sound & F.col(FLAG)).alias("flagged"),
+        guarded_ratio(F.count_if(sound & F.col(FLAG)), F.count_if(sound)).alias("fraud_rate"),
         F.count_if(sound & (F.col(ACTUAL) == 1)).alias("actual"),
         F.count_if(~sound).alias("rejected"),
         F.min(identity).alias("first_id"),
@@ -92,82 +87,98 @@ def batch_facts(scored: DataFrame) -> BatchFacts:
     return BatchFacts(**row.asDict())
 
 
-def _side_by_side(spark: SparkSession, *writes: Callable[[], None]) -> None:
+def _side_by_side(spark: SparkSession, *writes: Callable[[], Piece | None]) -> list[Piece]:
     """Runs independent writes at the same time, so that small jobs do not wait for one another.
 
     All of them end before this returns; the first failure is raised.
     """
     carry_over = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        for done in [pool.submit(carry_over(write)) for write in writes]:
-            done.result()
+    with ThreadPoolExecutor(max_workers=max(1, len(writes))) as pool:
+        return [found for done in [pool.submit(carry_over(write)) for write in writes] if (found := done.result())]
 
 
 def process_batch(
-    scored: DataFrame, batch_id: int, paths: SinkPaths, alert_senders: tuple[AlertSender, ...] = ()
+    scored: DataFrame,
+    batch_id: int,
+    paths: SinkPaths,
+    alert_senders: tuple[AlertSender, ...] = (),
+    store: Store | None = None,
 ) -> None:
     """Writes one scored batch to all sinks; running it again with the same id changes nothing.
 
     The batch is scored once, on first use, and kept on the executors; a lost executor's share is scored
-    again from the same records. Any failure stops the query before the batch is committed. The rows about
-    the batch are written last, when everything they count is stored. All sinks get the same time.
+    again from the same records. Any failure stops the query before the batch is committed. The tables show the batch
+    all at once, when its rows and the rows about it are written and its alerts are sent. All sinks get the same time.
     """
     started = time.monotonic()
     spark = scored.sparkSession
+    store = store or store_of(spark, paths.transactions)
+    name = lambda path: path.rsplit("/", 1)[1]
     scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         facts = batch_facts(scored)
         inference_seconds = time.monotonic() - started
-        writes = []
+        writes: list[Callable[[], Piece | None]] = []
         if facts.rejected:
-            writes.append(lambda: write_batch(rejected(scored), paths.rejects, batch_id, facts.rejected))
+            writes.append(lambda: store.stage(name(paths.rejects), rejected(scored), batch_id, facts.rejected))
         if facts.size:
             sound = storable(scored)
             now = F.lit(datetime.now(UTC))
             stored = transaction_records(sound, now, processing_ms=F.lit(inference_seconds * 1000), keep=ORDER)
             if facts.flagged:
                 raised = alerts(sound, now)
-                writes.append(lambda: write_alerts(raised, paths.alerts, batch_id, facts.flagged))
+                writes.append(lambda: store.stage(name(paths.alerts), alert_table(raised), batch_id, facts.flagged))
                 writes += [lambda send=send: send(raised, batch_id) for send in alert_senders]
-            writes += [
-                lambda: insert_if_absent(
+            writes.append(
+                lambda: stage_absent(
+                    store,
                     stored,
                     paths.transactions,
                     batch_id,
                     order=ORDER,
                     key_range=(facts.first_id, facts.last_id),
                     rows=facts.size,
-                ),
-            ]
-        if writes:
-            _side_by_side(spark, *writes)
+                )
+            )
+        pieces = _side_by_side(spark, *writes)
         if facts.size:
-            _write_measures(spark, paths, batch_id, facts, inference_seconds, time.monotonic() - started)
+            elapsed = time.monotonic() - started
+            pieces += _side_by_side(
+                spark,
+                lambda: store.stage(name(paths.batch_metrics), _metrics_row(spark, facts, elapsed), batch_id, 1),
+                lambda: store.stage(
+                    name(paths.batch_series), _series_row(spark, facts, inference_seconds, elapsed), batch_id, 1
+                ),
+            )
+        if pieces:
+            store.commit(batch_id, pieces)
+            store.compact(schemas(paths))
     finally:
         scored.unpersist()
 
 
-def _write_measures(
-    spark: SparkSession, paths: SinkPaths, batch_id: int, facts: BatchFacts, inference: float, elapsed: float
-) -> None:
-    _side_by_side(
+def _metrics_row(spark: SparkSession, facts: BatchFacts, elapsed: float) -> DataFrame:
+    return batch_row(
+        spark,
+        BATCH_METRICS,
+        batch_size=facts.size,
+        fraud_count=facts.flagged,
+        fraud_rate=facts.fraud_rate,
+        processing_ms=elapsed * 1000,
+    )
+
+
+def _series_row(spark: SparkSession, facts: BatchFacts, inference: float, elapsed: float) -> DataFrame:
+    return batch_row(
         spark,
-        lambda: write_batch_metrics(
-            spark, paths.batch_metrics, batch_id, facts.size, facts.flagged, elapsed * 1000
-        ),
-        lambda: write_batch_row(
-            spark,
-            paths.batch_series,
-            batch_id,
-            BATCH_SERIES,
-            batch_size=facts.size,
-            fraud_count=facts.flagged,
-            actual_count=facts.actual,
-            rejected_count=facts.rejected,
-            inference_seconds=inference,
-            batch_seconds=elapsed,
-            score_buckets=facts.score_buckets,
-        ),
+        BATCH_SERIES,
+        batch_size=facts.size,
+        fraud_count=facts.flagged,
+        actual_count=facts.actual,
+        rejected_count=facts.rejected,
+        inference_seconds=inference,
+        batch_seconds=elapsed,
+        score_buckets=facts.score_buckets,
     )
 
 
@@ -186,11 +197,11 @@ def start_scoring(
     last one stopped and repeats at most one batch. A new checkpoint is a new run, whose batches lie beside those of
     earlier ones. ``available_now`` works off what is there and ends.
     """
-    create_tables(records.sparkSession, paths)
-    run = run_number(records.sparkSession, paths, checkpoint)
+    store = store_of(records.sparkSession, paths.transactions)
+    run = store.run_number(checkpoint)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, stored_batch_id(run, batch_id), paths, alert_senders)
+        process_batch(batch, stored_batch_id(run, batch_id), paths, alert_senders, store)
 
     writer = (
         scored_records(records, scorer, config)
