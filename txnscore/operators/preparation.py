@@ -5,28 +5,29 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnscore.functions.decisions import number_or_null
-from txnscore.operators.quantiles import approximate_quantiles
 from txnscore.schemas import FEATURES, LABEL, SCALED_FEATURES
+from txnscore.workspace import written
 
 PREPARED = "prepared_"
 SPLIT_SEED = 42
 TEST_FRACTION = 0.2
 TRAIN, TEST = "train", "test"
 
-# Rank error allowed in the medians that stand in for missing values.
-MEDIAN_ERROR = 0.001
+# Size of a median's sketch; the rank of the median is then off by some 0.15 %.
+SKETCH_SIZE = 2000
 
-# Hex digits of the id hash looked at per counting pass: at most 4096 counters per class.
+# Hex digits of the id hash looked at per counting pass.
 _DIGITS_PER_PASS = 3
 _HASH_DIGITS = 32
-_MAX_CLASSES = 64
-_MAX_COUNTERS = _MAX_CLASSES * 16**_DIGITS_PER_PASS
+# Classes up to here become a plain expression, further ones a broadcast table, and beyond that a shuffled one.
+_WRITTEN_OUT, _BROADCAST_CLASSES = 64, 100_000
 
 
 @dataclass(frozen=True)
@@ -35,19 +36,60 @@ class Scale:
     deviation: float
 
 
+@dataclass(frozen=True)
+class Facts:
+    """What training has to know of its rows before the trees: medians, scales, and rows per class."""
+
+    medians: dict[str, float]
+    scales: dict[str, Scale]
+    legitimate: int
+    fraud: int
+
+    @property
+    def fraud_weight(self) -> float:
+        """The class ratio, 1 without rows of either class."""
+        return self.legitimate / self.fraud if self.fraud and self.legitimate else 1.0
+
+
+def _scale_columns(cols: Sequence[str]) -> list[Column]:
+    known = {name: number_or_null(F.col(name)) for name in cols}
+    means = [F.avg(value).alias(f"mean_{name}") for name, value in known.items()]
+    return means + [F.stddev_pop(value).alias(f"deviation_{name}") for name, value in known.items()]
+
+
+def _scales(row, cols: Sequence[str]) -> dict[str, Scale]:
+    return {name: Scale(row[f"mean_{name}"] or 0.0, row[f"deviation_{name}"] or 1.0) for name in cols}
+
+
 def fit_scale(df: DataFrame, cols: Sequence[str] = SCALED_FEATURES) -> dict[str, Scale]:
     """Mean and population deviation per column in one aggregation; NULL and NaN are left out.
 
     A constant or empty column gets deviation 1, so that scaling it is harmless.
     """
-    if not cols:
-        return {}
-    aggregates = []
-    for name in cols:
+    return _scales(df.agg(*_scale_columns(cols)).first(), cols) if cols else {}
+
+
+def fit_facts(
+    df: DataFrame,
+    features: Sequence[str] = FEATURES,
+    scaled_features: Sequence[str] = SCALED_FEATURES,
+    label: str | None = LABEL,
+) -> Facts:
+    """All facts in one aggregation over one scan.
+
+    Medians come from quantile sketches of a fixed size, which tasks fill side by side and Spark merges on the way.
+    """
+    to_scale = [name for name in features if name in scaled_features]
+    medians = []
+    for name in features:
         known = number_or_null(F.col(name))
-        aggregates += [F.avg(known).alias(f"mean_{name}"), F.stddev_pop(known).alias(f"deviation_{name}")]
-    row = df.agg(*aggregates).first()
-    return {name: Scale(row[f"mean_{name}"] or 0.0, row[f"deviation_{name}"] or 1.0) for name in cols}
+        median = F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(known, F.lit(SKETCH_SIZE)), F.lit(0.5))
+        medians.append(F.when(F.count(known) > 0, median).alias(f"median_{name}"))
+    classes = [F.count_if(F.col(label) == value) if label else F.lit(0) for value in (0, 1)]
+    row = df.agg(*medians, *_scale_columns(to_scale), classes[0].alias("legitimate"), classes[1].alias("fraud")).first()
+    return Facts(
+        {name: row[f"median_{name}"] or 0.0 for name in features}, _scales(row, to_scale), row["legitimate"], row["fraud"]
+    )
 
 
 def scaled(value: Column, scale: Scale) -> Column:
@@ -58,27 +100,28 @@ def scale_columns(df: DataFrame, scales: dict[str, Scale]) -> DataFrame:
     return df.withColumns({name: scaled(F.col(name), scale) for name, scale in scales.items()})
 
 
-def fit_preparation(
-    df: DataFrame, features: Sequence[str] = FEATURES, scaled_features: Sequence[str] = SCALED_FEATURES
-) -> SQLTransformer:
+def preparation(facts: Facts) -> SQLTransformer:
     """A pipeline stage that adds ``prepared_*`` columns: medians for missing values, then scaling.
 
-    All medians come from one pass, all scales from another. They end up as literals of the stage, so they are
-    saved with the model, and the source columns stay as they are.
+    The facts end up as literals of the stage, so they are saved with the model, and the source columns stay as they
+    are.
     """
-    numbers = df.select(*[number_or_null(F.col(name)).alias(name) for name in features])
-    medians = approximate_quantiles(numbers, features, [0.5], MEDIAN_ERROR)
-    scales = fit_scale(df, [name for name in features if name in scaled_features])
     prepared = []
-    for name, median in zip(features, medians, strict=True):
-        fill = median[0] if median else 0.0
+    for name, fill in facts.medians.items():
         value = f"coalesce(nanvl(cast(`{name}` as double), cast(null as double)), {fill!r}D)"
-        if name in scales:
-            value = f"({value} - ({scales[name].mean!r}D)) / {scales[name].deviation!r}D"
+        if name in facts.scales:
+            value = f"({value} - ({facts.scales[name].mean!r}D)) / {facts.scales[name].deviation!r}D"
         prepared.append(f"{value} AS `{PREPARED}{name}`")
     return SQLTransformer(statement=f"SELECT *, {', '.join(prepared)} FROM __THIS__")
 
 
+def fit_preparation(
+    df: DataFrame, features: Sequence[str] = FEATURES, scaled_features: Sequence[str] = SCALED_FEATURES
+) -> SQLTransformer:
+    """The stage for rows like these."""
+    return preparation(fit_facts(df, features, scaled_features, label=None))
+
+
 def id_hash(identity: Column, seed: int = SPLIT_SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), identity.cast("string")))
 
@@ -95,68 +138,63 @@ def hash_split(
     return df.withColumn("split", part)
 
 
-def part_sizes(class_sizes: dict, test_fraction: float) -> dict:
-    """Test rows per class: the test part is rounded up, the train part shared by largest remainder."""
-    total = sum(class_sizes.values())
+def part_sizes(sizes: DataFrame, test_fraction: float = TEST_FRACTION) -> DataFrame:
+    """(``class``, ``wanted``) from (``class``, ``n``): the test part is rounded up, the train part shared by largest
+    remainder, of equal ones to the class that is smaller as text. Rows are classes here."""
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     train_rows = total - math.ceil(total * test_fraction)
-    shares = {label: divmod(size * train_rows, total) for label, size in class_sizes.items()}
-    left = train_rows - sum(whole for whole, _ in shares.values())
-    by_remainder = sorted(shares, key=lambda label: (-shares[label][1], str(label)))
-    extra = set(by_remainder[:left])
-    return {label: size - shares[label][0] - (label in extra) for label, size in class_sizes.items()}
+    shared = F.col("n").cast("decimal(38,0)") * F.lit(Decimal(train_rows))
+    shares = sizes.select(
+        "class",
+        "n",
+        F.call_function("div", shared, F.lit(Decimal(max(1, total)))).alias("whole"),
+        (shared % F.lit(Decimal(max(1, total)))).alias("remainder"),
+    )
+    left = train_rows - (shares.agg(F.sum("whole")).first()[0] or 0)
+    place = F.row_number().over(Window.orderBy(F.col("remainder").desc(), "class"))
+    extra = (place <= left).cast("long")
+    return shares.select("class", (F.col("n") - F.col("whole") - extra).alias("wanted"))
+
+
+def _with_small(rows: DataFrame, classes: DataFrame, how: str = "inner") -> DataFrame:
+    """Joined by class; a side of few classes, which are counted, is sent to the tasks."""
+    return rows.join(F.broadcast(classes) if classes.count() <= _BROADCAST_CLASSES else classes, "class", how)
+
+
+def _class_name(label: str) -> Column:
+    """Classes as text, no label as another one, so that they join like any other value."""
+    return F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
 
 
 def split_limits(
     df: DataFrame, label: str, id_col: str, test_fraction: float = TEST_FRACTION, seed: int = SPLIT_SEED
-) -> dict:
-    """Per class the text that the hashes of its test rows stay below.
+) -> DataFrame:
+    """(``class``, ``limit``): the text that the hashes of a class's test rows stay below.
 
-    Each pass counts rows per class and hash prefix, finds the prefix in which the wanted number of rows is
-    reached, and the next pass looks three digits further inside that prefix only. Only counters reach the
-    driver, no class is gathered in one task, and about log4096(rows) + 1 passes are made.
+    Each pass counts rows per class and hash prefix and finds, per class, the prefix in which the wanted number of rows
+    is reached; the next pass looks three digits further inside that prefix only. All of it stays in Spark: no class is
+    gathered in one task, any number of classes goes, and about log4096(rows) + 1 passes are made.
     """
-    hashed = df.select(F.col(label).alias("label"), id_hash(F.col(id_col), seed).alias("hash"))
-    limits: dict = {}
-    open_classes: dict | None = None
-    digits = 0
-    while open_classes is None or open_classes:
-        digits += _DIGITS_PER_PASS
-        counters: dict = {}
-        for row in _count_prefixes(hashed, open_classes, digits):
-            counters.setdefault(row["label"], []).append((row["prefix"], row["n"]))
-        if open_classes is None:
-            sizes = {name: sum(n for _, n in found) for name, found in counters.items()}
-            wanted = part_sizes(sizes, test_fraction) if sizes else {}
-            limits = {name: "" for name, n in wanted.items() if n == 0}
-            open_classes = {name: ("", n) for name, n in wanted.items() if n > 0}
-        still_open = {}
-        for name, (_, missing) in open_classes.items():
-            for prefix, n in sorted(counters[name]):
-                if n >= missing:
-                    break
-                missing -= n
-            if n == missing or digits >= _HASH_DIGITS:
-                # "g" sorts after every hex digit: all hashes with this prefix are below it.
-                limits[name] = prefix + "g"
-            else:
-                still_open[name] = (prefix, missing)
-        open_classes = still_open
-    return limits
-
-
-def _count_prefixes(hashed: DataFrame, open_classes: dict | None, digits: int):
-    rows = hashed
-    if open_classes is not None:
-        inside = F.lit(False)
-        for name, (prefix, _) in open_classes.items():
-            inside = inside | (F.col("label").eqNullSafe(F.lit(name)) & F.col("hash").startswith(prefix))
-        rows = hashed.where(inside)
-    prefix = F.substring("hash", 1, digits)
-    counted = rows.groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n"))
-    counters = counted.limit(_MAX_COUNTERS + 1).collect()
-    if len(counters) > _MAX_COUNTERS:
-        raise ValueError("too many classes to split by; is this the label column?")
-    return counters
+    hashed = df.select(_class_name(label).alias("class"), id_hash(F.col(id_col), seed).alias("hash"))
+    sizes = written(hashed.groupBy("class").agg(F.count("*").alias("n")), "class-sizes")
+    wanted = written(part_sizes(sizes, test_fraction), "wanted")
+    found = wanted.where("wanted = 0").select("class", F.lit("").alias("limit"))
+    open_classes = wanted.where("wanted > 0").select("class", F.lit("").alias("prefix"), F.col("wanted").alias("missing"))
+    for digits in range(_DIGITS_PER_PASS, _HASH_DIGITS + _DIGITS_PER_PASS, _DIGITS_PER_PASS):
+        rows = hashed if digits == _DIGITS_PER_PASS else _with_small(hashed, open_classes).where("startswith(hash, prefix)")
+        counts = rows.groupBy("class", F.substring("hash", 1, digits).alias("next")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("class").orderBy("next"))
+        reached = counts.withColumn("upto", upto).join(open_classes, "class").where("upto >= missing and upto - n < missing")
+        reached = written(reached.select("class", "next", "n", "upto", "missing"), "reached")
+        done = (F.col("upto") == F.col("missing")) | F.lit(digits >= _HASH_DIGITS)
+        # "g" sorts after every hex digit: all hashes with this prefix are below it.
+        found = found.unionByName(reached.where(done).select("class", F.concat("next", F.lit("g")).alias("limit")))
+        open_classes = reached.where(~done).select(
+            "class", F.col("next").alias("prefix"), (F.col("missing") - F.col("upto") + F.col("n")).alias("missing")
+        )
+        if open_classes.isEmpty():
+            break
+    return written(found, "split-limits")
 
 
 def stratified_split(
@@ -166,16 +204,24 @@ def stratified_split(
     test_fraction: float = TEST_FRACTION,
     seed: int = SPLIT_SEED,
 ) -> DataFrame:
-    """Exact split with the class shares kept: adds ``split`` as a plain expression on the rows.
+    """Exact split with the class shares kept: adds ``split``, for few classes as a plain expression on the rows.
 
     Ids are expected to be unique; copies of an id stay together.
     """
     limits = split_limits(df, label, id_col, test_fraction, seed)
-    limit = F.lit("")
-    for name, text in limits.items():
-        limit = F.when(F.col(label).eqNullSafe(F.lit(name)), F.lit(text)).otherwise(limit)
+    few = limits.limit(_WRITTEN_OUT + 1).collect()
+    if len(few) <= _WRITTEN_OUT:
+        limit = F.lit("")
+        for name, text in few:
+            limit = F.when(_class_name(label) == name, F.lit(text)).otherwise(limit)
+        rows = df
+    else:
+        renamed = limits.withColumnRenamed("limit", "_limit").withColumnRenamed("class", "_class")
+        if limits.count() <= _BROADCAST_CLASSES:
+            renamed = F.broadcast(renamed)
+        rows, limit = df.join(renamed, _class_name(label) == F.col("_class")), F.col("_limit")
     part = F.when(id_hash(F.col(id_col), seed) < limit, TEST).otherwise(TRAIN)
-    return df.withColumn("split", part)
+    return rows.select(*df.columns, part.alias("split"))
 
 
 def class_weight(train: DataFrame, label: str = LABEL) -> DataFrame:

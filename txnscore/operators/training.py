@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from txnscore.config import FRAUD_THRESHOLD
 from txnscore.operators.deciding import SCORE
-from txnscore.operators.preparation import PREPARED, class_weight, fit_preparation
+from txnscore.operators.preparation import PREPARED, fit_facts, preparation
 from txnscore.schemas import FEATURES, LABEL
 from txnscore.workspace import shared_root
 
@@ -39,17 +39,17 @@ def train(
 ) -> PipelineModel:
     """Boosted trees over prepared features, fraud rows weighted by the class ratio; unlabelled rows are left out.
 
-    Lineage of the boosting rounds is cut by checkpoints in the session's shared folder.
+    One scan gives all that preparation and weights need; the next is that of the trees. Lineage of the boosting rounds is cut by checkpoints in the session's shared folder.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
     known = df.where(F.col(label).isNotNull()).select(*features, label)
-    weight = class_weight(known, label).first()["scale_pos_weight"] or 1.0
+    facts = fit_facts(known, features, label=label)
     weighted = known.select(
         *features,
         F.col(label).cast("double").alias("target"),
-        F.when(F.col(label) == 1, F.lit(weight)).otherwise(F.lit(1.0)).alias("weight"),
+        F.when(F.col(label) == 1, F.lit(facts.fraud_weight)).otherwise(F.lit(1.0)).alias("weight"),
     )
     assembler = VectorAssembler(inputCols=[PREPARED + name for name in features], outputCol="features")
     trees = GBTClassifier(
@@ -61,7 +61,7 @@ def train(
         seed=params.seed,
         checkpointInterval=10,
     )
-    return Pipeline(stages=[fit_preparation(known, features), assembler, trees]).fit(weighted)
+    return Pipeline(stages=[preparation(facts), assembler, trees]).fit(weighted)
 
 
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:

@@ -60,7 +60,11 @@ def _named(columns: dict[str, Column]) -> list[Column]:
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an event alone tells about its transaction."""
-    return read(spark, sf_dir, "events").select("event_id", "ts", *_named(_arrival_columns()))
+    return as_arrivals(read(spark, sf_dir, "events"))
+
+
+def as_arrivals(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "ts", *_named(_arrival_columns()))
 
 
 def transactions(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:

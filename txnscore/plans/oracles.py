@@ -117,11 +117,11 @@ SELECT transaction_id, "Amount" AS amount, {_SHOWN_SCORE}, is_fraud_predicted, i
 FROM sound QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY round) = 1"""
 
 # The split of the model queries: whole vectors go to either part by the hash of their id.
-_BY_VECTOR = f"""{_TXN},
+_BY_VECTOR = f"""{_DECIDED},
 parted AS (
-  SELECT *, CASE WHEN substr(md5('42:' || (event_id % (SELECT count(*) FROM embeddings))::VARCHAR), 1, 8) < '33333333'
+  SELECT *, is_fraud_predicted::INTEGER AS y, CASE WHEN substr(md5('42:' || (event_id % (SELECT count(*) FROM embeddings))::VARCHAR), 1, 8) < '33333333'
                  THEN 'test' ELSE 'train' END AS split
-  FROM txn
+  FROM decided
 )"""
 
 
@@ -201,7 +201,7 @@ FROM sound WHERE round = 0""",
 SELECT {_MESSAGE}, ts AS kafka_timestamp, partition, "offset"
 FROM faulty WHERE issue IS DISTINCT FROM 'malformed_json' AND transaction_id IS NOT NULL""",
     "rejected_records": f"""WITH {_FAULTY}
-SELECT issue, partition, "offset" FROM faulty WHERE issue <> 'null_label'""",
+SELECT issue, partition, "offset", issue = 'malformed_json' AS not_json FROM faulty WHERE issue <> 'null_label'""",
     "reject_counts": f"""WITH {_FAULTY}
 SELECT issue, count(*) AS n_rows FROM faulty WHERE issue IS NOT NULL GROUP BY issue""",
     "build_messages": f"WITH {_TXN} SELECT {_MESSAGE} FROM txn",
@@ -239,11 +239,12 @@ FROM txn GROUP BY 1""",
 SELECT count(*) FILTER ("Class" = 0) AS legitimate, count(*) FILTER ("Class" = 1) AS fraud,
        count(*) FILTER ("Class" = 0)::DOUBLE / count(*) FILTER ("Class" = 1)::DOUBLE AS scale_pos_weight
 FROM split WHERE split = 'train'""",
-    "scaled_features": f"""WITH {_TXN},
-facts AS (SELECT avg("Time") AS mt, stddev_pop("Time") AS dt, avg("Amount") AS ma, stddev_pop("Amount") AS da FROM txn)
-SELECT transaction_id, (("Time" - mt) / dt)::DECIMAL(18,6) AS "scaled_Time",
+    "scaled_features": f"""WITH {_ARRIVALS},
+facts AS (
+  SELECT avg("Time") AS mt, stddev_pop("Time") AS dt, avg("Amount") AS ma, stddev_pop("Amount") AS da FROM arrivals)
+SELECT printf('TXN-%08d', event_id) AS transaction_id, (("Time" - mt) / dt)::DECIMAL(18,6) AS "scaled_Time",
        (("Amount" - ma) / da)::DECIMAL(18,6) AS "scaled_Amount"
-FROM txn CROSS JOIN facts""",
+FROM arrivals CROSS JOIN facts""",
     "batch_stats": f"WITH {_METRICS} SELECT batch_id, batch_size, fraud_count, fraud_rate FROM metrics",
     "running_counters": f"""WITH {_METRICS}
 SELECT batch_id, (sum(batch_size) OVER (ORDER BY batch_id))::BIGINT AS processed_total,
@@ -377,20 +378,23 @@ SELECT count(*) AS processed, count(*) FILTER (is_fraud_predicted) AS detected F
 SELECT issue, count(*) AS n_rows FROM sent WHERE issue <> 'null_label' GROUP BY issue""",
     "stream_windowed_rate": _sliding("events", 3600, 900, "count(*) / 3600::DOUBLE AS rate"),
     "stream_new_checkpoint": _FIRST_SENT,
+    "stream_rate_over_checkpoints": _sliding("events", 3600, 900, "count(*) / 3600::DOUBLE AS rate"),
     "train_eval": f"""WITH {_BY_VECTOR}
-SELECT count(*) FILTER ("Class" = 0) AS n_legitimate, count(*) FILTER ("Class" = 1) AS n_fraud, true AS measures_sound
+SELECT count(*) FILTER (y = 0) AS n_legitimate, count(*) FILTER (y = 1) AS n_fraud, true AS auc_reached,
+       true AS recall_reached, true AS precision_reached
 FROM parted WHERE split = 'test'""",
     "model_metadata": f"""WITH {_BY_VECTOR}
-SELECT true AS auc_sound, '{_FEATURES}' AS features, 5::INTEGER AS n_estimators, 0.5::DOUBLE AS threshold,
+SELECT true AS auc_reached, '{_FEATURES}' AS features, 100::INTEGER AS n_estimators, 0.5::DOUBLE AS threshold,
        count(*) FILTER (split = 'train') AS train_size, count(*) FILTER (split = 'test') AS test_size,
-       round(avg("Class") FILTER (split = 'train'), 6) AS fraud_rate_train,
-       round(count(*) FILTER (split = 'train' AND "Class" = 0)
-             / (count(*) FILTER (split = 'train' AND "Class" = 1))::DOUBLE, 2) AS scale_pos_weight
+       round(avg(y) FILTER (split = 'train'), 6) AS fraud_rate_train,
+       round(count(*) FILTER (split = 'train' AND y = 0)
+             / (count(*) FILTER (split = 'train' AND y = 1))::DOUBLE, 2) AS scale_pos_weight
 FROM parted""",
-    "score_gbt": f"""WITH {_TXN}
-SELECT transaction_id, true AS score_sound, true AS flag_sound FROM txn""",
+    "score_gbt": f"""WITH {_BY_VECTOR}
+SELECT y AS "Class", count(*) AS n_rows, 0.0::DOUBLE AS largest_difference, true AS mostly_right FROM parted GROUP BY y""",
     "feature_importance": """
-SELECT 30::BIGINT AS n_features, 1.0::DECIMAL(18,6) AS total, true AS all_positive, 10::BIGINT AS n_top,
-       true AS top_sound""",
+SELECT feature, true AS matters, 30::BIGINT AS n_features, 1.0::DECIMAL(18,6) AS total, true AS signal_found
+FROM (VALUES ('Amount'), ('V1'), ('V2'), ('V3')) t(feature)""",
     "pandas_udf_score": f"WITH {_DECIDED} SELECT transaction_id, {_SHOWN_SCORE} FROM decided",
 }
+ORACLES["stream_inference_latency"] = ORACLES["inference_latency"]

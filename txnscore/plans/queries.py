@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +31,16 @@ from txnscore.sinks.tables import insert_if_absent, read_table
 from txnscore.sources.dataset import read_dataset
 from txnscore.sources.models import load_model, save_model
 from txnscore.sources.records import record_stream
-from txnscore.streaming.rates import start_pane_totals, streamed_rate
+from txnscore.streaming.rates import start_bucket_totals, start_pane_totals, streamed_quantiles, streamed_rate
 from txnscore.streaming.scoring import start_scoring
 from txnscore.workspace import new_folder
 
 AMOUNT_BOUNDS = [1.0, 5.0, 10.0, 50.0, 100.0, 500.0]
-SMALL_MODEL = training.TrainingParams(trees=5, depth=4)
+
+#: What a model that has learned the planted signal reaches on rows it has not seen; one that has not stays far below.
+AUC_FLOOR, RECALL_FLOOR, PRECISION_FLOOR, RIGHT_FLOOR = 0.75, 0.5, 0.5, 0.8
+#: What the features behind the planted signal are worth at least, each and together; evenly spread, each has a thirtieth.
+EACH_FLOOR, SIGNAL_FLOOR = 0.04, 0.7
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +70,7 @@ def parse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejects = parsing.parse_messages(fixtures.records(spark, sf_dir, defects=True))
-    return rejects.select("issue", "partition", "offset")
+    return rejects.select("issue", "partition", "offset", (F.col("value") == "not json").alias("not_json"))
 
 
 def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,79 +368,123 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("issue").agg(F.count("*").alias("n_rows"))
 
 
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream. A pattern, since a stream takes the name of a folder only; it stands for one file, too."""
+    return spark.readStream.schema(fixtures.read(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet")
+
+
 def stream_windowed_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All one-hour windows, open ones too, from totals that a stream keeps."""
     folder = new_folder(spark, "rates")
-    # A pattern, since a stream takes the name of a folder only; it stands for one file as well as for a folder.
-    events = spark.readStream.schema(fixtures.read(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet")
-    query = start_pane_totals(
+    events = _arriving(spark, sf_dir)
+    start_pane_totals(
         events, "ts", f"{folder}/totals", f"{folder}/checkpoint", 3600, 900, available_now=True
-    )
-    query.awaitTermination()
+    ).awaitTermination()
     windows = streamed_rate(spark, f"{folder}/totals", 3600, 900)
     return windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def stream_rate_over_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two checkpoints on one table of totals, each with its own half of the events; the rates are those of all."""
+    folder = new_folder(spark, "rates")
+    for half in (0, 1):
+        events = _arriving(spark, sf_dir).where(F.col("event_id") % 2 == half)
+        start_pane_totals(
+            events, "ts", f"{folder}/totals", f"{folder}/checkpoint-{half}", 3600, 900, available_now=True
+        ).awaitTermination()
+    windows = streamed_rate(spark, f"{folder}/totals", 3600, 900)
+    return windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def stream_inference_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency quantiles of five-minute windows from bucket counts that a stream keeps, over a new checkpoint."""
+    folder, bounds = new_folder(spark, "latency"), buckets.INFERENCE_SECONDS
+    for half in (0, 1):
+        timed = fixtures.as_arrivals(_arriving(spark, sf_dir)).where(F.col("event_id") % 2 == half)
+        start_bucket_totals(
+            timed, "ts", F.col("processing_time_ms") / 1000, bounds, f"{folder}/totals", f"{folder}/checkpoint-{half}", 300,
+            available_now=True,
+        ).awaitTermination()
+    quantiles = streamed_quantiles(spark, f"{folder}/totals", bounds, [0.5, 0.95])
+    start = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return quantiles.select(start, *[F.col(n).cast("decimal(18,6)").alias(n) for n in ("p50", "p95")])
+
+
 # Models
 
 
-def _trained(spark: SparkSession, sf_dir: str):
-    """Events share vectors, so whole vectors go to either part; otherwise the test part would be known."""
-    split = preparation.hash_split(fixtures.transactions(spark, sf_dir, costly=True), "vec_id")
-    model = training.train(split.where(F.col("split") == preparation.TRAIN), params=SMALL_MODEL)
-    return model, split
+_FITTED: dict[tuple[str, str], str] = {}
 
 
-def train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is certain about a hold-out evaluation: its class sizes, and that all measures lie in their range."""
+def _trained(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
+    """A model of the published size over planted labels, and the split; trained once per application and table.
+
+    A transaction is labelled 1 where the fixed score flags it, so there is something to learn. Events share vectors,
+    so whole vectors go to either part; otherwise the test part would be known.
+    """
+    planted = fixtures.decided(spark, sf_dir, costly=True).withColumn("Class", F.col(FLAG).cast("int"))
+    split = preparation.hash_split(planted.drop(SCORE, FLAG), "vec_id")
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _FITTED:
+        folder = new_folder(spark, "model")
+        save_model(training.train(split.where(F.col("split") == preparation.TRAIN)), folder)
+        _FITTED[key] = folder
+    return load_model(_FITTED[key]), split
+
+
+def _held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, split = _trained(spark, sf_dir)
-    result = evaluation.evaluate(training.score(split.where(F.col("split") == preparation.TEST), model), "Class")
-    measures = [F.col(name).between(0.0, 1.0) for name in ("auc_roc", "precision", "recall", "f1_score")]
+    return training.score(split.where(F.col("split") == preparation.TEST), model)
+
+
+def train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the hold-out per class, and whether the model tells them apart."""
+    result = evaluation.evaluate(_held_out(spark, sf_dir), "Class")
     return result.select(
         (F.col("tn") + F.col("fp")).alias("n_legitimate"),
         (F.col("fn") + F.col("tp")).alias("n_fraud"),
-        F.forall(F.array(*measures), lambda sound: sound).alias("measures_sound"),
+        (F.col("auc_roc") >= AUC_FLOOR).alias("auc_reached"),
+        (F.col("recall") >= RECALL_FLOOR).alias("recall_reached"),
+        (F.col("precision") >= PRECISION_FLOOR).alias("precision_reached"),
     )
 
 
 def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, split = _trained(spark, sf_dir)
-    scored = training.score(split.where(F.col("split") == preparation.TEST), model)
-    facts = training.model_metadata(split, evaluation.roc_auc(scored), params=SMALL_MODEL)
+    _, split = _trained(spark, sf_dir)
+    facts = training.model_metadata(split, evaluation.roc_auc(_held_out(spark, sf_dir), label="Class"))
     return facts.withColumns(
-        {"features": F.array_join("features", " "), "auc_roc": F.col("auc_roc").between(0.0, 1.0)}
-    ).withColumnRenamed("auc_roc", "auc_sound")
+        {"features": F.array_join("features", " "), "auc_roc": F.col("auc_roc") >= AUC_FLOOR}
+    ).withColumnRenamed("auc_roc", "auc_reached")
 
 
 def score_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of a model that was saved and loaded again: each in its range, flagged from the threshold on."""
-    model, _ = _trained(spark, sf_dir)
+    """Per class of all transactions: rows, the largest difference of scores before and after saving, and whether most
+    are decided right."""
+    model, split = _trained(spark, sf_dir)
     folder = new_folder(spark, "model")
     save_model(model, folder)
-    scored = deciding.decide(training.score(fixtures.transactions(spark, sf_dir, costly=True), load_model(folder)))
-    return scored.select(
-        "transaction_id",
-        F.col(SCORE).between(0.0, 1.0).alias("score_sound"),
-        (F.col(FLAG) == (F.col(SCORE) >= 0.5)).alias("flag_sound"),
+    both = training.score(split, model).withColumnRenamed(SCORE, "before")
+    decided = deciding.decide(training.score(both, load_model(folder)))
+    right = F.avg((F.col(FLAG) == (F.col("Class") == 1)).cast("int"))
+    return decided.groupBy("Class").agg(
+        F.count("*").alias("n_rows"),
+        F.max(F.abs(F.col(SCORE) - F.col("before"))).alias("largest_difference"),
+        (right >= RIGHT_FLOOR).alias("mostly_right"),
     )
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is certain about importances: one per feature, adding up to 1, the ten largest in order."""
+    """The features of the planted signal, which must matter more than others, beside sums over all."""
     model, _ = _trained(spark, sf_dir)
     every = training.feature_importance(spark, model)
-    top = training.top_features(every)
+    planted = F.col("feature").isin(list(fixtures.WEIGHTS))
     sums = every.agg(
-        F.count("*").alias("n_features"), F.sum("importance").cast("decimal(18,6)").alias("total"),
-        F.min("importance").alias("least"),
-    )
-    return sums.select(
-        "n_features",
-        "total",
-        (F.col("least") >= 0).alias("all_positive"),
-        top.agg(F.count("*")).scalar().alias("n_top"),
-        (top.agg(F.min("importance")).scalar() >= F.lit(0.0)).alias("top_sound"),
+        F.count("*").alias("n_features"),
+        F.sum("importance").cast("decimal(18,6)").alias("total"),
+        (F.sum(F.when(planted, F.col("importance"))) >= SIGNAL_FLOOR).alias("signal_found"),
     )
+    found = every.where(planted).select("feature", (F.col("importance") >= EACH_FLOOR).alias("matters"))
+    return found.crossJoin(F.broadcast(sums))  # four rows by one
 
 
 def pandas_udf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -494,6 +543,8 @@ QUERIES: dict[str, Query] = {
     "stream_score_histogram": stream_score_histogram,
     "stream_rejects": stream_rejects,
     "stream_windowed_rate": stream_windowed_rate,
+    "stream_rate_over_checkpoints": stream_rate_over_checkpoints,
+    "stream_inference_latency": stream_inference_latency,
     "train_eval": train_eval,
     "model_metadata": model_metadata,
     "score_gbt": score_gbt,
