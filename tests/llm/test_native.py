@@ -170,22 +170,46 @@ def test_phrases(spark):
     assert rows[5]["n_base"] == 0 and rows[5]["labels"] == "gpl" and 0.8 <= rows[5]["score"] < 1
 
 
+def _numbered(rows, templates, threshold):
+    vocabulary, made = licenses.numbered_templates(templates, threshold)
+    plain = licenses.phrase_columns(F.coalesce("text", F.lit("")))["_plain"]
+    return rows.withColumn("_words", licenses.word_numbers(plain, vocabulary)), made
+
+
 def test_license_join_finds_every_block(spark, documents):
-    """The prefix, length and position filters lose no block that brute force finds."""
-    templates = licenses.TEMPLATES
-    sets = [set(licenses.template_words(text)) for _, text in templates]
-    rows = licenses.addressed(documents.select("doc_id", "text"))
-    threshold = 0.3
-    found = licenses.matches(rows, threshold=threshold).join(rows, ["_file", "_row"])
-    got = {(row["doc_id"], row["_block"], row["template"]) for row in found.collect()}
-    expected = set()
+    """The prefix, length and position filters lose no block that brute force finds, and each removes some."""
+    templates, threshold = licenses.TEMPLATES, 0.4
+    rows, made = _numbered(licenses.addressed(documents.select("doc_id", "text")), templates, threshold)
+    found = licenses.matches(rows, made).join(rows, ["_file", "_row"])
+    got = [(row["doc_id"], row["_block"], row["template"]) for row in found.collect()]
+    expected, every = set(), 0
     for row in documents.collect():
-        for number, line in enumerate(licenses_lower(row["text"]).split("\n")):
-            words = {word for word in re.split(licenses.GAP, line) if word}
-            expected |= {
-                (row["doc_id"], number, k) for k, s in enumerate(sets) if len(words & s) >= threshold * len(s) - 1e-9
-            }
-    assert got == expected and expected
+        words = [word for word in re.split(licenses.GAP, licenses_lower(row["text"])) if word]
+        for k, (_, text) in enumerate(templates):
+            own, size = set(licenses.template_words(text)), made[k].length
+            for block in range(-(-len(words) // size)):
+                every += 1
+                if len(own & set(words[block * size : (block + 2) * size])) >= threshold * len(own) - 1e-9:
+                    expected.add((row["doc_id"], block, k))
+    assert len(got) == len(set(got)) and set(got) == expected and expected
+    order = licenses.word_order(rows, max(word for template in made for word in template.words))
+    left = licenses.windows(rows, order, made)
+    kept = [left, left.where("length_left >= needed"), left.where("length_left >= needed and position_left >= needed")]
+    counts = [every, *(frame.count() for frame in kept), len(expected)]
+    assert counts == sorted(counts, reverse=True) and len(set(counts)) == len(counts)
+
+
+def test_wrapped_notices_are_found_and_scattered_words_are_not(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\n * modification, are permitted"
+    cc0 = "To the extent possible under law, the author has waived all copyright and\n related rights to this work"
+    filler = [f"word{k}" for k in range(9_000)]
+    for at, word in ((100, "released"), (2_000, "under"), (5_000, "the"), (8_900, "license")):
+        filler[at] = word
+    texts = [f"{'lead in ' * 40}{bsd}. more", f"# {cc0}", " ".join(filler), "Released under\nthe\n\tMIT license"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {row["doc_id"]: row for row in licenses.license_scan(docs).collect()}
+    assert [rows[k]["labels"] for k in range(4)] == ["bsd", "cc0", "", "mit"]
+    assert rows[2]["score"] == 0.0 and rows[0]["score"] == 1.0
 
 
 def licenses_lower(text):

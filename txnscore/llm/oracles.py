@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from txnscore.llm import codes, divergence, reputation
-from txnscore.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
+from txnscore.llm.licenses import GAP, PHRASES, TEMPLATES, THRESHOLD, template_words
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -75,7 +77,7 @@ def _quoted(text: str) -> str:
 
 
 _TEMPLATES = ", ".join(
-    f"({k}, {_quoted(label)}, [{', '.join(map(_quoted, template_words(text)))}])"
+    f"({k}, {_quoted(label)}, [{', '.join(map(_quoted, template_words(text)))}], {len([w for w in re.split(GAP, text) if w])})"
     for k, (label, text) in enumerate(TEMPLATES)
 )
 _PHRASES = ", ".join(
@@ -90,14 +92,13 @@ places AS (
   SELECT doc_id, label, unnest(list_filter(range(len(ws)), lambda i: ws[i + 1 : i + len(phrase)] = phrase)) AS place
   FROM words CROSS JOIN phrases),
 base AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS ls FROM places GROUP BY doc_id),
-lines AS (
-  SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(line, '{_GAP}'), lambda w: w <> '')) AS ws
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)),
-templates(k, label, ws) AS (VALUES {_TEMPLATES}),
+templates(k, label, ws, l) AS (VALUES {_TEMPLATES}),
+blocks AS (
+  SELECT doc_id, label, t.ws, unnest(list_transform(range(0, len(w.ws), t.l), lambda b: w.ws[b + 1 : b + 2 * t.l])) AS block
+  FROM words w CROSS JOIN templates t),
 hits AS (
-  SELECT doc_id, label, len(list_intersect(l.ws, t.ws))::DOUBLE / len(t.ws) AS part
-  FROM lines l CROSS JOIN templates t
-  WHERE len(list_intersect(l.ws, t.ws)) >= ceil({THRESHOLD} * len(t.ws) - 1e-9)),
+  SELECT doc_id, label, len(list_intersect(block, ws))::DOUBLE / len(ws) AS part
+  FROM blocks WHERE len(list_intersect(block, ws)) >= ceil({THRESHOLD} * len(ws) - 1e-9)),
 found AS (SELECT doc_id, max(part) AS part, list(DISTINCT label) AS ls FROM hits GROUP BY doc_id)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base,
        lo::BIGINT AS first_word, hi::BIGINT AS last_word,
