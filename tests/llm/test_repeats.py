@@ -69,6 +69,31 @@ def test_repeats_of_made_texts(spark, most):
     assert _found_repeats(docs, most_contexts=most) == _brute_repeats(rows, 100)
 
 
+def test_passage_in_many_documents_with_other_surroundings(spark):
+    """Every document has the passage and, around it, other text each; chunks stay small on every level."""
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklm "))
+    passage = "".join(rng.choice(letters, 300))
+    rows = [(k, "".join(rng.choice(letters, 60)) + passage + "".join(rng.choice(letters, 60))) for k in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert _found_repeats(docs, most_contexts=40) == _brute_repeats(rows, 100)
+
+
+def test_chunks_send_on_the_first_of_each_window(spark):
+    """A window that stands in 3,000 places, in chunks of at most some forty rows, needs three levels."""
+    body = bytes(range(100))
+    rows = [(9, 5, 1_000, k, 0, k % 7, body) for k in range(3_000)]
+    level, sizes, marked = spark.createDataFrame(rows, repeats._CONTEXTS), [], 0
+    while not level.isEmpty():
+        chunk = F.pmod(F.xxhash64("doc", "tie", "start"), F.col("parts"))
+        sizes.append(level.groupBy("key", "sub", chunk).count().agg(F.max("count")).first()[0])
+        found = repeats._chunks_sorted(level, 100, 40).collect()
+        marked += sum(row["windows"] for row in found if row["windows"])
+        rest = [(row["key"], row["sub"], row["parts"], row["doc"], row["tie"], row["start"], row["body"]) for row in found if row["windows"] is None]
+        level = spark.createDataFrame(rest, repeats._CONTEXTS)
+    assert marked == 2_999 and len(sizes) == 3 and max(sizes) < 90
+
+
 def test_repeats_of_odd_rows(odd_docs, no_docs):
     rows = repeats.remove_repeats(odd_docs).collect()
     assert len(rows) == 12

@@ -9,7 +9,9 @@ document before) is removed. Three steps keep the sorting small without missing
    contexts count once: all but the first are repeats as they are. Copies met close together are combined before.
 2. Different contexts of one anchor may share some windows. Their bytes are gathered per anchor, and a suffix array
    of them is built by two-stage sorting; neighbours with a common prefix of ``length`` bytes are equal windows. An
-   anchor with very many contexts is split by a hash of the windows' first bytes.
+   anchor with very many contexts is split into its windows, which are dealt out by a hash of all their bytes, and those
+   of one hash are sorted in chunks of bounded size: a chunk marks its repeats and sends the first of each window on
+   to the next level, until one chunk is left. So a passage may stand in any number of documents, whatever surrounds it.
 3. The repeated windows of a document, as runs, are cut out of its text.
 
 Defined results: a null text is empty. Texts shorter than ``length`` stay whole. A null id is smaller than every
@@ -38,8 +40,10 @@ GRAM = 24
 CHUNK = 1 << 18
 #: Texts whose equal contexts are combined before the shuffle.
 GROUP_BYTES = 16 << 20
-#: Contexts of one anchor that are sorted together, and bytes of a suffix array.
+#: Contexts of one anchor that are sorted together, into how many more parts the windows of a crowded one are dealt,
+#: and bytes of a suffix array.
 MOST_CONTEXTS = 1000
+FINER = 16
 UNIT_BYTES = 1 << 19
 #: A place is start << 7 | windows; this many windows mark a run of repeats.
 RUN = 127
@@ -217,29 +221,34 @@ def _resolved(anchored: DataFrame) -> DataFrame:
     )
 
 
-_CONTEXTS = "key long, sub int, doc long, tie long, start long, body binary, picked binary"
+_CONTEXTS = "key long, sub int, parts int, doc long, tie long, start long, body binary"
 
 
-def _split(edges: DataFrame, length: int, most: int) -> DataFrame:
-    """Contexts (``key``, ``parts``, ``doc``, ``tie``, ``start``, ``body``), those of crowded anchors in parts.
+def _window_hashes(body: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each window of a context."""
+    powers = np.cumprod(np.full(len(body), _BASE, np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[body] * powers)])
+    back = np.cumprod(np.full(len(body), _INVERSE, np.uint64))
+    return _mixed((sums[length:] - sums[:-length]) * back[: len(body) - length + 1])
 
-    A window belongs to the part that a hash of its first bytes gives; ``picked`` has the windows of a row.
+
+def _split(edges: DataFrame, length: int) -> DataFrame:
+    """Contexts (``key``, ``parts``, ``doc``, ``tie``, ``start``, ``body``), those of crowded anchors as single windows.
+
+    A window belongs to the part that its hash gives, as ``sub``.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for key, parts, doc, tie, start, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                windows = len(body) - length + 1
                 if parts <= 1:
-                    rows.append((key, 0, doc, tie, start, body, np.arange(windows, dtype=np.uint8).tobytes()))
+                    rows.append((key, 0, 1, doc, tie, start, body))
                     continue
-                part = _gram_hashes(_TABLE[np.frombuffer(body, np.uint8)])[:windows] % np.uint64(parts)
-                for sub in np.unique(part):
-                    picked = np.flatnonzero(part == sub).astype(np.uint8).tobytes()
-                    rows.append((key, int(sub), doc, tie, start, body, picked))
-            names = ["key", "sub", "doc", "tie", "start", "body", "picked"]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                subs = _window_hashes(np.frombuffer(body, np.uint8), length) % np.uint64(parts)
+                rows += [(key, sub, parts, doc, tie, start + w, body[w : w + length]) for w, sub in enumerate(subs.tolist())]
+            names = ["key", "sub", "parts", "doc", "tie", "start", "body"]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = zip(*rows, strict=True) if rows else [[] for _ in names]
             arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -247,56 +256,89 @@ def _split(edges: DataFrame, length: int, most: int) -> DataFrame:
     return edges.mapInArrow(cut, _CONTEXTS)
 
 
-def repeated_windows(rows: list[tuple], length: int) -> list[np.ndarray]:
-    """Runs (doc, tie, start, windows) of the windows in ``rows`` that also start earlier in one of the rows."""
-    bodies = [np.frombuffer(row[5], np.uint8) for row in rows]
+def repeated_windows(rows: list[tuple], length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Runs (doc, tie, start, windows) of the windows in ``rows`` that also start earlier in one of the rows, and the
+    rows that have a window which does not.
+
+    A row is (..., doc, tie, start, body).
+    """
+    bodies = [np.frombuffer(row[-1], np.uint8) for row in rows]
     sizes = np.array([len(body) for body in bodies])
     text = np.concatenate(bodies)
     firsts = np.cumsum(sizes) - sizes
-    picked = [np.frombuffer(row[6], np.uint8).astype(np.int64) for row in rows]
-    counts = [len(p) for p in picked]
-    windows = np.zeros(len(text), bool)
-    places = np.concatenate(picked) + np.repeat(firsts, counts)
-    windows[places] = True
+    windows = np.ones(len(text), bool)
+    windows[(np.repeat(firsts + sizes, length - 1) - np.tile(np.arange(1, length), len(rows)))] = False
     owner = np.repeat(np.arange(len(rows)), sizes)
     order = suffix_order(text, length + 4)
     order = order[windows[order]]
     group = np.cumsum(common_prefixes(text, order, length) < length)
-    doc = np.array([row[2] for row in rows])[owner[order]]
-    tie = np.array([row[3] for row in rows])[owner[order]]
-    start = np.array([row[4] for row in rows])[owner[order]] + order - firsts[owner[order]]
+    doc, tie, begin = (np.array([row[k] for row in rows]) for k in (-4, -3, -2))
+    of = owner[order]
+    doc, tie, start = doc[of], tie[of], begin[of] + order - firsts[of]
     sort = np.lexsort((start, tie, doc, group))
-    group, doc, tie, start = group[sort], doc[sort], tie[sort], start[sort]
+    group, doc, tie, start, of = group[sort], doc[sort], tie[sort], start[sort], of[sort]
     # Later than the first of its group; the same place may come with several contexts.
     first = np.searchsorted(group, group)
     later = (doc != doc[first]) | (tie != tie[first]) | (start != start[first])
-    return merged_runs(doc[later], tie[later], start[later], np.ones(int(later.sum()), np.int64))
+    runs = merged_runs(doc[later], tie[later], start[later], np.ones(int(later.sum()), np.int64))
+    return runs, np.unique(of[np.unique(first)])
+
+
+_SORTED = "doc long, tie long, start long, windows long, key long, sub int, parts int, body binary"
 
 
-def _sorted_out(parts: DataFrame, length: int) -> DataFrame:
-    """Runs of repeats among the contexts of each (``key``, ``sub``), whole groups in one suffix array."""
+def _chunks_sorted(contexts_of: DataFrame, length: int, most: int) -> DataFrame:
+    """Runs of repeats within each chunk, and, with null ``windows``, what chunks send on to the next level.
+
+    Rows with more than one part are in that many chunks, by a hash of their place.
+    """
+    names = [field.split()[0] for field in _SORTED.split(", ")]
+    kinds = [*[pa.int64()] * 5, *[pa.int32()] * 2, pa.binary()]
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(rows: list[tuple]) -> pa.RecordBatch:
-            columns = repeated_windows(rows, length) if len(rows) > 1 else [np.zeros(0, np.int64)] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "tie", "start", "windows"])
+            found: list[tuple] = []
+            left = np.arange(len(rows))
+            if len(rows) > 1:
+                runs, left = repeated_windows(rows, length)
+                found = [(*run, None, None, None, None) for run in zip(*(c.tolist() for c in runs), strict=True)]
+            for k in left.tolist():
+                key, sub, parts, _, doc, tie, start, body = rows[k]
+                if parts > 1:
+                    found.append((doc, tie, start, None, key, sub, -(-parts // most), body))
+            columns = zip(*found, strict=True) if found else [[] for _ in names]
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names)
 
         rows: list[tuple] = []
         size = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > UNIT_BYTES and row[:2] != rows[-1][:2]:
+                if size > UNIT_BYTES and row[:4] != rows[-1][:4]:
                     yield done(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[5])
+                size += len(row[-1])
         yield done(rows)
 
-    return (
-        parts.repartition("key", "sub")
-        .sortWithinPartitions("key", "sub")
-        .mapInArrow(sort, "doc long, tie long, start long, windows long")
-    )
+    chunk = F.pmod(F.xxhash64("doc", "tie", "start"), F.col("parts")).alias("chunk")
+    dealt = contexts_of.select("key", "sub", "parts", chunk, "doc", "tie", "start", "body")
+    keys = ("key", "sub", "parts", "chunk")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(sort, _SORTED)
+
+
+def _sorted_out(contexts_of: DataFrame, length: int, most: int, crowded: bool) -> DataFrame:
+    """Runs of repeats among the contexts; crowded anchors go from level to level until one chunk is left."""
+    marks = ("doc", "tie", "start", "windows")
+    if not crowded:
+        return _chunks_sorted(contexts_of, length, most).select(*marks)
+    found = None
+    while True:
+        level = written(_chunks_sorted(contexts_of, length, most), "sorted")
+        runs = level.where("windows is not null").select(*marks)
+        found = runs if found is None else found.unionByName(runs)
+        contexts_of = level.where("windows is null")
+        if contexts_of.isEmpty():
+            return found
 
 
 _RESULT = "row long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary, kept_sha256 string"
@@ -365,7 +407,8 @@ def remove_repeats(
         "met",
     )
     crowded = marks.where("key is not null").groupBy("key").count().where(F.col("count") > most_contexts)
-    crowded = crowded.select("key", F.ceil(F.col("count") / most_contexts).cast("int").alias("parts"))
+    parts = F.least(F.ceil(F.col("count") * FINER / most_contexts), F.lit((1 << 31) - 1)).cast("int")
+    crowded = written(crowded.select("key", parts.alias("parts")), "crowded")
     edge = F.explode(F.filter("marks", lambda mark: mark["key"].isNotNull())).alias("mark")
     edges = met.where("marks is not null").select("doc", "tie", "body", edge).select(
         F.col("mark.key").alias("key"),
@@ -377,7 +420,7 @@ def remove_repeats(
     edges = edges.join(crowded, "key", "left").select(
         "key", F.coalesce("parts", F.lit(1)).alias("parts"), "doc", "tie", "start", "body"
     )
-    found = _sorted_out(_split(edges, length, most_contexts), length)
+    found = _sorted_out(_split(edges, length), length, most_contexts, not crowded.isEmpty())
     found = found.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows")).alias("more"))
     whole_runs = F.transform(
         F.filter("marks", lambda mark: mark["key"].isNull()),
