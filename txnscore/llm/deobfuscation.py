@@ -2,8 +2,9 @@
 
 A written word is a noisy form of an intended one: letters stand as digits or signs, are repeated, or are kept apart
 by signs or spaces. Each written character gives the letters it may stand for, or nothing, with a cost; the best
-reading under a trigram model of letters is found by Viterbi search, with a few best readings kept per state. Runs of
-any length are read to their end; of a long one, what lies far behind is settled as in the best reading so far.
+reading under a trigram model of letters is found by Viterbi search over the last two letters. A state keeps its few best
+readings, since a known word is worth more at its end. Runs of any length are read to their end; letters on which all
+readings agree are put aside meanwhile, so a long run takes no more memory than a short one.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ APART = set(".-_*~'`,/\\:;")
 SWAP, GAP, AGAIN, LOST, KEPT = -1.0, -0.7, -0.5, -6.0, -4.0
 #: Readings kept per state of the search.
 KEEP = 4
-#: Letters of a reading that stay open; longer tokens are read in the parts between signs, not as one word.
-LONGEST = 48
+#: So many signs are read before agreed letters are looked for.
+STRETCH = 48
 
 _CLEAN_RUN = re.compile(r"(.)\1\1")
 _DOUBLE = re.compile(r"(.)\1+")
@@ -95,13 +96,45 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
-def _settled(states: dict, prefix: str) -> dict:
-    """The readings that start with ``prefix``, without it."""
-    cut = {
-        state: [(score, text[len(prefix) :]) for score, text in readings if text.startswith(prefix)]
-        for state, readings in states.items()
-    }
-    return {state: readings for state, readings in cut.items() if readings}
+#: A reading is (letters, a hash of them, the reading before the last letter, the last letter).
+_Reading = tuple
+_NOTHING: _Reading = (0, 0, None, "")
+
+
+def _longer(reading: _Reading, letter: str) -> _Reading:
+    return reading[0] + 1, hash((reading[1], ord(letter))), reading, letter
+
+
+def _written_out(reading: _Reading) -> str:
+    letters = []
+    while reading[2] is not None:
+        letters.append(reading[3])
+        reading = reading[2]
+    return "".join(reversed(letters))
+
+
+def _agreed(readings: list[_Reading], size: int) -> _Reading | None:
+    """The first ``size`` letters of all readings if they agree on them."""
+    found = None
+    for reading in readings:
+        while reading[0] > size:
+            reading = reading[2]
+        if reading[0] < size or (found and reading[1] != found[1]):
+            return None
+        found = reading
+    return found
+
+
+def _cut(reading: _Reading, size: int) -> _Reading:
+    """The reading without its first ``size`` letters."""
+    tail = []
+    while reading[0] > size:
+        tail.append(reading[3])
+        reading = reading[2]
+    left = _NOTHING
+    for letter in reversed(tail):
+        left = _longer(left, letter)
+    return left
 
 
 class Restorer:
@@ -125,39 +158,44 @@ class Restorer:
         """The likeliest reading of a written word."""
         number = lambda c: int(_TABLE[ord(c)]) or OTHER if ord(c) < len(_TABLE) else OTHER
         model = self.model
-        states: dict[tuple[int, int], list[tuple[float, str]]] = {(EDGE, EDGE): [(0.0, "")]}
+        states: dict[tuple[int, int], list[tuple[float, _Reading]]] = {(EDGE, EDGE): [(0.0, _NOTHING)]}
         settled: list[str] = []
         for at, char in enumerate(word, 1):
-            after: dict[tuple[int, int], list[tuple[float, str]]] = {}
+            choices = self._choices(char)
+            after: dict[tuple[int, int], list[tuple[float, _Reading]]] = {}
             for (a, b), readings in states.items():
-                for letter, cost in self._choices(char):
+                for letter, cost in choices:
                     if not letter:
                         after.setdefault((a, b), []).extend((score + cost, text) for score, text in readings)
                         continue
                     c = number(letter)
                     gain = cost + model[a][b][c]
-                    after.setdefault((b, c), []).extend((score + gain, text + letter) for score, text in readings)
+                    after.setdefault((b, c), []).extend((score + gain, _longer(text, letter)) for score, text in readings)
                     if b == c != EDGE:
                         # The same letter again may be a mere repetition.
                         after.setdefault((a, b), []).extend((score + cost + AGAIN, text) for score, text in readings)
             states = {}
             for state, readings in after.items():
-                best: dict[str, float] = {}
+                best: dict[tuple[int, int], tuple[float, _Reading]] = {}
                 for score, text in readings:
-                    if score > best.get(text, -1e18):
-                        best[text] = score
-                states[state] = sorted(((s, t) for t, s in best.items()), reverse=True)[:KEEP]
-            if at % LONGEST == 0:
-                text = max(readings[0] for readings in states.values())[1]
-                if len(text) > LONGEST:
-                    settled.append(text[:-LONGEST])
-                    states = _settled(states, settled[-1])
+                    if text[:2] not in best or score > best[text[:2]][0]:
+                        best[text[:2]] = (score, text)
+                states[state] = sorted(best.values(), key=lambda found: -found[0])[:KEEP]
+            if at % STRETCH == 0:
+                every = [text for readings in states.values() for _, text in readings]
+                size = min(text[0] for text in every) - STRETCH
+                if size > 0 and (agreed := _agreed(every, size)):
+                    settled.append(_written_out(agreed))
+                    states = {
+                        state: [(score, _cut(text, size)) for score, text in readings] for state, readings in states.items()
+                    }
         before = "".join(settled)
-        ends = [
-            (score + model[a][b][EDGE] + (self.bonus if not before and text in self.known else 0.0), text)
-            for (a, b), readings in states.items()
-            for score, text in readings
-        ]
+        ends = []
+        for (a, b), readings in states.items():
+            for score, reading in readings:
+                text = _written_out(reading)
+                known = not before and text in self.known
+                ends.append((score + model[a][b][EDGE] + (self.bonus if known else 0.0), text))
         return before + max(ends)[1] if ends else ""
 
     def word(self, token: str) -> str:
@@ -175,13 +213,12 @@ class Restorer:
         return self.viterbi(core)
 
     def words(self, token: str) -> list[str]:
-        """The restored forms of a token and of its parts between signs; a long token has its parts only."""
+        """The restored forms of a token and of its parts between signs."""
         core = token.lstrip(_STRIP_LEFT).rstrip(_STRIP_RIGHT)
         parts = [] if core.isalnum() else _PARTS.findall(core)
         if len(parts) < 2:
             return [self.word(token)]
-        whole = [self.word(token)] if len(core) <= LONGEST else []
-        return whole + [self.word(part) for part in parts]
+        return [self.word(token), *map(self.word, parts)]
 
     def spaced(self, text: str) -> list[str]:
         """Words whose letters are written apart, put together and restored."""

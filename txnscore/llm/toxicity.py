@@ -3,7 +3,9 @@
 A trigram model of letters is counted over all texts. Each word of a text is restored under it (see
 ``deobfuscation``); the restored words and their beginnings are scored by a logistic regression on those that tell
 toxic from other texts. These are picked, and their weights fitted, on a bounded sample: the ``sample`` labelled rows
-with the smallest hash of their id, outside the held-out fold. Equal words are restored once per task.
+with the smallest hash of their id, outside the held-out fold, one row of each. Scores are calibrated on rows that their
+weights have not seen: the sample is cut in parts, each is scored by what the others teach, and a logistic curve over
+these scores sets the scale. Equal words are restored once per task.
 
 Defined results: a null text is empty, and empty texts are scored like any other. A document with several labels
 counts once, with the largest. With no labels, or labels of one class only, every score is the smoothed share of
@@ -179,8 +181,9 @@ def train_toxicity_model(
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(sample)
     )
-    # At most ``sample`` rows of two numbers, so this side has a fixed bound.
+    # At most ``sample`` rows of two numbers, so this side has a fixed bound. Of rows with one id, the largest text is read.
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")).join(F.broadcast(known), "_id")
+    rows = rows.groupBy("_id", "_label").agg(F.max("_body").alias("_body"))
     rows = written(restored_features(rows, letters, ["_label"], "_body"), "toxicity-sample")
     alike = rows.groupBy("sketch").agg((1 / F.count("*")).alias("worth"))
     rows = rows.join(alike, "sketch").withColumns(
@@ -206,14 +209,46 @@ def train_toxicity_model(
     if not words:
         return ToxicityModel(letters, (), (), base)
     number = {word: k for k, word in enumerate(words)}
-    found = rows.select("_label", "worth", F.array_intersect("features", F.lit(words)).alias("features")).collect()
+    found = rows.select("_label", "worth", "sketch", F.array_intersect("features", F.lit(words)).alias("features")).collect()
     there = np.zeros((len(found), len(words)))
     for k, row in enumerate(found):
         there[k, [number[word] for word in row["features"]]] = 1
     label, worth = np.array([row["_label"] for row in found], float), np.array([row["worth"] for row in found])
-    kept = telling(words, there, label, worth, np.array([row["odds"] for row in picked]), most)
-    w = logistic(there[:, kept], label, worth, ridge)
-    return ToxicityModel(letters, tuple(words[k] for k in kept), tuple(map(float, w[:-1])), float(w[-1]))
+    odds_of = np.array([row["odds"] for row in picked])
+    part = np.array([row["sketch"] for row in found]) % PARTS
+    kept, w = _weights(words, there, label, worth, odds_of, most, ridge)
+    seen = np.full(len(found), np.nan)
+    for number_of in range(PARTS):
+        inside = part != number_of
+        if 0 < label[inside].sum() < inside.sum():
+            some, own = _weights(words, there[inside], label[inside], worth[inside], odds_of, most, ridge)
+            seen[~inside] = there[~inside][:, some] @ own[:-1] + own[-1]
+    slope, shift = _scale(seen, label, worth)
+    return ToxicityModel(
+        letters, tuple(words[k] for k in kept), tuple(slope * float(x) for x in w[:-1]), slope * float(w[-1]) + shift
+    )
+
+
+#: Parts of the sample that are scored by what the others teach.
+PARTS = 4
+
+
+def _weights(
+    words: Sequence[str], there: np.ndarray, label: np.ndarray, worth: np.ndarray, odds: np.ndarray, most: int, ridge: float
+) -> tuple[list[int], np.ndarray]:
+    kept = telling(words, there, label, worth, odds, most)
+    return kept, logistic(there[:, kept], label, worth, ridge)
+
+
+def _scale(seen: np.ndarray, label: np.ndarray, worth: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve from unseen scores to labels; labels count a little less than sure."""
+    known = ~np.isnan(seen)
+    toxic, other = (worth[known & (label == value)].sum() for value in (1, 0))
+    if toxic < 2 or other < 2 or np.ptp(seen[known]) < 1e-9:
+        return 1.0, 0.0
+    soft = np.where(label == 1, (toxic + 1) / (toxic + 2), 1 / (other + 2))
+    slope, shift = logistic(seen[known][:, None], soft[known], worth[known], 1e-3)
+    return (float(slope), float(shift)) if slope > 0 else (1.0, 0.0)
 
 
 def telling(
