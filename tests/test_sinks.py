@@ -12,7 +12,7 @@ from txnscore.config import KafkaSettings, SinkPaths
 from txnscore.schemas import BATCH_METRICS, TRANSACTIONS
 from txnscore.sinks import store as store_module
 from txnscore.sinks import tables, topics
-from txnscore.sinks.database import append_to_database, merge_text
+from txnscore.sinks.database import append_to_database, merge_into_database, merge_text
 from txnscore.sinks.store import FAN, ForeignWriterError, Piece
 from txnscore.sources.records import kafka_stream
 from txnscore.workspace import new_folder
@@ -242,3 +242,23 @@ def test_database_in_memory(spark):
     append_to_database(stored(spark, [(f"K{i}", float(i), 0, i) for i in range(10)]).drop("offset"), url, "txn", driver)
     back = spark.read.format("jdbc").options(url=url, dbtable="txn", **driver).load()
     assert back.count() == 10 and back.selectExpr("sum(amount)").first()[0] == 45.0
+
+
+def test_batches_are_merged_into_a_database_once(spark):
+    """A replayed batch, one that failed while merging and one with known keys, on a database in this process."""
+    url, driver = "jdbc:derby:memory:merged;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = lambda *pairs: spark.createDataFrame(list(pairs), "transaction_id string, amount double")
+    read = lambda: sorted(tuple(r) for r in spark.read.format("jdbc").options(url=url, dbtable="txns", **driver).load().collect())
+    types = "transaction_id VARCHAR(20)"
+    append_to_database(rows(), url, "txns", {**driver, "createTableColumnTypes": types})
+    merge = lambda frame, batch_id: merge_into_database(frame, url, "txns", "transaction_id", batch_id, driver, types)
+    merge(rows(("A", 1.0), ("B", 2.0)), 0)
+    merge(rows(("B", 9.0), ("C", 3.0)), 1)
+    assert read() == [("A", 1.0), ("B", 2.0), ("C", 3.0)]
+    merge(rows(("D", 4.0)), 1)
+    assert len(read()) == 3
+    with pytest.raises(Exception, match="(?i)no_such"):
+        merge(rows(("E", 5.0)).withColumnRenamed("amount", "no_such"), 2)
+    assert len(read()) == 3
+    merge(rows(("E", 5.0)), 2)
+    assert read()[-1] == ("E", 5.0)

@@ -12,6 +12,7 @@ from txnscore.config import KafkaSettings, ScoringConfig, SinkPaths
 from txnscore.functions.buckets import SCORE
 from txnscore.operators import deciding, histograms, parsing, rates
 from txnscore.plans import fixtures
+from txnscore.plans.dashboard import REPORTS
 from txnscore.schemas import ALERTS, BATCH_METRICS, BATCH_SERIES, REJECTS, TRANSACTIONS
 from txnscore.sinks.tables import read_table
 from txnscore.sources.records import kafka_options, record_stream
@@ -188,8 +189,12 @@ def test_failed_batch_is_not_lost(spark):
 
     job = Job(spark, alert_senders=(failing,))
     job.send(record(1, message(1, Amount=80.0)))
-    with pytest.raises(StreamingQueryException):
-        job.run()
+    for attempt in (1, 2):
+        with pytest.raises(StreamingQueryException):
+            job.run()
+        (row,) = REPORTS["failures"](spark, job.paths).collect()
+        assert tuple(row) == ("alert_topic", attempt, 1, attempt - 1)
+        assert all(not rows for rows in job.everything().values())
     job.options = {}
     job.run()
     assert job.everything()["transactions"] == [("TXN-00000001", 80.0, 0)]

@@ -40,6 +40,7 @@ class SinkPaths:
     batch_series: str
     rejects: str
     sent: str
+    failures: str
 
     @classmethod
     def under(cls, root: str) -> SinkPaths:
@@ -52,4 +53,6 @@ class SinkPaths:
             rejects=f"{root}/rejects",
             # The producer writes beside the scoring job, so its table is in a store of its own.
             sent=f"{root}/producer/sent",
+            # Failures are stored while a batch is not, so in a store of their own, too.
+            failures=f"{root}/health/failures",
         )

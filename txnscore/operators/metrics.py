@@ -49,3 +49,13 @@ def batch_count_series(metrics: DataFrame, batches_per_block: int = BATCHES_PER_
 def latest_rate(metrics: DataFrame) -> DataFrame:
     """Flagged share of the last batch in percent."""
     return metrics.agg(F.max_by(F.col("fraud_rate") * 100, F.col("batch_id")).alias("fraud_rate_pct"))
+
+
+def failure_counters(failures: DataFrame) -> DataFrame:
+    """Per sink: failed attempts, batches that failed at it, and attempts that were retries of such batches."""
+    counted = failures.groupBy("sink", "failed_batch").agg(F.count("*").alias("attempts"))
+    return counted.groupBy("sink").agg(
+        F.sum("attempts").alias("failures_total"),
+        F.count("*").alias("failed_batches"),
+        F.sum(F.col("attempts") - 1).alias("retries_failed"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txnscore.config import SinkPaths
 from txnscore.functions import buckets
 from txnscore.operators import deciding, histograms, metrics, rates, reports
-from txnscore.schemas import BATCH_METRICS, BATCH_SERIES, REJECTS, SENT, TRANSACTIONS
+from txnscore.schemas import BATCH_METRICS, BATCH_SERIES, FAILURES, REJECTS, SENT, TRANSACTIONS
 from txnscore.sinks.tables import read_table
 
 # Ranges and quantiles of the panels, in seconds.
@@ -69,6 +69,11 @@ def issues(spark: SparkSession, paths: SinkPaths) -> DataFrame:
     return stored.groupBy("issue").agg(F.count("*").alias("n_rows"))
 
 
+def failures(spark: SparkSession, paths: SinkPaths) -> DataFrame:
+    """Failed attempts by sink."""
+    return metrics.failure_counters(read_table(spark, paths.failures, FAILURES))
+
+
 REPORTS: dict[str, Callable[[SparkSession, SinkPaths], DataFrame]] = {
     "health": lambda spark, paths: reports.health_count(_transactions(spark, paths)),
     "transactions": lambda spark, paths: reports.recent_transactions(_transactions(spark, paths)),
@@ -82,6 +87,7 @@ REPORTS: dict[str, Callable[[SparkSession, SinkPaths], DataFrame]] = {
     "sent": lambda spark, paths: metrics.running_counters(_sent(spark, paths), metrics.SENT),
     "batch-counts": lambda spark, paths: metrics.batch_count_series(_metrics(spark, paths)),
     "latency": inference_latency,
+    "failures": failures,
     "scores": lambda spark, paths: histograms.histogram_rows(_scores(spark, paths), buckets.SCORE),
     "score-ranges": lambda spark, paths: histograms.bucket_differences(_scores(spark, paths), buckets.SCORE),
     "batch-sizes": lambda spark, paths: histograms.bucket_histogram(

@@ -117,6 +117,13 @@ REJECTS = _struct(
     value=StringType(),
 )
 
+FAILURES = _struct(
+    processed_at=TimestampType(),
+    failed_batch=LongType(),
+    sink=StringType(),
+    error=StringType(),
+)
+
 BATCH_ID = "batch_id"
 
 

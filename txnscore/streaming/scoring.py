@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -21,7 +22,7 @@ from txnscore.functions.buckets import bucket_counts, cumulative_counts
 from txnscore.operators.deciding import ACTUAL, FLAG, SCORE, alerts, decide, transaction_records
 from txnscore.operators.parsing import ISSUE, is_storable, parse_records, rejected, storable
 from txnscore.operators.training import score
-from txnscore.schemas import BATCH_METRICS, BATCH_SERIES
+from txnscore.schemas import BATCH_METRICS, BATCH_SERIES, FAILURES
 from txnscore.sinks.store import Piece, Store
 from txnscore.sinks.tables import alert_table, batch_row, schemas, stage_absent, store_of, stored_batch_id
 from txnscore.sinks.topics import alert_sender
@@ -87,6 +88,38 @@ def batch_facts(scored: DataFrame) -> BatchFacts:
     return BatchFacts(**row.asDict())
 
 
+#: Sinks may fail side by side; their failures are stored one after the other.
+_ONE_FAILURE = threading.Lock()
+
+
+def store_failure(spark: SparkSession, paths: SinkPaths, sink: str, batch_id: int, error: Exception) -> None:
+    """One row per failed attempt at a sink, so repeated attempts at a batch count."""
+    name = paths.failures.rsplit("/", 1)[1]
+    row = batch_row(spark, FAILURES, failed_batch=batch_id, sink=sink, error=str(error)[:500])
+    with _ONE_FAILURE:
+        store, number = store_of(spark, paths.failures), time.time_ns()
+        store.commit(number, [store.stage(name, row, number, 1)])
+        store.compact({name: (FAILURES, None)})
+
+
+def _watched(
+    spark: SparkSession, paths: SinkPaths, sink: str, batch_id: int, write: Callable[[], Piece | None]
+) -> Callable[[], Piece | None]:
+    """The write, which stores its failure before it fails; if even that cannot be stored, the first error is raised."""
+
+    def attempt() -> Piece | None:
+        try:
+            return write()
+        except Exception as error:
+            try:
+                store_failure(spark, paths, sink, batch_id, error)
+            except Exception as hidden:
+                error.add_note(f"the failure could not be stored: {hidden}")
+            raise
+
+    return attempt
+
+
 def _side_by_side(spark: SparkSession, *writes: Callable[[], Piece | None]) -> list[Piece]:
     """Runs independent writes at the same time, so that small jobs do not wait for one another.
 
@@ -114,32 +147,34 @@ def process_batch(
     spark = scored.sparkSession
     store = store or store_of(spark, paths.transactions)
     name = lambda path: path.rsplit("/", 1)[1]
+    watched = lambda sink, write: _watched(spark, paths, sink, batch_id, write)
     scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         facts = batch_facts(scored)
         inference_seconds = time.monotonic() - started
         writes: list[Callable[[], Piece | None]] = []
         if facts.rejected:
-            writes.append(lambda: store.stage(name(paths.rejects), rejected(scored), batch_id, facts.rejected))
+            stage_rejects = lambda: store.stage(name(paths.rejects), rejected(scored), batch_id, facts.rejected)
+            writes.append(watched("rejects", stage_rejects))
         if facts.size:
             sound = storable(scored)
             now = F.lit(datetime.now(UTC))
             stored = transaction_records(sound, now, processing_ms=F.lit(inference_seconds * 1000), keep=ORDER)
             if facts.flagged:
                 raised = alerts(sound, now)
-                writes.append(lambda: store.stage(name(paths.alerts), alert_table(raised), batch_id, facts.flagged))
-                writes += [lambda send=send: send(raised, batch_id) for send in alert_senders]
-            writes.append(
-                lambda: stage_absent(
-                    store,
-                    stored,
-                    paths.transactions,
-                    batch_id,
-                    order=ORDER,
-                    key_range=(facts.first_id, facts.last_id),
-                    rows=facts.size,
-                )
+                stage_alerts = lambda: store.stage(name(paths.alerts), alert_table(raised), batch_id, facts.flagged)
+                writes.append(watched("alerts", stage_alerts))
+                writes += [watched("alert_topic", lambda send=send: send(raised, batch_id)) for send in alert_senders]
+            stage_transactions = lambda: stage_absent(
+                store,
+                stored,
+                paths.transactions,
+                batch_id,
+                order=ORDER,
+                key_range=(facts.first_id, facts.last_id),
+                rows=facts.size,
             )
+            writes.append(watched("transactions", stage_transactions))
         pieces = _side_by_side(spark, *writes)
         if facts.size:
             elapsed = time.monotonic() - started
@@ -151,7 +186,7 @@ def process_batch(
                 ),
             )
         if pieces:
-            store.commit(batch_id, pieces)
+            watched("commit", lambda: store.commit(batch_id, pieces))()
             store.compact(schemas(paths))
     finally:
         scored.unpersist()
