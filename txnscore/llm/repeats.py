@@ -42,7 +42,7 @@ CHUNK = 1 << 18
 GROUP_BYTES = 16 << 20
 #: Contexts of one anchor that are sorted together, into how many more parts the windows of a crowded one are dealt,
 #: and bytes of a suffix array.
-MOST_CONTEXTS = 1000
+MOST_CONTEXTS = 4000
 FINER = 16
 UNIT_BYTES = 1 << 19
 #: A place is start << 7 | windows; this many windows mark a run of repeats.
