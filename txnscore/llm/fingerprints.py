@@ -20,7 +20,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnscore.llm.common import whole_text
+from txnscore.llm.common import addressed, numbered, whole_text
 from txnscore.llm.components import components
 from txnscore.workspace import written
 
@@ -120,7 +120,7 @@ def next_ids(ids: DataFrame) -> DataFrame:
 
 
 def with_edited_text(docs: DataFrame) -> DataFrame:
-    """Rows (``id``, ``text``) with ``next_id`` and ``edited``.
+    """Rows (``id``, ``text`` and others) with ``edited``.
 
     ``edited`` is the text with its last half replaced by as many first code points of the next document.
     """
@@ -139,7 +139,7 @@ def with_edited_text(docs: DataFrame) -> DataFrame:
         F.substring(F.coalesce("lent", F.lit("")), F.lit(1), half),
     )
     lent_rows = known.join(lent, "id", "left").unionByName(outside.withColumn("lent", F.lit(None).cast("string")))
-    return lent_rows.select("id", "text", edited.alias("edited"))
+    return lent_rows.select(*docs.columns, edited.alias("edited"))
 
 
 def block_tables(members: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -201,10 +201,11 @@ def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document, see the module's first lines."""
-    texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    both = with_edited_text(texts).select(
+    # A row is told by its place in the files, which stays the same when a lost task runs again.
+    texts = numbered(addressed(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))))
+    both = with_edited_text(texts.select("id", "text", F.col("_number").alias("row"))).select(
         "id",
-        F.monotonically_increasing_id().alias("row"),
+        "row",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.array(F.col("text"), F.col("edited")).alias("sides"),
