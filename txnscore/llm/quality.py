@@ -192,8 +192,10 @@ def train_quality_model(
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(sample)
     )
-    # At most ``sample`` rows of two numbers, so this side has a fixed bound.
+    # At most ``sample`` rows of two numbers, so this side has a fixed bound. Of rows with one id, the greatest is taken.
     rows = measured.join(F.broadcast(known), F.col(id_col) == F.col("_id"))
+    numbers = F.max(F.struct(*[f"s_{name}" for name in STATISTICS])).alias("numbers")
+    rows = rows.groupBy("_id", "_label").agg(numbers).select("_id", "_label", "numbers.*")
     rows = written(
         rows.withColumn("_fit", F.pmod(F.xxhash64("_id", F.lit("half")), F.lit(2)) == 0)
         .drop("_id")
