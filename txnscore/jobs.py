@@ -7,7 +7,7 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txnscore.config import BATCH_INTERVAL_SECONDS, FRAUD_THRESHOLD, KafkaSettings, ScoringConfig, SinkPaths
@@ -19,13 +19,17 @@ from txnscore.session import build_session
 from txnscore.sinks.tables import batch_row, write_batch
 from txnscore.sinks.topics import alert_sender, send_records
 from txnscore.sources.dataset import read_dataset
+from txnscore.sources.log import append_to_log, bounds, log_stream
 from txnscore.sources.models import load_model, save_metadata, save_model
 from txnscore.sources.records import FILES_PER_TRIGGER, kafka_stream, record_stream
-from txnscore.streaming.scoring import model_scorer, run_until_stopped, start_scoring
+from txnscore.streaming.scoring import model_scorer, run_until_stopped, start_scoring, work_off
 from txnscore.workspace import written
 
 log = logging.getLogger(__name__)
 
+# Partitions of a record log that the producer writes.
+LOG_PARTITIONS = 3
+
 # How many merchants and card numbers dataset rows are given.
 MERCHANTS = 1000
 CARDS_FROM, CARDS = 1000, 9000
@@ -96,16 +100,27 @@ def send_and_count(spark: SparkSession, keyed: DataFrame, send: Callable[[DataFr
         write_batch(row, paths.sent, int(time.time() * 1000), 1)
 
 
-def write_records(keyed: DataFrame, folder: str, topic: str = KafkaSettings.input_topic) -> None:
-    """Records as Parquet files of Kafka shape, to be read by a file stream."""
-    keyed.select(
+def _as_records(keyed: DataFrame, topic: str, partition: Column, offset: Column) -> DataFrame:
+    return keyed.select(
         "key",
         "value",
         F.lit(topic).alias("topic"),
-        F.spark_partition_id().alias("partition"),
-        F.col("number").alias("offset"),
+        partition.alias("partition"),
+        offset.alias("offset"),
         F.col("now").alias("timestamp"),
-    ).write.mode("append").parquet(folder)
+    )
+
+
+def write_records(keyed: DataFrame, folder: str, topic: str = KafkaSettings.input_topic) -> None:
+    """Records as Parquet files of Kafka shape, to be read by a file stream."""
+    _as_records(keyed, topic, F.spark_partition_id(), F.col("number")).write.mode("append").parquet(folder)
+
+
+def extend_log(keyed: DataFrame, folder: str, topic: str = KafkaSettings.input_topic) -> None:
+    """Records added to a record log, by number in turn to its partitions, behind all that it holds."""
+    behind = max((end for _, end in bounds(folder).values()), default=0)
+    partition = (F.col("number") % LOG_PARTITIONS).cast("int")
+    append_to_log(_as_records(keyed, topic, partition, behind + F.floor(F.col("number") / LOG_PARTITIONS)), folder)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -150,6 +165,7 @@ def _add_intake(command: argparse.ArgumentParser) -> None:
     intake = command.add_mutually_exclusive_group(required=True)
     intake.add_argument("--servers", help="Kafka bootstrap servers")
     intake.add_argument("--records", help="folder of record files instead of a topic")
+    intake.add_argument("--log", help="folder of a record log instead of a topic")
 
 
 def run(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -175,6 +191,8 @@ def _produce(spark: SparkSession, options: argparse.Namespace) -> None:
     def send(keyed: DataFrame) -> None:
         if options.servers:
             send_records(keyed.select("key", "value"), KafkaSettings(options.servers, options.topic))
+        elif options.log:
+            extend_log(keyed, options.log, options.topic)
         else:
             write_records(keyed, options.records, options.topic)
 
@@ -187,12 +205,16 @@ def _score(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.servers:
         settings = scoring_settings(options)
         records, senders = kafka_stream(spark, settings), (alert_sender(settings),)
+    elif options.log:
+        lossless = not options.ignore_data_loss
+        records, senders = log_stream(spark, options.log, options.offsets, options.intake, lossless), ()
     else:
         records, senders = record_stream(spark, options.records, options.intake_files), ()
     paths = SinkPaths.under(options.tables)
-    run_until_stopped(
-        start_scoring(records, scorer, paths, options.checkpoint, config, senders, available_now=options.once)
-    )
+    # A log limits its batches itself, which a run for what is there would not repeat.
+    at_once = options.once and not options.log
+    query = start_scoring(records, scorer, paths, options.checkpoint, config, senders, available_now=at_once)
+    work_off(query) if options.once and options.log else run_until_stopped(query)
 
 
 def scoring_settings(options: argparse.Namespace) -> KafkaSettings:

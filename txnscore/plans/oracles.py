@@ -378,6 +378,16 @@ SELECT count(*) AS processed, count(*) FILTER (is_fraud_predicted) AS detected F
 SELECT issue, count(*) AS n_rows FROM sent WHERE issue <> 'null_label' GROUP BY issue""",
     "stream_windowed_rate": _sliding("events", 3600, 900, "count(*) / 3600::DOUBLE AS rate"),
     "stream_new_checkpoint": _FIRST_SENT,
+    "stream_intake_limit": """WITH sizes AS (SELECT count(*) AS n, greatest(1, 3 * count(*) // 10) AS most FROM events)
+SELECT batch_id, least(most, n - batch_id * most) AS batch_size
+FROM sizes, unnest(range((n + most - 1) // most)) AS batches (batch_id)""",
+    "stream_latest_start": f"""WITH {_SENT}
+SELECT transaction_id, "Amount" AS amount, {_SHOWN_SCORE}, is_fraud_predicted, is_fraud_ground_truth, country
+FROM sound WHERE round = 1""",
+    "stream_lost_range": f"""WITH {_DECIDED},
+third AS (SELECT max("offset") // 3 AS n FROM decided)
+SELECT transaction_id, "Amount" AS amount, {_SHOWN_SCORE}, true AS failed_first
+FROM decided, third WHERE "offset" < n OR "offset" >= 2 * n""",
     "stream_rate_over_checkpoints": _sliding("events", 3600, 900, "count(*) / 3600::DOUBLE AS rate"),
     "train_eval": f"""WITH {_BY_VECTOR}
 SELECT count(*) FILTER (y = 0) AS n_legitimate, count(*) FILTER (y = 1) AS n_fraud, true AS auc_reached,

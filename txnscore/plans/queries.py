@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnscore.config import SinkPaths
+from txnscore.config import ScoringConfig, SinkPaths
 from txnscore.functions import buckets
 from txnscore.functions.decisions import severity
 from txnscore.functions.messages import transaction_id
@@ -29,10 +30,11 @@ from txnscore.plans import fixtures
 from txnscore.schemas import ALERTS, BATCH_METRICS, BATCH_SERIES, COMPONENTS, MESSAGE, REJECTS, TRANSACTIONS
 from txnscore.sinks.tables import insert_if_absent, read_table
 from txnscore.sources.dataset import read_dataset
+from txnscore.sources.log import EARLIEST, LATEST, append_to_log, log_stream, retire
 from txnscore.sources.models import load_model, save_model
 from txnscore.sources.records import record_stream
 from txnscore.streaming.rates import start_bucket_totals, start_pane_totals, streamed_quantiles, streamed_rate
-from txnscore.streaming.scoring import start_scoring
+from txnscore.streaming.scoring import start_scoring, work_off
 from txnscore.workspace import new_folder
 
 AMOUNT_BOUNDS = [1.0, 5.0, 10.0, 50.0, 100.0, 500.0]
@@ -368,6 +370,56 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("issue").agg(F.count("*").alias("n_rows"))
 
 
+def _score_log(spark: SparkSession, folder: str, **options) -> SinkPaths:
+    """The scoring job over the record log of a folder, on its one checkpoint, until nothing is left to read."""
+    paths = SinkPaths.under(f"{folder}/tables")
+    records = log_stream(spark, f"{folder}/log", **options)
+    job = start_scoring(
+        records, fixtures.with_logistic_score, paths, f"{folder}/checkpoint", ScoringConfig(batch_interval_seconds=0)
+    )
+    work_off(job)
+    return paths
+
+
+def stream_intake_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each batch where three tenths of all records are the most that one may take."""
+    folder = new_folder(spark, "log")
+    append_to_log(fixtures.records(spark, sf_dir), f"{folder}/log")
+    limit = max(1, 3 * fixtures.read(spark, sf_dir, "events").count() // 10)
+    paths = _score_log(spark, folder, starting_offsets=EARLIEST, max_offsets_per_trigger=limit)
+    return read_table(spark, paths.batch_metrics, BATCH_METRICS).select("batch_id", "batch_size")
+
+
+def stream_latest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that starts behind all records: an empty batch, an orderly stop, then only what was sent after its start."""
+    folder = new_folder(spark, "log")
+    for resent in (False, True):
+        append_to_log(fixtures.records(spark, sf_dir, defects=True, resent=resent), f"{folder}/log")
+        paths = _score_log(spark, folder, starting_offsets=LATEST, max_offsets_per_trigger=1_000_000)
+    stored = read_table(spark, paths.transactions, TRANSACTIONS)
+    return _shown(stored, "transaction_id", "amount", SCORE, FLAG, ACTUAL, "country")
+
+
+def stream_lost_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The middle third of each partition is removed unread: the job fails, and told to bear losses goes on behind it."""
+    folder, records = new_folder(spark, "log"), fixtures.records(spark, sf_dir)
+    events = fixtures.arrivals(spark, sf_dir)
+    third = events.agg((F.max("offset") / 3).cast("long")).first()[0]
+    tolerant, strict = {"max_offsets_per_trigger": 1_000_000_000, "starting_offsets": EARLIEST}, []
+    append_to_log(records.where(F.col("offset") < third), f"{folder}/log")
+    paths = _score_log(spark, folder, **tolerant)
+    append_to_log(records.where(F.col("offset").between(third, 2 * third - 1)), f"{folder}/log")
+    append_to_log(records.where(F.col("offset") >= 2 * third), f"{folder}/log")
+    retire(f"{folder}/log", dict.fromkeys(range(fixtures.PARTITIONS), 2 * third))
+    try:
+        _score_log(spark, folder, **tolerant)
+    except StreamingQueryException as error:
+        strict.append("LostRecordsError" in str(error))
+    paths = _score_log(spark, folder, **tolerant, fail_on_data_loss=False)
+    stored = read_table(spark, paths.transactions, TRANSACTIONS)
+    return _shown(stored, "transaction_id", "amount", SCORE).withColumn("failed_first", F.lit(strict == [True]))
+
+
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream. A pattern, since a stream takes the name of a folder only; it stands for one file, too."""
     return spark.readStream.schema(fixtures.read(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet")
@@ -542,6 +594,9 @@ QUERIES: dict[str, Query] = {
     "stream_totals": stream_totals,
     "stream_score_histogram": stream_score_histogram,
     "stream_rejects": stream_rejects,
+    "stream_intake_limit": stream_intake_limit,
+    "stream_latest_start": stream_latest_start,
+    "stream_lost_range": stream_lost_range,
     "stream_windowed_rate": stream_windowed_rate,
     "stream_rate_over_checkpoints": stream_rate_over_checkpoints,
     "stream_inference_latency": stream_inference_latency,

@@ -256,6 +256,17 @@ def run_until_stopped(query: StreamingQuery) -> None:
         query.stop()
 
 
+def work_off(query: StreamingQuery) -> None:
+    """Lets the query take batch after batch until nothing is left to read, and stops it in order.
+
+    For sources with an intake limit of their own, of which a run for what is there would take one batch only.
+    """
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def score_topic(
     spark: SparkSession,
     model: PipelineModel,
