@@ -1,6 +1,7 @@
 """Exact dedup, mixing, fingerprints and license scan."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -219,3 +220,43 @@ def licenses_lower(text):
 def test_license_scan_of_odd_rows(odd_docs, no_docs):
     assert licenses.license_scan(odd_docs).count() == 12
     assert licenses.license_scan(no_docs).count() == 0
+
+
+def test_crowded_buckets_lose_no_link(spark):
+    """Fingerprints that share most bits crowd the buckets; cut or not, exactly the near ones are tied."""
+    draw = random.Random(5)
+    base = draw.getrandbits(128)
+    values = {base ^ sum(1 << bit for bit in draw.sample(range(70), draw.choice((0, 2, 5, 9)))) for _ in range(300)}
+    values = sorted(values)
+    signed = lambda half: half - (1 << 64) if half >> 63 else half
+    rows = [(n, signed(value >> 64), signed(value & (1 << 64) - 1)) for n, value in enumerate(values)]
+    members = spark.createDataFrame(rows, "member long, hi long, lo long")
+    near = {
+        (a, b) for a in range(len(values)) for b in range(a) if (values[a] ^ values[b]).bit_count() <= fingerprints.RADIUS
+    }
+
+    def classes(links):
+        parent = list(range(len(values)))
+
+        def root(n):
+            while parent[n] != n:
+                n = parent[n]
+            return n
+
+        for a, b in links:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+        return [root(n) for n in range(len(values))]
+
+    assert 1 < len(set(classes(near))) < len(values)
+    for crowd in (1, 8, 1000):
+        links = {tuple(row) for row in fingerprints.near_links(members, crowd=crowd).collect()}
+        assert all((max(pair), min(pair)) in near for pair in links) and classes(links) == classes(near)
+
+
+@pytest.mark.parametrize("ids", [[7], [1, 2, 3], [5, -9, 10**18, 0, -(10**18)], [k * 10**12 for k in range(500)]])
+def test_next_ids_go_round(spark, ids):
+    frame = spark.createDataFrame([(one,) for one in [*ids, ids[0]]], "id long")
+    order = sorted(ids)
+    found = {row["id"]: row["next_id"] for row in fingerprints.next_ids(frame).collect()}
+    assert found == {one: order[place - 1] for place, one in enumerate(order)}

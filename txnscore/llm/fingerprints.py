@@ -4,8 +4,8 @@ Every occurrence of a shingle votes with its hash on each bit, so a shingle weig
 text. The votes of two bits are summed in one long, so that a document is one row of 64 sums, combined in each task
 before the shuffle. All fingerprints within the Hamming radius are found by permuted block tables: the bits are cut
 into ``radius + 2`` blocks, of which two at least stay the same, so there is one table per pair of blocks. In each
-bucket the members are compared with the smallest one, and those that are farther from it with all members; copies
-of one fingerprint are one member.
+bucket the members are compared with the smallest one, and those that are farther from it with all members; a crowded
+bucket is cut by tables over other blocks before that. Copies of one fingerprint are one member.
 
 Defined results: a null text is empty; a text without words has fingerprint zero, one with fewer than five words is
 one shingle. Rows with the same id each get a result; as a next document such rows count as the greatest text and
@@ -15,12 +15,13 @@ the greatest likeness among them. A row with a null id stands outside the order,
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnscore.llm.common import whole_text
+from txnscore.llm.common import addressed, whole_text
 from txnscore.llm.components import components
 from txnscore.workspace import written
 
@@ -28,6 +29,8 @@ WORDS = 5
 GAP = r"[\x20\x09-\x0D]+"
 BITS = 128
 RADIUS = 3
+#: A bucket with more members is cut anew, so often at most.
+CROWD, LEVELS = 1000, 3
 #: Sums per half: the votes on bit i and bit i + 32 share a long.
 LANES = 32
 PAIR = (1 << 32) | 1
@@ -101,79 +104,82 @@ def as_text(hi: str, lo: str) -> Column:
 def next_ids(ids: DataFrame) -> DataFrame:
     """(``id``, ``next_id``): the next smaller id, after the smallest the largest.
 
-    Ids are ordered inside blocks of 4096 numbers, blocks inside groups of 4096 blocks, and one window sees a row
-    per group.
+    Ids are dealt out by ranges and ordered inside these; a range's smallest id follows on the largest of the range before,
+    for which one window sees a row per range.
     """
-    placed = ids.distinct().select("id", F.shiftright("id", 12).alias("b"), F.shiftright("id", 24).alias("s"))
-    in_block = placed.withColumn("near", F.lag("id").over(Window.partitionBy("b").orderBy("id")))
-    tops = placed.groupBy("s", "b").agg(F.max("id").alias("top"))
-    blocks = tops.withColumn("near_block", F.lag("top").over(Window.partitionBy("s").orderBy("b")))
-    groups = tops.groupBy("s").agg(F.max("top").alias("top"))
-    everything = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    groups = groups.select(
-        "s", F.lag("top").over(Window.orderBy("s")).alias("near_group"), F.max("top").over(everything).alias("last")
-    )
-    edges = blocks.join(groups, "s").select("b", "near_block", "near_group", "last")
-    return in_block.join(edges, "b").select(
-        "id", F.coalesce("near", "near_block", "near_group", "last").alias("next_id")
+    dealt = ids.distinct().repartitionByRange("id").select("id", F.spark_partition_id().alias("part"))
+    dealt = written(dealt, "ranges")
+    tops = dealt.groupBy("part").agg(F.max("id").alias("top"))
+    everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    edges = tops.select(
+        "part", F.lag("top").over(Window.orderBy("part")).alias("before"), F.max("top").over(everything).alias("last")
     )
+    near = dealt.withColumn("near", F.lag("id").over(Window.partitionBy("part").orderBy("id")))
+    return near.join(edges, "part").select("id", F.coalesce("near", "before", "last").alias("next_id"))
+
 
+def followers(texts: DataFrame) -> DataFrame:
+    """Per id that is not null, its ``next_id`` and the most code points that one of its rows ``need`` of that text."""
+    known = texts.where("id is not null")
+    needs = written(known.groupBy("id").agg(F.max(F.floor(F.length("text") / 2)).alias("need")), "needs")
+    return written(next_ids(needs.select("id")).join(needs, "id"), "next")
 
-def with_edited_text(docs: DataFrame) -> DataFrame:
-    """Rows (``id``, ``text``) with ``next_id`` and ``edited``.
+
+def with_edited_text(texts: DataFrame, follow: DataFrame) -> DataFrame:
+    """Rows (``id``, ``text``, ``file``, ``row``) with ``edited``.
 
     ``edited`` is the text with its last half replaced by as many first code points of the next document.
     """
-    # Both joins below read the texts by the same plan, so Spark shuffles them once.
-    known, outside = docs.where("id is not null"), docs.where("id is null")
-    needs = known.groupBy("id").agg(F.max(F.floor(F.length("text") / 2)).alias("need"))
-    needs = written(needs, "needs")
-    follow = written(next_ids(needs.select("id")).join(needs, "id"), "next")
+    # Both joins below read the same columns of the texts by the same plan, so Spark shuffles them once; that is why the
+    # place of a row goes through the first one, too.
+    known, outside = texts.where("id is not null"), texts.where("id is null")
     lent = known.join(follow.select(F.col("id").alias("for_id"), F.col("next_id").alias("id"), "need"), "id").select(
-        F.col("for_id").alias("id"), F.substring("text", F.lit(1), F.col("need").cast("int")).alias("lent")
+        F.col("for_id").alias("id"),
+        F.struct(F.substring("text", F.lit(1), F.col("need").cast("int")).alias("lent"), "file", "row").alias("best"),
     )
-    lent = lent.groupBy("id").agg(F.max("lent").alias("lent"))
+    lent = lent.groupBy("id").agg(F.max("best").alias("best")).select("id", F.col("best.lent").alias("lent"))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.length("text") - half),
         F.substring(F.coalesce("lent", F.lit("")), F.lit(1), half),
     )
     lent_rows = known.join(lent, "id", "left").unionByName(outside.withColumn("lent", F.lit(None).cast("string")))
-    return lent_rows.select("id", "text", edited.alias("edited"))
+    return lent_rows.select("id", "text", "file", "row", edited.alias("edited"))
+
 
+def _blocks(level: int, count: int) -> list[tuple[int, int]]:
+    """The bits cut into ``count`` blocks, as masks of the two halves; each level deals the bits out in another way.
+
+    On level 0 blocks are stretches, on level 1 every ``count``-th bit, on level 2 every ``count``-th run of ``count`` bits.
+    """
+    masks = [[0, 0] for _ in range(count)]
+    for bit in range(BITS):
+        block = bit // count ** (level - 1) % count if level else bit * count // BITS
+        masks[block][bit < 64] |= 1 << bit % 64
+    signed = lambda mask: mask - (1 << 64) if mask >> 63 else mask
+    return [(signed(hi), signed(lo)) for hi, lo in masks]
 
-def block_tables(members: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Rows (``member``, ``hi``, ``lo``) in each of their buckets, as ``bucket``.
+
+def block_tables(members: DataFrame, level: int = 0, radius: int = RADIUS) -> DataFrame:
+    """Rows (``member``, ``hi``, ``lo``) with a ``bucket`` in each of the finer buckets of theirs.
 
     Of ``radius + 2`` blocks, two are untouched by ``radius`` changed bits, so near members share a bucket.
     """
     count = radius + 2
-    cuts = [BITS * k // count for k in range(count + 1)]
-    values = []
-    for start, end in zip(cuts, cuts[1:], strict=False):
-        parts = []
-        for half, base in (("lo", 0), ("hi", 64)):
-            low, high = max(start, base) - base, min(end, base + 64) - base
-            if low < high:
-                mask = F.lit((1 << (high - low)) - 1 if high - low < 64 else -1)
-                parts.append(F.shiftrightunsigned(half, low).bitwiseAND(mask))
-        values.append(parts)
+    values = [
+        [F.col(half).bitwiseAND(F.lit(mask)) for half, mask in zip(("hi", "lo"), masks, strict=True)]
+        for masks in _blocks(level, count)
+    ]
     tables = [
-        F.xxhash64(F.lit(number), *values[left], *values[right])
+        F.xxhash64("bucket", F.lit(number), *values[left], *values[right])
         for number, (left, right) in enumerate(combinations(range(count), 2))
     ]
     return members.select("member", "hi", "lo", F.explode(F.array(*tables)).alias("bucket"))
 
 
-def near_links(members: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links (``a``, ``b``) that tie together all members within the radius of each other.
-
-    Members of a bucket that are near its smallest member are tied to it; only the others are compared with all.
-    """
-    tables = block_tables(members, radius)
-    shared = tables.groupBy("bucket").agg(F.min("member").alias("first"), F.count("*").alias("n")).where("n > 1")
-    tables = written(tables.join(shared.select("bucket", "first"), "bucket"), "buckets")
-    firsts = tables.where("member = first").select("bucket", "hi", "lo")
+def _links_in_buckets(tables: DataFrame, radius: int) -> DataFrame:
+    """Links of members of a bucket: to its smallest where that is near, and of the others to all."""
+    firsts = tables.where("member = first").select("bucket", "hi", "lo").distinct()
     apart = distance("m", "f")
     measured = tables.alias("m").join(firsts.alias("f"), F.col("m.bucket") == F.col("f.bucket")).select(
         "m.bucket", "m.member", "m.hi", "m.lo", "m.first", (apart <= radius).alias("near")
@@ -186,7 +192,26 @@ def near_links(members: DataFrame, radius: int = RADIUS) -> DataFrame:
         (F.col("m.bucket") == F.col("f.bucket")) & (F.col("m.member") != F.col("f.member")),
     )
     to_others = pairs.where(apart <= radius).select(F.col("m.member").alias("a"), F.col("f.member").alias("b"))
-    return to_first.unionByName(to_others).distinct()
+    return to_first.unionByName(to_others)
+
+
+def near_links(members: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """Links (``a``, ``b``) that tie together all members within the radius of each other.
+
+    A bucket of more than ``crowd`` members is cut by tables of its own over other blocks, up to ``LEVELS`` times, in
+    which near members share a bucket again; nothing is left out.
+    """
+    rows, links = members.withColumn("bucket", F.lit(0).cast("long")), []
+    for level in range(LEVELS):
+        tables = block_tables(rows, level, radius)
+        shared = tables.groupBy("bucket").agg(F.min("member").alias("first"), F.count("*").alias("n")).where("n > 1")
+        tables = written(tables.join(shared, "bucket"), "buckets")
+        last = level == LEVELS - 1
+        links.append(_links_in_buckets(tables if last else tables.where(F.col("n") <= crowd), radius))
+        rows = tables.where(F.col("n") > crowd).select("member", "hi", "lo", "bucket")
+        if last or rows.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, links).distinct()
 
 
 def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -201,29 +226,32 @@ def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document, see the module's first lines."""
-    texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    both = with_edited_text(texts).select(
+    # A row is told by its place in the files, which stays the same when a lost task runs again.
+    placed = addressed(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")))
+    texts = placed.select("id", "text", F.xxhash64("_file").alias("file"), F.col("_row").alias("row"))
+    follow = followers(texts)
+    both = with_edited_text(texts, follow).select(
         "id",
-        F.monotonically_increasing_id().alias("row"),
+        "file",
+        "row",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.array(F.col("text"), F.col("edited")).alias("sides"),
     )
-    sides = both.select("id", "row", "n_chars", "edited_sha256", F.posexplode("sides").alias("side", "body"))
+    sides = both.select("id", "file", "row", "n_chars", "edited_sha256", F.posexplode("sides").alias("side", "body"))
     sides = sides.withColumn("_hashes", shingle_hashes(F.col("body")))
-    prints = written(fingerprints(sides, "id", "row", "n_chars", "edited_sha256", "side"), "prints")
+    prints = written(fingerprints(sides, "id", "file", "row", "n_chars", "edited_sha256", "side"), "prints")
     own, edited = prints.where("side = 0").drop("side"), prints.where("side = 1")
     rows = own.join(
-        edited.select("row", F.col("hi").alias("edited_hi"), F.col("lo").alias("edited_lo")), "row"
+        edited.select("file", "row", F.col("hi").alias("edited_hi"), F.col("lo").alias("edited_lo")), ["file", "row"]
     )
-    follow = next_ids(own.where("id is not null").select("id"))
     after = own.select(F.col("id").alias("next_id"), F.col("hi").alias("next_hi"), F.col("lo").alias("next_lo"))
-    likeness = rows.join(follow, "id").join(after, "next_id").groupBy("row").agg(
+    likeness = rows.join(follow, "id").join(after, "next_id").groupBy("file", "row").agg(
         F.max(_likeness("hi", "lo", "next_hi", "next_lo")).alias("near_next")
     )
     classes = near_classes(own)
     return (
-        rows.join(likeness, "row", "left")
+        rows.join(likeness, ["file", "row"], "left")
         .join(classes, ["hi", "lo"])
         .select(
             F.col("id").alias("doc_id"),
