@@ -13,6 +13,7 @@ from txnscore.jobs import LOG_PARTITIONS, extend_log
 from txnscore.sources.log import (
     EARLIEST,
     LATEST,
+    LogRange,
     RecordLogReader,
     Segment,
     advanced,
@@ -95,6 +96,20 @@ def test_batches_are_limited_and_go_on_after_a_restart(spark):
     assert sum(again, []) == [(0, 10**12), (2, 7)]
 
 
+def test_a_task_reads_a_segment_in_small_batches(spark):
+    """A task must not hold more of a long segment than of a short one."""
+    path = f"{new_folder(spark, 'log')}/log"
+    numbered = spark.range(10_000).selectExpr(
+        "CAST(CAST(id AS STRING) AS BINARY) AS key", "CAST(repeat(CAST(id AS STRING), 200) AS BINARY) AS value",
+        "'raw_transactions' AS topic", "0 AS partition", "id AS offset", "timestamp'2024-01-01' AS timestamp",
+    )
+    append_to_log(numbered.coalesce(1), path)
+    [segment] = glob.glob(f"{path}/*/*/*.parquet")
+    batches = list(RecordLogReader({"path": path}).read(LogRange(segment, 7, 9_990)))
+    assert [offset for batch in batches for offset in batch.column("offset").to_pylist()] == list(range(7, 9_990))
+    assert max(batch.nbytes for batch in batches) < 4 << 20
+
+
 def test_latest_start_reads_what_comes_later(spark):
     root = new_folder(spark, "log")
     add(spark, f"{root}/log", (0, 0), (0, 1))

@@ -33,6 +33,8 @@ from txnscore.config import MAX_OFFSETS_PER_TRIGGER
 from txnscore.schemas import KAFKA_RECORD
 
 RECORDS_PER_SEGMENT = 1_000_000
+# A task that reads a segment holds some batches of this many records and a buffer of this many bytes per column.
+_BATCH_RECORDS, _BUFFER_BYTES = 2_048, 1 << 20
 EARLIEST, LATEST = "earliest", "latest"
 
 _ARROW = pa.schema(
@@ -240,8 +242,10 @@ class RecordLogReader(DataSourceStreamReader):
     def read(self, partition: LogRange) -> Iterator[pa.RecordBatch]:
         files, path = _opened(partition.path)
         with files.open_input_file(path) as opened:
-            segment = pq.ParquetFile(opened, coerce_int96_timestamp_unit="us")
-            for batch in segment.iter_batches(columns=_ARROW.names):
+            segment = pq.ParquetFile(
+                opened, coerce_int96_timestamp_unit="us", pre_buffer=False, buffer_size=_BUFFER_BYTES
+            )
+            for batch in segment.iter_batches(_BATCH_RECORDS, columns=_ARROW.names, use_threads=False):
                 offset = batch.column("offset")
                 wanted = pc.and_(pc.greater_equal(offset, partition.first), pc.less(offset, partition.end))
                 yield from _shaped(batch.filter(wanted)).to_batches()
