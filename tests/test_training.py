@@ -39,6 +39,27 @@ def test_default_parameters():
     assert training.TrainingParams() == training.TrainingParams(trees=100, depth=6, learning_rate=0.1, seed=42)
 
 
+@pytest.mark.parametrize("rows, cores, tasks", [(0, 12, 1), (800, 12, 1), (60_000, 12, 3), (480_000, 12, 12), (4_800_000, 12, 12), (28_800_000, 12, 36)])
+def test_large_tables_train_in_whole_rounds_of_all_cores(rows, cores, tasks):
+    assert training.training_tasks(rows, cores) == tasks
+
+
+def test_passes_of_the_trees_have_even_tasks(spark, dataset, monkeypatch):
+    """Rows in one task of many are dealt out, and few rows do not take a task per partition they come in."""
+    seen, fit = [], training.Pipeline.fit
+
+    def watched(pipeline, rows):
+        seen.append(rows.rdd.mapPartitions(lambda some: [sum(1 for _ in some)]).collect())
+        return fit(pipeline, rows)
+
+    monkeypatch.setattr(training.Pipeline, "fit", watched)
+    training.train(dataset.repartition(40), params=training.TrainingParams(trees=1, depth=1))
+    monkeypatch.setattr(training, "_LEAST_ROWS", 300)
+    training.train(dataset.coalesce(1), params=training.TrainingParams(trees=1, depth=1))
+    cores = spark.sparkContext.defaultParallelism
+    assert seen[0] == [3_000] and len(seen[1]) == min(10, cores) and max(seen[1]) - min(seen[1]) <= 1
+
+
 def test_model_tells_the_classes_apart(dataset):
     split = preparation.stratified_split(dataset)
     fitted = training.train(split.where("split = 'train'"), params=PARAMS)

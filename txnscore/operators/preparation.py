@@ -45,6 +45,11 @@ class Facts:
     legitimate: int
     fraud: int
 
+    @property
+    def rows(self) -> int:
+        """Rows of both classes."""
+        return self.legitimate + self.fraud
+
     @property
     def fraud_weight(self) -> float:
         """The class ratio, 1 without rows of either class."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -22,6 +23,10 @@ from txnscore.schemas import FEATURES, LABEL
 from txnscore.workspace import shared_root
 
 
+# Rows that a task of the trees has at least, and at most; the trees read all rows some hundred times.
+_LEAST_ROWS, _MOST_ROWS = 25_000, 1_000_000
+
+
 @dataclass(frozen=True)
 class TrainingParams:
     # Number of trees, their depth, learning rate and seed.
@@ -31,6 +36,13 @@ class TrainingParams:
     seed: int = 42
 
 
+def training_tasks(rows: int, cores: int) -> int:
+    """Tasks for so many rows: as few as small tables need, else whole rounds of all cores, so that none waits for the last."""
+    if rows < cores * _LEAST_ROWS:
+        return max(1, math.ceil(rows / _LEAST_ROWS))
+    return cores * math.ceil(rows / (cores * _MOST_ROWS))
+
+
 def train(
     df: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -39,7 +51,9 @@ def train(
 ) -> PipelineModel:
     """Boosted trees over prepared features, fraud rows weighted by the class ratio; unlabelled rows are left out.
 
-    One scan gives all that preparation and weights need; the next is that of the trees. Lineage of the boosting rounds is cut by checkpoints in the session's shared folder.
+    One scan gives all that preparation and weights need; the next is that of the trees. Its rows are dealt out evenly by one
+    shuffle, which the scans of the trees share, since every pass waits for its largest task. Lineage of the boosting rounds
+    is cut by checkpoints in the session's shared folder.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
@@ -50,7 +64,7 @@ def train(
         *features,
         F.col(label).cast("double").alias("target"),
         F.when(F.col(label) == 1, F.lit(facts.fraud_weight)).otherwise(F.lit(1.0)).alias("weight"),
-    )
+    ).repartition(training_tasks(facts.rows, spark.sparkContext.defaultParallelism))
     assembler = VectorAssembler(inputCols=[PREPARED + name for name in features], outputCol="features")
     trees = GBTClassifier(
         labelCol="target",
