@@ -61,6 +61,25 @@ def test_every_transaction_is_scored_after_saving(spark, monkeypatch):
     assert sum({row["Class"]: row["n_rows"] for row in rows}.values()) == 90
 
 
+def test_a_model_that_loses_trees_when_saved_is_found_out(spark, monkeypatch):
+    """Scores before saving are those of the fitted model, not of one that was loaded, too."""
+    folder = new_folder(spark, "tables")
+    event = ["id AS event_id", "timestamp_ntz'2024-01-01' AS ts", "id AS user_id", "CAST(id % 9 AS DOUBLE) AS value"]
+    spark.range(90).selectExpr(*event).write.parquet(f"{folder}/events.parquet")
+    vector = "transform(sequence(1, 32), k -> CAST(sin(id * k) AS FLOAT)) AS embedding"
+    spark.range(20).selectExpr("id AS vec_id", vector, "CAST(id % 5 AS INT) AS label").write.parquet(f"{folder}/embeddings.parquet")
+
+    train, load, fewer = training.train, queries.load_model, new_folder(spark, "model")
+    labelled = fixtures.decided(spark, folder).withColumn("Class", F.col("is_fraud_predicted").cast("int"))
+    queries.save_model(train(labelled, params=training.TrainingParams(trees=1, depth=2)), fewer)
+    monkeypatch.setattr(training, "train", lambda df: train(df, params=training.TrainingParams(trees=3, depth=2)))
+    assert {row["largest_difference"] for row in QUERIES["score_gbt"](spark, folder).collect()} == {0.0}
+    monkeypatch.setattr(queries, "_FITTED", {})
+    monkeypatch.setattr(queries, "load_model", lambda path: load(fewer))
+    rows = QUERIES["score_gbt"](spark, folder).collect()
+    assert len(rows) == 90 and all(row["largest_difference"] > 0.01 for row in rows)
+
+
 def test_top_features(spark, sf_dir):
     model, _ = _trained(spark, sf_dir)
     rows = training.top_features(training.feature_importance(spark, model)).collect()
