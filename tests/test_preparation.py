@@ -95,6 +95,14 @@ def test_facts_take_one_scan(spark, tmp_path):
     assert nothing == prep.Facts({"Time": 0.0, "V1": 0.0}, {"Time": prep.Scale(0.0, 1.0)}, 0, 0)
 
 
+def test_facts_of_the_same_rows_are_the_same(spark):
+    """Far more rows than a summary holds, with gaps: no median is left to chance."""
+    df = spark.range(0, 60_000, 1, 8).selectExpr("nullif(id * 7919 % 60000, 5) / 7 Time", "sin(id) V1", "cast(id % 10 = 0 AS int) Class")
+    found = [prep.fit_facts(df, ["Time", "V1"], ["Time"]) for _ in range(4)]
+    assert found.count(found[0]) == 4
+    assert found[0].medians["Time"] == pytest.approx(30_000 / 7, abs=60 / 7) and abs(found[0].medians["V1"]) < 0.01
+
+
 def test_copies_of_an_id_stay_together(spark):
     df = labelled(spark, 300, 3)
     both = prep.stratified_split(df.unionAll(df))
