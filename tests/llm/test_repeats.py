@@ -79,6 +79,31 @@ def test_passage_in_many_documents_with_other_surroundings(spark):
     assert _found_repeats(docs, most_contexts=40) == _brute_repeats(rows, 100)
 
 
+def test_crowded_anchor_of_contexts_that_differ(spark, monkeypatch):
+    """Contexts that share some 60 bytes and no window are not dealt out window by window."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklm "))
+    middle = "".join(rng.choice(letters, 60))
+    rows = [(k, "".join(rng.choice(letters, 80)) + middle + "".join(rng.choice(letters, 80))) for k in range(300)]
+    dealt, sort = [], repeats._chunks_sorted
+    monkeypatch.setattr(repeats, "_chunks_sorted", lambda contexts_of, *more: dealt.append(contexts_of.count()) or sort(contexts_of, *more))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert _found_repeats(docs, most_contexts=20) == _brute_repeats(rows, 100)
+    assert sum(dealt) < 300
+
+
+def test_only_windows_with_a_like_are_sorted(monkeypatch):
+    rng = np.random.default_rng(9)
+    bodies = [rng.integers(0, 256, 150, np.uint8) for _ in range(50)]
+    bodies[7][20:125] = bodies[3][10:115]
+    sizes, order = [], repeats.suffix_order
+    monkeypatch.setattr(repeats, "suffix_order", lambda text, depth: sizes.append(len(text)) or order(text, depth))
+    numbers = np.arange(50)
+    runs, left = repeats.repeated_windows(np.concatenate(bodies), np.arange(51) * 150, numbers, numbers % 2, numbers * 1000, 100)
+    assert [column.tolist() for column in runs] == [[7], [1], [7020], [6]] and left.tolist() == list(range(50))
+    assert sizes == [2 * 105]
+
+
 def test_chunks_send_on_the_first_of_each_window(spark):
     """A window that stands in 3,000 places, in chunks of at most some forty rows, needs three levels."""
     body = bytes(range(100))

@@ -7,11 +7,14 @@ document before) is removed. Three steps keep the sorting small without missing
    the first of several. Equal windows have equal anchors. Neighbouring windows with one anchor are one context, about
    one in forty bytes. Contexts go to the task of their anchor, where those met by nothing else drop out, and equal
    contexts count once: all but the first are repeats as they are. Copies met close together are combined before.
-2. Different contexts of one anchor may share some windows. Their bytes are gathered per anchor, and a suffix array
-   of them is built by two-stage sorting; neighbours with a common prefix of ``length`` bytes are equal windows. An
-   anchor with very many contexts is split into its windows, which are dealt out by a hash of all their bytes, and those
-   of one hash are sorted in chunks of bounded size: a chunk marks its repeats and sends the first of each window on
-   to the next level, until one chunk is left. So a passage may stand in any number of documents, whatever surrounds it.
+2. Different contexts of one anchor may share some windows. Their bytes are gathered per anchor, windows whose hash no
+   other one has are left out, and a suffix array of the rest is built by two-stage sorting; neighbours with a common
+   prefix of ``length`` bytes are equal windows. An anchor with very many contexts has them cut into pieces by longer
+   anchors, first of all but 28 and then of all but 8 bytes of a window, and again pieces met by nothing else drop
+   out and equal pieces count once. One that is crowded still is split into its windows, which are dealt out by a hash of
+   all their bytes, and those of one hash are sorted in chunks of bounded size: a chunk marks its repeats and sends the
+   first of each window on to the next level, until one chunk is left. So a passage may stand in any number of
+   documents, whatever surrounds it.
 3. The repeated windows of a document, as runs, are cut out of its text.
 
 Defined results: a null text is empty. Texts shorter than ``length`` stay whole. A null id is smaller than every
@@ -23,10 +26,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnscore.llm.batches import flat, groups
@@ -37,14 +42,17 @@ from txnscore.workspace import written
 LENGTH = 100
 GRAM = 24
 #: Window starts that are hashed at once.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 #: Texts whose equal contexts are combined before the shuffle.
 GROUP_BYTES = 16 << 20
-#: Contexts of one anchor that are sorted together, into how many more parts the windows of a crowded one are dealt,
-#: and bytes of a suffix array.
+#: Contexts of one anchor that are sorted together, by how many bytes less than a window the anchors of crowded ones
+#: are cut anew, into how many more parts the windows of one that is crowded still are dealt, and bytes of a suffix array.
 MOST_CONTEXTS = 4000
+LESS = (28, 8)
 FINER = 16
 UNIT_BYTES = 1 << 19
+#: Contexts of crowded anchors that are split at once.
+SPLIT_ROWS = 2000
 #: A place is start << 7 | windows; this many windows mark a run of repeats.
 RUN = 127
 RUN_BITS = 7
@@ -62,15 +70,28 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _gram_hashes(symbols: np.ndarray) -> np.ndarray:
-    """A hash of the ``GRAM`` (24) bytes from each place on."""
-    power = lambda n: np.uint64(pow(_BASE, n, 1 << 64))
-    parts = {1: symbols}
-    for size in (1, 2, 4, 8):
-        h = parts[size]
-        parts[2 * size] = h[:-size] * power(size) + h[size:]
-    count = len(symbols) - GRAM + 1
-    return _mixed(parts[16][:count] * power(8) + parts[8][16 : 16 + count])
+def _power(n: int) -> np.uint64:
+    return np.uint64(pow(_BASE, n, 1 << 64))
+
+
+def _gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the ``gram`` bytes from each place on."""
+    count, part, size, done = len(symbols) - gram + 1, symbols, 1, 0
+    whole = np.zeros(count, np.uint64)
+    while True:
+        if gram & size:
+            whole *= _power(size)
+            whole += part[done : done + count]
+            done += size
+        if 2 * size > gram:
+            return _mixed(whole)
+        part = part[:-size] * _power(size) + part[size:]
+        size *= 2
+
+
+@cache
+def _powers(base: int, count: int) -> np.ndarray:
+    return np.cumprod(np.full(count, base, np.uint64))
 
 
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -82,34 +103,40 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:count], values[width - size : width - size + count])
 
 
-def contexts(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+def contexts(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """Contexts of all texts: text number, start in the text, windows, anchor hash, hash of the whole context."""
     total = len(data)
     ends = starts[1:]
+    lasts = np.maximum(ends - length + 1, starts[:-1])
     found: list[tuple[np.ndarray, ...]] = []
     for low in range(0, total - length + 1, CHUNK):
         high = min(low + CHUNK, total - length + 1)
+        text = np.arange(np.searchsorted(ends, low, side="right"), np.searchsorted(starts[:-1], high))
+        # Where the windows of each text begin and end here.
+        begins, stops = np.maximum(starts[text], low) - low, np.minimum(lasts[text], high) - low
+        has = begins < stops
+        text, begins, stops = text[has], begins[has], stops[has]
+        if not len(text):
+            continue
         symbols = _TABLE[data[low : high + length - 1]]
-        hashes = _gram_hashes(symbols)
+        hashes = _gram_hashes(symbols, gram)
         tagged = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
-        anchor = (_smallest(tagged, length - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        at = np.arange(low, high)
-        text = np.searchsorted(ends, at, side="right")
-        inside = np.flatnonzero(at + length <= ends[np.minimum(text, len(ends) - 1)])
-        if not len(inside):
-            continue
-        a, t = anchor[inside], text[inside]
-        new = np.ones(len(inside), bool)
-        new[1:] = (a[1:] != a[:-1]) | (t[1:] != t[:-1]) | (inside[1:] != inside[:-1] + 1)
-        first = np.flatnonzero(new)
-        windows = np.diff(np.append(first, len(inside)))
-        begin, a = inside[first], a[first]
-        powers = np.cumprod(np.full(len(symbols), _BASE, np.uint64))
+        anchor = _smallest(tagged, length - gram + 1)
+        new = np.ones(high - low, bool)
+        new[1:] = anchor[1:] != anchor[:-1]
+        new[begins] = True
+        inside = np.zeros(high - low + 1, np.int8)
+        inside[begins] += 1
+        inside[stops] -= 1
+        begin = np.flatnonzero(new & np.cumsum(inside, dtype=np.int8)[:-1].view(bool))
+        of = np.searchsorted(begins, begin, side="right") - 1
+        windows = np.minimum(np.append(begin[1:], high - low), stops[of]) - begin
+        a, t = (anchor[begin] & np.uint64(0xFFFFFFFF)).astype(np.int64), text[of]
+        powers, back = (_powers(base, CHUNK + length)[: len(symbols)] for base in (_BASE, _INVERSE))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(symbols * powers)])
-        back = np.cumprod(np.full(len(symbols), _INVERSE, np.uint64))
         whole = (sums[begin + windows + length - 1] - sums[begin]) * back[begin]
         whole += (a - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + windows.astype(np.uint64)
-        found.append((t[first], begin + low - starts[t[first]], windows, hashes[a], _mixed(whole)))
+        found.append((t, begin + low - starts[t], windows, hashes[a], _mixed(whole)))
     if not found:
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
@@ -152,7 +179,11 @@ def _anchored(rows: DataFrame, length: int) -> DataFrame:
     def combined(data: np.ndarray, starts: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> list[np.ndarray]:
         text, start, windows, key, ctx = contexts(data, starts, length)
         doc, tie = ids[text], ties[text]
-        order = np.lexsort((start, tie, doc, ctx, key))
+        # The contexts of a text come in order, so texts are put in order and then, each staying behind those before it, contexts.
+        rank = np.empty(len(ids), np.int64)
+        rank[np.lexsort((ties, ids))] = np.arange(len(ids))
+        order = np.argsort(rank[text], kind="stable")
+        order = order[np.argsort(ctx[order], kind="stable")]
         key, ctx = key[order], ctx[order]
         again = np.zeros(len(order), bool)
         again[1:] = (key[1:] == key[:-1]) & (ctx[1:] == ctx[:-1])
@@ -222,14 +253,78 @@ def _resolved(anchored: DataFrame) -> DataFrame:
 
 
 _CONTEXTS = "key long, sub int, parts int, doc long, tie long, start long, body binary"
+_PIECES = "key long, ctx long, doc long, tie long, start long, windows long, body binary"
+
 
+def _window_hashes(text: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` bytes from each place on."""
+    powers, back = (_powers(base, 1 << len(text).bit_length())[: len(text)] for base in (_BASE, _INVERSE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[text] * powers)])
+    return _mixed((sums[length:] - sums[:-length]) * back[: len(text) - length + 1])
 
-def _window_hashes(body: np.ndarray, length: int) -> np.ndarray:
-    """A hash of each window of a context."""
-    powers = np.cumprod(np.full(len(body), _BASE, np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[body] * powers)])
-    back = np.cumprod(np.full(len(body), _INVERSE, np.uint64))
-    return _mixed((sums[length:] - sums[:-length]) * back[: len(body) - length + 1])
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after the other."""
+    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+
+
+def _parts_of(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Ranges of the bytes as a binary column."""
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data[_ranges(begin, size)])])
+
+
+def _cut_finer(edges: DataFrame, length: int, gram: int) -> DataFrame:
+    """Contexts (``key``, ``parts``, ``doc``, ``tie``, ``start``, ``body``), those of crowded anchors as pieces.
+
+    The windows of a piece have the same smallest ``gram`` bytes; other contexts have no ``ctx``.
+    """
+    names = [field.split()[0] for field in _PIECES.split(", ")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            crowded = pa.array(batch.column(1).to_numpy() > 1)
+            key, _, doc, tie, start, body = batch.filter(pc.invert(crowded)).columns
+            none = pa.nulls(len(key), pa.int64())
+            yield pa.RecordBatch.from_arrays([key, none, doc, tie, start, none, body], names=names)
+            many = batch.filter(crowded)
+            if not many.num_rows:
+                continue
+            key, _, doc, tie, start, body = many.columns
+            data, starts = flat(body)
+            text, at, windows, piece, ctx = contexts(data, starts, length, gram)
+            key, doc, tie, start = (column.to_numpy()[text] for column in (key, doc, tie, start))
+            key = _mixed(key.view(np.uint64) * np.uint64(_BASE) + piece).view(np.int64)
+            columns = [pa.array(c) for c in (key, ctx.view(np.int64), doc, tie, start + at, windows)]
+            columns.append(_parts_of(data, starts[text] + at, windows + length - 1))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return edges.mapInArrow(cut, _PIECES)
+
+
+def _crowded_parts(count: Column, most: int) -> Column:
+    """Into how many parts the windows of an anchor with so many contexts are dealt, 1 unless it is crowded."""
+    parts = F.least(F.ceil(count * FINER / most), F.lit((1 << 31) - 1)).cast("int")
+    return F.when(count > most, parts).otherwise(1).alias("parts")
+
+
+def _finer(edges: DataFrame, length: int, gram: int, most: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Crowded anchors by longer byte runs: runs of repeats, the contexts that are left, and whether one is crowded still.
+
+    As with the first anchors, pieces met by nothing else drop out and equal pieces count once.
+    """
+    cut = written(_cut_finer(edges, length, gram), "finer")
+    pieces = cut.where("ctx is not null")
+    first = F.min(F.struct("doc", "tie", "start", "windows", "body")).alias("first")
+    alike = written(pieces.groupBy("key", "ctx").agg(first, F.count("*").alias("rows")), "alike")
+    met = alike.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
+    met = written(met.select("key", _crowded_parts(F.col("count"), most)), "crowded")
+    first = alike.where("rows > 1").select("key", "ctx", F.struct("first.doc", "first.tie", "first.start").alias("first"))
+    runs = pieces.join(first, ["key", "ctx"]).where(F.struct("doc", "tie", "start") != F.col("first"))
+    left = alike.join(met, "key").select("key", "parts", "first.doc", "first.tie", "first.start", "first.body")
+    plain = cut.where("ctx is null").select("key", F.lit(1).alias("parts"), "doc", "tie", "start", "body")
+    crowded = not met.where("parts > 1").isEmpty()
+    return runs.select("doc", "tie", "start", "windows"), plain.unionByName(left), crowded
 
 
 def _split(edges: DataFrame, length: int) -> DataFrame:
@@ -237,51 +332,85 @@ def _split(edges: DataFrame, length: int) -> DataFrame:
 
     A window belongs to the part that its hash gives, as ``sub``.
     """
+    names = [field.split()[0] for field in _CONTEXTS.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for key, parts, doc, tie, start, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if parts <= 1:
-                    rows.append((key, 0, 1, doc, tie, start, body))
-                    continue
-                subs = _window_hashes(np.frombuffer(body, np.uint8), length) % np.uint64(parts)
-                rows += [(key, sub, parts, doc, tie, start + w, body[w : w + length]) for w, sub in enumerate(subs.tolist())]
-            names = ["key", "sub", "parts", "doc", "tie", "start", "body"]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            columns = zip(*rows, strict=True) if rows else [[] for _ in names]
-            arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            crowded = pa.array(batch.column(1).to_numpy() > 1)
+            key, parts, doc, tie, start, body = batch.filter(pc.invert(crowded)).columns
+            sub = pa.array(np.zeros(len(key), np.int32))
+            yield pa.RecordBatch.from_arrays([key, sub, parts, doc, tie, start, body], names=names)
+            many = batch.filter(crowded)
+            for low in range(0, many.num_rows, SPLIT_ROWS):
+                key, parts, doc, tie, start, body = many.slice(low, SPLIT_ROWS).columns
+                data, starts = flat(body)
+                windows = np.diff(starts) - length + 1
+                row, place = np.repeat(np.arange(len(windows)), windows), _ranges(starts[:-1], windows)
+                key, parts, doc, tie, start = (column.to_numpy()[row] for column in (key, parts, doc, tie, start))
+                sub = (_window_hashes(data, length)[place] % parts.astype(np.uint64)).astype(np.int32)
+                columns = [pa.array(c) for c in (key, sub, parts, doc, tie, start + place - starts[row])]
+                columns.append(_parts_of(data, place, np.full(len(place), length)))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return edges.mapInArrow(cut, _CONTEXTS)
 
 
-def repeated_windows(rows: list[tuple], length: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Runs (doc, tie, start, windows) of the windows in ``rows`` that also start earlier in one of the rows, and the
-    rows that have a window which does not.
+def _met(text: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """Which windows have a hash that another one has, too; no other window can be equal to one."""
+    hashes = _window_hashes(text, length)[place]
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    met = np.zeros(len(place), bool)
+    met[order[1:][same]] = True
+    met[order[:-1][same]] = True
+    return met
+
 
-    A row is (..., doc, tie, start, body).
+def repeated_windows(
+    text: np.ndarray, starts: np.ndarray, doc: np.ndarray, tie: np.ndarray, begin: np.ndarray, length: int
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """Runs (doc, tie, start, windows) of the windows that also start earlier in one of the contexts, and the contexts
+    that have a window which does not.
+
+    Contexts lie in ``text`` one after the other and begin at ``begin`` of their document. Windows whose hash no other
+    one has are left out before the sorting.
     """
-    bodies = [np.frombuffer(row[-1], np.uint8) for row in rows]
-    sizes = np.array([len(body) for body in bodies])
-    text = np.concatenate(bodies)
-    firsts = np.cumsum(sizes) - sizes
-    windows = np.ones(len(text), bool)
-    windows[(np.repeat(firsts + sizes, length - 1) - np.tile(np.arange(1, length), len(rows)))] = False
-    owner = np.repeat(np.arange(len(rows)), sizes)
+    windows = np.diff(starts) - length + 1
+    row, place = np.repeat(np.arange(len(windows)), windows), _ranges(starts[:-1], windows)
+    met = _met(text, place, length)
+    alone = row[~met]
+    row, place = row[met], place[met]
+    new = np.ones(len(place), bool)
+    new[1:] = (place[1:] != place[:-1] + 1) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    windows = np.diff(np.append(first, len(place)))
+    at = _ranges(place[first], windows + length - 1)
+    row = np.repeat(row[first], windows + length - 1)
+    text = text[at]
+    # Of each stretch, the last places begin no window.
+    starting = np.ones(len(text), bool)
+    ends = np.cumsum(windows + length - 1)
+    starting[_ranges(ends - length + 1, np.full(len(ends), length - 1))] = False
     order = suffix_order(text, length + 4)
-    order = order[windows[order]]
+    order = order[starting[order]]
     group = np.cumsum(common_prefixes(text, order, length) < length)
-    doc, tie, begin = (np.array([row[k] for row in rows]) for k in (-4, -3, -2))
-    of = owner[order]
-    doc, tie, start = doc[of], tie[of], begin[of] + order - firsts[of]
-    sort = np.lexsort((start, tie, doc, group))
-    group, doc, tie, start, of = group[sort], doc[sort], tie[sort], start[sort], of[sort]
+    of = row[order]
+    start = begin[of] + at[order] - starts[of]
+    # Documents in order, each lifted above the one before, so that one number orders all places.
+    by = np.lexsort((tie, doc))
+    other = np.ones(len(by), bool)
+    other[1:] = (doc[by[1:]] != doc[by[:-1]]) | (tie[by[1:]] != tie[by[:-1]])
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.cumsum(other) - 1
+    lift = rank[of] * (int(start.max(initial=0)) + 1) + start
+    sort = np.lexsort((lift, group))
+    group, lift, start, of = group[sort], lift[sort], start[sort], of[sort]
     # Later than the first of its group; the same place may come with several contexts.
     first = np.searchsorted(group, group)
-    later = (doc != doc[first]) | (tie != tie[first]) | (start != start[first])
-    runs = merged_runs(doc[later], tie[later], start[later], np.ones(int(later.sum()), np.int64))
-    return runs, np.unique(of[np.unique(first)])
+    later = lift != lift[first]
+    number, start, windows = merged_runs(rank[of[later]], start[later], np.ones(int(later.sum()), np.int64))
+    owner = by[other][number]
+    return [doc[owner], tie[owner], start, windows], np.unique(np.concatenate([alone, of[np.unique(first)]]))
 
 
 _SORTED = "doc long, tie long, start long, windows long, key long, sub int, parts int, body binary"
@@ -296,29 +425,43 @@ def _chunks_sorted(contexts_of: DataFrame, length: int, most: int) -> DataFrame:
     kinds = [*[pa.int64()] * 5, *[pa.int32()] * 2, pa.binary()]
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(rows: list[tuple]) -> pa.RecordBatch:
-            found: list[tuple] = []
-            left = np.arange(len(rows))
-            if len(rows) > 1:
-                runs, left = repeated_windows(rows, length)
-                found = [(*run, None, None, None, None) for run in zip(*(c.tolist() for c in runs), strict=True)]
-            for k in left.tolist():
-                key, sub, parts, _, doc, tie, start, body = rows[k]
-                if parts > 1:
-                    found.append((doc, tie, start, None, key, sub, -(-parts // most), body))
-            columns = zip(*found, strict=True) if found else [[] for _ in names]
-            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names)
-
-        rows: list[tuple] = []
-        size = 0
+        def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            *keys, body = (pa.concat_arrays(columns) for columns in zip(*(batch.columns for batch in held), strict=True))
+            key, sub, parts, _, doc, tie, start = (column.to_numpy() for column in keys)
+            text, starts = flat(body)
+            runs, left = repeated_windows(text, starts, doc, tie, start, length)
+            left = left[parts[left] > 1]
+            sent = [doc, tie, start, None, key, sub, -(-parts // most), body]
+            columns = [
+                pa.concat_arrays([
+                    pa.nulls(len(runs[0]), kind) if run is None else pa.array(run, kind),
+                    pa.nulls(len(left), kind) if column is None else pa.array(column[left], kind) if column is not body else body.take(pa.array(left)),
+                ])
+                for run, column, kind in zip([*runs, *[None] * 4], sent, kinds, strict=True)
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > UNIT_BYTES and row[:4] != rows[-1][:4]:
-                    yield done(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[-1])
-        yield done(rows)
+            if not batch.num_rows:
+                continue
+            keys = np.stack([column.to_numpy().astype(np.int64) for column in batch.columns[:4]])
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = (keys[:, 1:] != keys[:, :-1]).any(0)
+            new[0] = last is not None and (keys[:, 0] != last).any()
+            groups_at = np.flatnonzero(new)
+            reach = np.concatenate([np.zeros(1, np.int64), np.cumsum(pc.binary_length(batch.column(7)).to_numpy())])
+            low = 0
+            # A unit ends with the group that takes it over its size.
+            while (k := np.searchsorted(reach[groups_at], reach[low] + UNIT_BYTES - size, side="right")) < len(groups_at):
+                yield done([*held, batch.slice(low, groups_at[k] - low)])
+                held, size, low = [], 0, groups_at[k]
+            held.append(batch.slice(low))
+            size += int(reach[-1] - reach[low])
+            last = keys[:, -1]
+        if held:
+            yield done(held)
 
     chunk = F.pmod(F.xxhash64("doc", "tie", "start"), F.col("parts")).alias("chunk")
     dealt = contexts_of.select("key", "sub", "parts", chunk, "doc", "tie", "start", "body")
@@ -346,27 +489,30 @@ _RESULT = "row long, n_bytes long, n_removed long, spans array<struct<start:long
 
 def _cut_out(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
     """Texts with their runs of repeated windows: what is removed and what is left."""
-    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    span = [pa.field("start", pa.int64()), pa.field("end", pa.int64())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
-            for body, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                spans, parts, at = [], [], 0
-                if runs:
-                    start = np.array([run["start"] for run in runs])
-                    windows = np.array([run["windows"] for run in runs])
-                    _, first, reach = merged_runs(np.zeros(len(runs), np.int64), start, windows + length - 1)
-                    spans = [{"start": int(a), "end": int(a + b)} for a, b in zip(first, reach, strict=True)]
-                for found in spans:
-                    parts.append(body[at : found["start"]])
-                    at = found["end"]
-                kept = b"".join([*parts, body[at:]])
-                values = (len(body), len(body) - len(kept), spans, kept if with_text else None)
-                for column, value in zip(out, (*values, hashlib.sha256(kept).hexdigest()), strict=True):
-                    column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.list_(span), pa.binary(), pa.string()]
-            arrays = [batch.column(0)] + [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)]
+            runs = batch.column(2)
+            of = np.repeat(np.arange(len(runs)), pc.list_value_length(runs).to_numpy())
+            start, windows = (column.to_numpy() for column in runs.flatten().flatten())
+            of, first, size = merged_runs(of, start, windows + length - 1)
+            bounds = np.searchsorted(of, np.arange(len(runs) + 1))
+            removed = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])[bounds]
+            first_of, end_of = first.tolist(), (first + size).tolist()
+            kept = []
+            for body, low, high in zip(batch.column(1).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                left = zip([0, *end_of[low:high]], [*first_of[low:high], len(body)], strict=True)
+                kept.append(b"".join([body[a:b] for a, b in left]))
+            spans = pa.StructArray.from_arrays([pa.array(first), pa.array(first + size)], fields=span)
+            arrays = [
+                batch.column(0),
+                pc.binary_length(batch.column(1)).cast(pa.int64()),
+                pa.array(np.diff(removed)),
+                pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), spans),
+                pa.array(kept if with_text else [None] * len(kept), pa.binary()),
+                pa.array([hashlib.sha256(body).hexdigest() for body in kept], pa.string()),
+            ]
             names = ["row", "n_bytes", "n_removed", "spans", "kept", "kept_sha256"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -407,20 +553,26 @@ def remove_repeats(
         "met",
     )
     crowded = marks.where("key is not null").groupBy("key").count().where(F.col("count") > most_contexts)
-    parts = F.least(F.ceil(F.col("count") * FINER / most_contexts), F.lit((1 << 31) - 1)).cast("int")
-    crowded = written(crowded.select("key", parts.alias("parts")), "crowded")
-    edge = F.explode(F.filter("marks", lambda mark: mark["key"].isNotNull())).alias("mark")
-    edges = met.where("marks is not null").select("doc", "tie", "body", edge).select(
-        F.col("mark.key").alias("key"),
-        "doc",
-        "tie",
-        F.col("mark.start").alias("start"),
-        F.expr(f"substring(body, cast(mark.start + 1 as int), cast(mark.windows + {length - 1} as int))").alias("body"),
+    crowded = written(crowded.select("key", _crowded_parts(F.col("count"), most_contexts)), "crowded")
+    # The bytes are cut before they are dealt into rows, so no row carries the whole text.
+    edge = F.expr(
+        "explode(transform(filter(marks, m -> m.key is not null), m -> struct(m.key, m.start, "
+        f"substring(body, cast(m.start + 1 as int), cast(m.windows + {length - 1} as int)) as body)))"
+    )
+    edges = met.where("marks is not null").select("doc", "tie", edge.alias("edge")).select(
+        "edge.key", "doc", "tie", "edge.start", "edge.body"
     )
     edges = edges.join(crowded, "key", "left").select(
         "key", F.coalesce("parts", F.lit(1)).alias("parts"), "doc", "tie", "start", "body"
     )
-    found = _sorted_out(_split(edges, length), length, most_contexts, not crowded.isEmpty())
+    known, any_crowded = [], not crowded.isEmpty()
+    for gram in (length - less for less in LESS if length - less > GRAM):
+        if any_crowded:
+            runs, edges, any_crowded = _finer(edges, length, gram, most_contexts)
+            known.append(runs)
+    found = _sorted_out(_split(edges, length), length, most_contexts, any_crowded)
+    for runs in known:
+        found = found.unionByName(runs)
     found = found.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows")).alias("more"))
     whole_runs = F.transform(
         F.filter("marks", lambda mark: mark["key"].isNull()),

@@ -12,10 +12,9 @@ import numpy as np
 
 def smaller_than_next(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the one after it; the last one is not."""
-    size = len(text)
     steps = np.flatnonzero(text[:-1] != text[1:])
     rises = np.append(text[steps] < text[steps + 1], False)
-    return rises[np.searchsorted(steps, np.arange(size))]
+    return np.repeat(rises, np.diff(steps, prepend=-1, append=len(text) - 1))
 
 
 def heads(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
